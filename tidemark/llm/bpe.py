@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.pre_tokens import splitter
 from tidemark.llm.words import slices
 
 BYTE_BASE = 0x2800  # byte b is written as the character BYTE_BASE + b: 256 symbols without case or space
@@ -78,14 +79,13 @@ class Codec(dict):
     """Encodes pre-tokens and decodes ids; as a dict it remembers the ids of short pre-tokens."""
 
     def __init__(self, ranks_path: str, pattern: str):
-        import regex
         import sentencepiece
 
         super().__init__()
         self.tokens = read_ranks(ranks_path)
         self.whole = {t: (i,) for i, t in enumerate(self.tokens)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
-        self.pieces = regex.compile(pattern).findall
+        self.pieces = splitter(pattern)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode()

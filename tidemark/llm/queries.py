@@ -30,6 +30,22 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render_turns(turns.unionAll(extra)))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import language_id
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    made = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    return made.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import html_text
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    made = html_text.extract(pages, html_text.learn(pages))
+    return made.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,6 +64,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
+    "op7_language_id": op7_language_id,
+    "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
 }
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.pre_tokens import splitter
 from tidemark.llm.scratch import written
 from tidemark.llm.words import slices
 
@@ -41,7 +42,7 @@ def _pre_tokens(path: str, pattern: str):
     """Split a text into pre-tokens, and count its special strings."""
     import regex
 
-    found = regex.compile(pattern).findall
+    found = splitter(pattern)
     special = [t.content for t in _tokenizer(path).get_added_tokens_decoder().values() if t.special]
     cut = regex.compile("|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
 
@@ -66,7 +67,7 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, pattern: str, text: str =
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "docs"])
 
         for batch in batches:
-            for part in slices(batch, text, 1 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 for t in part.column(0).to_pylist():
                     seen.update(set(split(t)[0]))
                 if len(seen) > KNOWN_TERMS:
@@ -81,7 +82,7 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, pattern: str, text: str =
             n = [len(e.ids) for e in tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int32())], names=["term", "docs", "n"])
 
-    distinct = docs.select(F.col(text).alias("text")).mapInArrow(lambda b: terms(b), "term string, docs long") if text != "text" else docs.select("text").mapInArrow(terms, "term string, docs long")
+    distinct = docs.select(F.col(text).alias("text")).mapInArrow(terms, "term string, docs long")
     return distinct.groupBy("term").agg(F.sum("docs").alias("docs")).mapInArrow(count, "term string, docs long, n int")
 
 
