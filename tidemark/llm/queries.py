@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.exact_dedup import LABEL_SQL
+from tidemark.llm.mixing import MIX_SQL
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +33,18 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render_turns(turns.unionAll(extra)))
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import mixing
+
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import exact_dedup
+
+    return exact_dedup.label(_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import language_id
 
@@ -64,9 +79,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
+    "op4_mix_sources": op4_mix_sources,
+    "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIX_SQL, "op6_exact_dedup": LABEL_SQL}
