@@ -33,6 +33,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render_turns(turns.unionAll(extra)))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import ann
+
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import mixing
 
@@ -79,6 +85,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_mix_sources": op4_mix_sources,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
