@@ -45,6 +45,13 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.jaccard import near_duplicates
+
+    made = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return made.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import exact_dedup
 
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_mix_sources": op4_mix_sources,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_html_text": op8_html_text,
