@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.llm.pre_tokens import splitter
+from tidemark.llm.scratch import without
 from tidemark.llm.words import slices
 
 BYTE_BASE = 0x2800  # byte b is written as the character BYTE_BASE + b: 256 symbols without case or space
@@ -115,21 +116,14 @@ def _lists(parts: list, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def _free(df: DataFrame, *names: str) -> None:
-    taken = {c.lower() for c in df.columns}
-    for name in names:
-        if name.lower() in taken:
-            raise ValueError(f"the input already has a column {name}; give another output name")
-
-
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add the token ids of each row's whole text, and on request the bytes decoded from them.
 
-    Every input column stays; an output name that clashes is refused. Null
-    and empty texts give an empty list. Rows may repeat; nothing is shuffled.
+    Input columns stay, but for one with the name of an output, which the
+    output replaces. Null and empty texts give an empty list. Rows may repeat; nothing is shuffled.
     ``ranks_path`` must be readable on every worker.
     """
-    _free(df, ids, *([decoded] if decoded else []))
+    df = without(df, ids, *([decoded] if decoded else []))
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
     fields += [T.StructField(decoded, T.BinaryType())] if decoded else []
     schema = T.StructType([*df.schema.fields, *fields])
@@ -150,7 +144,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the bytes that each row's ids stand for; a null list stays null, an unknown id is an error."""
-    _free(df, text)
+    df = without(df, text)
     schema = T.StructType([*df.schema.fields, T.StructField(text, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import without
+
 BEGIN, BODY, CLOSE, END = "<s>", "[INST] ", " [/INST]", "</s>"
 _PLAIN = re.compile(r"(<)(\\*)(/?s>)|(\[)(\\*)(/?INST\])")
 _ESCAPED = re.compile(r"(<\\*)\\(/?s>)|(\[\\*)\\(/?INST\])")
@@ -86,9 +88,13 @@ def render_turn(role: str, text: str) -> tuple[str, int]:
 
 
 def render_turns(turns: DataFrame, role: str = "role", text: str = "text", out: str = "rendered") -> DataFrame:
-    """Add to each turn its rendered text and its escapes; a null role or text counts as empty."""
+    """Add to each turn its rendered text and its escapes; a null role or text counts as empty.
+
+    Other columns stay, but for those with the name of an output.
+    """
     from pyspark.sql import types as T
 
+    turns = without(turns, out, "escapes")
     schema = T.StructType([*turns.schema.fields, T.StructField(out, T.StringType()), T.StructField("escapes", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import sent_if_few, written
 
 FAN_IN = 16
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -77,8 +77,8 @@ def label(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts."""
     runs = digest_runs(docs, key, text)
-    best = tree_merge(runs.drop("doc")).select(F.col("best.row").alias("row"))
-    return runs.select("row", "doc").join(best, "row", "left_semi").select("doc.*")
+    best = written(tree_merge(runs.drop("doc")).select(F.col("best.row").alias("row")), "kept-rows")
+    return runs.select("row", "doc").join(sent_if_few(best), "row", "left_semi").select("doc.*")
 
 
 LABEL_SQL = r"""

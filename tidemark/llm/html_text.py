@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.scratch import without
+
 LABELLED_PAGES = 2000
 
 # Elements of HTML by their part in a page.
@@ -227,12 +229,12 @@ def learn(pages: DataFrame, url: str = "url", page: str = "html") -> dict[str, f
 def extract(pages: DataFrame, weights: dict[str, float], page: str = "html", out: str = "text") -> DataFrame:
     """Add each page's main text, empty if there is none; null pages give an empty text.
 
-    Whole pages are read and nothing is shuffled. Other columns stay; an
-    output name that clashes with one is refused.
+    Whole pages are read and nothing is shuffled. Other columns stay; one with
+    the output's name is replaced. An empty table gives no rows.
     """
-    if out.lower() in {c.lower() for c in pages.columns}:
-        raise ValueError(f"the input already has a column {out}")
-    schema = T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())])
+    pages = without(pages.withColumn("__page", F.col(page)), out)
+    page = "__page"
+    schema = T.StructType([*pages.schema.fields[:-1], T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,6 +242,6 @@ def extract(pages: DataFrame, weights: dict[str, float], page: str = "html", out
             for at in range(0, batch.num_rows, 500):
                 piece = batch.slice(at, 500)
                 texts = [main_text(t, weights) for t in column.slice(at, 500).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(texts, pa.string())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
     return pages.mapInArrow(run, schema)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.scratch import without
 from tidemark.llm.words import slices, text_bytes
 
 BUCKETS = 1 << 15
@@ -166,11 +167,11 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", out: str =
 
     Whole texts are read; null texts, and texts without a letter, are ``und``
     with score 0 and ambiguous; so is everything if there was nothing to learn
-    from. Other columns stay; an output name that clashes is refused.
+    from. Other columns stay, but for those with the name of an output, which
+    the output replaces. Rows may repeat; an empty table gives no rows.
     """
     names = [out, "score", "ambiguous"]
-    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the input already has one of the columns {names}")
+    docs = without(docs, *names)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

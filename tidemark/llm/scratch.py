@@ -35,3 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def broadcast_below(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted ``rows`` are few, else as it is (a shuffle join)."""
     return F.broadcast(df) if rows <= max_rows else df
+
+
+SENT_ROWS = 400_000
+
+
+def sent_if_few(df: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """A written table with a broadcast hint if it has at most ``most`` rows of a few bytes each."""
+    return broadcast_below(df, df.count(), most)
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns that an operator's outputs of these names replace."""
+    return df.drop(*names)
