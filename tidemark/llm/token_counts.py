@@ -24,9 +24,9 @@ from tidemark.llm.pre_tokens import splitter
 from tidemark.llm.scratch import written
 from tidemark.llm.words import slices
 
-HEAD_TERMS = 50_000
+HEAD_TERMS = 150_000
 HEAD_BYTES = 48  # longer pre-tokens aren't sent to every worker
-KNOWN_TERMS = 200_000  # counts a task holds before it passes them on
+KNOWN_TERMS = 500_000  # counts a task holds before it passes them on
 
 
 @lru_cache(maxsize=2)
@@ -86,6 +86,21 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, pattern: str, text: str =
     return distinct.groupBy("term").agg(F.sum("docs").alias("docs")).mapInArrow(count, "term string, docs long, n int")
 
 
+def _head(pieces: DataFrame) -> dict[str, int]:
+    """Pieces of the most frequent short pre-tokens, at most ``HEAD_TERMS``; tasks send no others to the driver."""
+    short = pieces.where(F.octet_length("term") <= HEAD_BYTES).withColumn("level", F.floor(F.log2("docs") * 8))
+    lowest, total = None, 0
+    for r in short.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
+        total += r.n
+        if total > HEAD_TERMS:
+            break
+        lowest = r.level
+    if lowest is None:
+        return {}
+    table = short.where(F.col("level") >= lowest).select("term", "n").toArrow()
+    return dict(zip(table["term"].to_pylist(), table["n"].to_pylist(), strict=True))
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
     """One row for each row of ``docs``: its key, n_bytes, n_tokens, over_limit.
 
@@ -95,8 +110,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str =
     """
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     pieces = written(piece_counts(own, tokenizer_path, pattern), "pieces")
-    short = pieces.where(F.octet_length("term") <= HEAD_BYTES).orderBy(F.desc("docs"), "term").limit(HEAD_TERMS)
-    head = docs.sparkSession.sparkContext.broadcast({r.term: r.n for r in short.select("term", "n").collect()})
+    head = docs.sparkSession.sparkContext.broadcast(_head(pieces))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _pre_tokens(tokenizer_path, pattern), head.value
@@ -115,15 +129,17 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str =
                         else:
                             total += n * f
                     sums.append(total)
-                at = pa.array([*range(len(sums)), *rows], pa.int64())
-                columns = [part.column(c).take(at) for c in ("row", "key", "n_bytes")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([None] * len(sums) + terms, pa.string()), pa.array(sums + freqs, pa.int64())], names=["row", "key", "n_bytes", "term", "freq"])
+                n = len(sums)
+                at = pa.array([*range(n), *rows], pa.int64())
+                own_only = pa.array([*range(n), *[None] * len(rows)], pa.int64())  # key and size stand in one row only
+                columns = [part.column("row").take(at), part.column("key").take(own_only), part.column("n_bytes").take(own_only)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([None] * n + terms, pa.string()), pa.array(sums + freqs, pa.int64())], names=["row", "key", "n_bytes", "term", "freq"])
 
     rows = own.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     kind = docs.schema[key].dataType.simpleString()
     parts = written(rows.mapInArrow(frequencies, f"row long, key {kind}, n_bytes long, term string, freq long"), "frequencies")
-    summed = parts.where("term is null").select("row", "key", "n_bytes", F.col("freq").alias("n"))
-    rare = parts.where("term is not null").join(pieces.select("term", F.col("n").alias("each")), "term")
-    rare = rare.select("row", "key", "n_bytes", (F.col("freq") * F.col("each")).alias("n"))
-    out = summed.unionAll(rare).groupBy("row", "key", "n_bytes").agg(F.sum("n").alias("n_tokens"))
+    summed = parts.where("term is null").select("row", "key", "n_bytes", "freq")
+    rare = parts.where("term is not null").select("row", "term", "freq").join(pieces.select("term", "n"), "term")
+    rare = rare.select("row", (F.col("freq") * F.col("n")).alias("n")).groupBy("row").agg(F.sum("n").alias("n"))
+    out = summed.join(rare, "row", "left").select("key", "n_bytes", (F.col("freq") + F.coalesce("n", F.lit(0))).alias("n_tokens"))
     return out.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
