@@ -2,12 +2,15 @@
 
 A page is read as a sequence of words and tags. Words score by where they
 stand, tags score below zero, and one linear scan finds the contiguous run of
-the highest sum: the content region. Blocks inside it that stand in a menu,
-form, advert or the like are left out.
+the highest sum: the content region. What stands in a menu, form, advert or
+the like scores nothing and is left out, so that it never splits a region.
 
 The weights are log-odds from labelled pages: pages that mark their content
 themselves (``article``, ``main`` or ``articleBody``), at most about
-``LABELLED_PAGES`` of them by a hash of the url. Without any, ``PRIOR`` holds.
+``LABELLED_PAGES`` of them by a hash of the url. Where a page marks its
+content, words outside of the marks count against a region; elsewhere words
+score by their kind: plain, in a list item, or in a link. ``PRIOR`` holds for
+what the labelled pages don't show.
 """
 
 from __future__ import annotations
@@ -45,16 +48,9 @@ BOILER = re.compile(
 )
 LEXER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-PRIOR = {"word:content": 2.0, "word:plain": 1.0, "word:link": -1.5, "word:item": -0.5, "word:boiler": -3.0, "word:outside": -3.0, "tag": -0.7}
-
-
-@dataclass
-class Token:
-    kind: str  # word or tag
-    place: str  # where a word stands; empty for a tag
-    block: int
-    start: int
-    end: int
+# A tag inside marked content costs so little that a block of one word still adds to the region.
+PRIOR = {"content": 2.0, "outside": -3.0, "plain": 1.0, "item": 0.3, "link": -1.0, "tag": -0.2}
+TAG_IN_CONTENT = 0.02
 
 
 @dataclass
@@ -82,23 +78,27 @@ def _marks(attributes: str) -> tuple[bool, bool]:
     return boiler, content
 
 
-def read_page(page: str) -> tuple[list[tuple[str, str, int]], bool]:
-    """The page as (place, text, block) runs, tags with place ``tag``, and whether it marks its content."""
-    runs: list[tuple[str, str, int]] = []
+Run = tuple[str, str, str, int]
+
+
+def read_page(page: str) -> tuple[list[Run], bool]:
+    """The page as (place, kind, text, block) runs, and whether it marks its content.
+
+    Places are content, boiler and open; kinds are plain, item, link, and tag
+    for a tag, whose text is empty.
+    """
+    runs: list[Run] = []
     stack: list[Frame] = []
     block, at, marked = 0, 0, False
 
-    def place() -> str:
+    def add(text: str, kind: str = "") -> None:
         names = {f.name for f in stack}
-        if any(f.boiler for f in stack):
-            return "boiler"
-        if any(f.content for f in stack):
-            return "content"
-        return "link" if "a" in names else "item" if "li" in names else "plain"
+        place = "boiler" if any(f.boiler for f in stack) else "content" if any(f.content for f in stack) else "open"
+        runs.append((place, kind or ("link" if "a" in names else "item" if "li" in names else "plain"), text, block))
 
     def text(raw: str) -> None:
         if raw:
-            runs.append((place(), html.unescape(raw), block))
+            add(html.unescape(raw))
 
     size = len(page)
     while at < size:
@@ -116,8 +116,8 @@ def read_page(page: str) -> tuple[list[tuple[str, str, int]], bool]:
         if name in BLOCK:
             block += 1
         elif name == "br":
-            runs.append((place(), " ", block))
-        runs.append(("tag", name, block))
+            add(" ")
+        add("", "tag")
         if m[1]:
             opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
             if opened is not None:
@@ -150,16 +150,17 @@ def read_page(page: str) -> tuple[list[tuple[str, str, int]], bool]:
     return runs, marked
 
 
-def scores(runs: list[tuple[str, str, int]], marked: bool, weights: dict[str, float]) -> tuple[np.ndarray, list]:
-    """One score for each run: its words times the weight of their place, or the weight of a tag."""
+def scores(runs: list[Run], marked: bool, weights: dict[str, float]) -> np.ndarray:
+    """One score for each run: its words times the weight of where they stand, or that of a tag."""
     out = np.zeros(len(runs))
-    for i, (place, text, _) in enumerate(runs):
-        if place == "tag":
-            out[i] = weights["tag"]
+    for i, (place, kind, text, _) in enumerate(runs):
+        if place == "boiler":
+            continue
+        if kind == "tag":
+            out[i] = weights["tag"] * (TAG_IN_CONTENT if place == "content" else 1.0)
         else:
-            seen = "outside" if marked and place not in ("content", "boiler") else place
-            out[i] = len(text.split()) * weights[f"word:{seen}"]
-    return out, runs
+            out[i] = len(text.split()) * weights["content" if place == "content" else "outside" if marked else kind]
+    return out
 
 
 def best_span(values: np.ndarray) -> tuple[int, int]:
@@ -179,11 +180,10 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     runs, marked = read_page(page)
-    values, _ = scores(runs, marked, weights)
-    start, end = best_span(values)
+    start, end = best_span(scores(runs, marked, weights))
     blocks: dict[int, list[str]] = {}
-    for place, text, block in runs[start:end]:
-        if place not in ("tag", "boiler") and not (marked and place != "content"):
+    for place, _, text, block in runs[start:end]:
+        if place == "content" or place == "open" and not marked:
             blocks.setdefault(block, []).append(text)
     closed = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(b for b in closed if b)
@@ -203,26 +203,24 @@ def learn(pages: DataFrame, url: str = "url", page: str = "html") -> dict[str, f
                 runs, marked = read_page(text)
                 if not marked:
                     continue
-                for place, piece, _ in runs:
-                    if place == "tag":
-                        seen["tag", 0] += 1
-                    else:
-                        seen[place, int(place == "content")] += len(piece.split())
+                for place, kind, piece, _ in runs:
+                    seen[kind, int(place == "content")] += 1 if kind == "tag" else len(piece.split())
         if seen:
             keys = list(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["place", "inside", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["kind", "inside", "n"])
 
-    found = {(r.place, r.inside): r.n for r in sample.mapInArrow(count, "place string, inside int, n long").groupBy("place", "inside").agg(F.sum("n").alias("n")).collect()}
+    found = {(r.kind, r.inside): r.n for r in sample.mapInArrow(count, "kind string, inside int, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()}
     weights = dict(PRIOR)
-    inside = sum(n for (_, i), n in found.items() if i)
-    outside = sum(n for (p, i), n in found.items() if not i and p != "tag")
-    if inside and outside:
-        odds = float(np.log((inside + 1) / (outside + 1)))
-        weights["word:content"] = max(1.0, odds)
-        for place in ("boiler", "outside"):
-            weights[f"word:{place}"] = -max(2.0, odds)
-        tags = found.get(("tag", 0), 0)
-        weights["tag"] = -min(0.9, max(0.1, tags / (tags + inside)))
+    words = {inside: sum(n for (kind, i), n in found.items() if i == inside and kind != "tag") for inside in (0, 1)}
+    if words[0] and words[1]:
+        odds = lambda kind: float(np.log((found.get((kind, 1), 0) + 1) / (found.get((kind, 0), 0) + 1)))
+        both = float(np.log((words[1] + 1) / (words[0] + 1)))
+        weights["content"], weights["outside"] = min(4.0, max(1.0, both)), -min(4.0, max(1.0, both))
+        for kind, low, high in (("plain", 0.5, 2.0), ("item", 0.1, 2.0), ("link", -2.0, 0.5)):
+            if (kind, 0) in found or (kind, 1) in found:
+                weights[kind] = min(high, max(low, odds(kind)))
+        tags = found.get(("tag", 1), 0)
+        weights["tag"] = -min(0.4, max(0.1, tags / (tags + words[1])))
     return weights
 
 
