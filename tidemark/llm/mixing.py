@@ -102,14 +102,14 @@ def mixed_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
     made = take(rows.drop("doc"), weights, max_epochs).where("taken > 0").select("row", "size", "taken")
     made = sent_if_few(written(made, "mix-taken"))
     pieces = F.transform(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")), lambda i: F.least(F.col("size"), F.col("taken") - (i - 1) * F.col("size")))
-    out = rows.select("row", "doc").join(made, "row").select("doc.*", F.col("size").alias("__size"), F.explode(pieces).alias("__words"))
-    cut = F.col("__words") < F.col("__size")
-    first = F.array_join(F.slice(F.split(F.regexp_replace(F.col(text), rf"^{GAP}", ""), GAP), F.lit(1), F.col("__words").cast("int")), " ")
-    out = out.withColumn(text, F.when(cut, first).otherwise(F.col(text)))
+    out = rows.select("row", "doc").join(made, "row").select("doc", "size", F.explode(pieces).alias("words"))
+    whole = F.col("doc").getField(text)
+    first = F.array_join(F.slice(F.split(F.regexp_replace(whole, rf"^{GAP}", ""), GAP), F.lit(1), F.col("words").cast("int")), " ")
+    cut = F.when(F.col("words") < F.col("size"), first)
+    own = {text: F.coalesce(cut, whole)}
     if n_chars:
-        kind = docs.schema[n_chars].dataType
-        out = out.withColumn(n_chars, F.when(cut, F.length(text).cast(kind)).otherwise(F.col(n_chars)))
-    return out.select(*docs.columns)
+        own[n_chars] = F.coalesce(F.length(cut).cast(docs.schema[n_chars].dataType), F.col("doc").getField(n_chars))
+    return out.select(*[own.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 MIX_SQL = r"""
