@@ -10,7 +10,7 @@ from tidemark.config import STREAMS, Config, deep_merge
 from tidemark.operators import classify as K
 from tidemark.operators import watermark as H
 from tidemark.plans import planner as P
-from tidemark.plans.job import batch_id, ingest
+from tidemark.plans.job import batch_id, ingest, pipeline_version
 from tidemark.store import TableStore
 from test_rules import VALID, bars
 
@@ -124,6 +124,14 @@ def test_store_seed_and_replace(spark, tmp_path):
         store.path("none")
 
 
+def test_tables_and_version(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    assert set(store.create_all()) == set(S.TABLES) and store.create_all() == []
+    assert store.read("ingestion_watermark").schema == S.WATERMARK_SCHEMA
+    monkeypatch.setenv("PIPELINE_VERSION", "v9")
+    assert pipeline_version() == "v9"
+
+
 def test_config():
     merged = deep_merge({"a": {"b": 1, "c": [1]}}, {"a": {"c": [2], "d": 3}})
     cfg = Config(merged)

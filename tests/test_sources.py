@@ -71,6 +71,9 @@ def test_providers(spark, tmp_path):
     assert not providers.healthy(spark, str(tmp_path / "none"))
     spark.range(1).write.parquet(str(tmp_path / "some"))
     assert providers.healthy(spark, str(tmp_path / "some"))
+    assert providers.choose(spark, {"ibkr": str(tmp_path / "none"), "yahoo": str(tmp_path / "some")}) == "yahoo"
+    with pytest.raises(RuntimeError):
+        providers.choose(spark, {"ibkr": str(tmp_path / "none")})
     codes = spark.createDataFrame([(30,), (31,), (365,), (366,)], "d int").select(providers.period_code(F.col("d")).alias("p")).collect()
     assert [r.p for r in codes] == ["30d", "4w", "52w", "12m"]
 

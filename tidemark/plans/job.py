@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,16 @@ def batch_id(stream: str, now: datetime | None = None) -> str:
     return f"batch_{stream}_{now.astimezone(timezone.utc):%Y%m%d_%H%M%S}"
 
 
+def pipeline_version() -> str:
+    """From the environment, else the commit that is checked out, else unknown."""
+    if found := os.environ.get("PIPELINE_VERSION"):
+        return found
+    try:
+        return subprocess.run(["git", "rev-parse", "--short", "HEAD"], capture_output=True, text=True, check=True, timeout=5).stdout.strip() or "unknown"
+    except (OSError, subprocess.SubprocessError):
+        return "unknown"
+
+
 def planned(bars: DataFrame, plans: DataFrame) -> DataFrame:
     """Bars that the plans ask for."""
     wanted = plans.where("mode != 'NO_OP'").select("symbol", "start_date", "end_date")

@@ -37,6 +37,11 @@ COMMAND_SCHEMA = _schema("command_id:l instrument_id:l symbol:s command:s start_
 RUN_LOG_SCHEMA = _schema("run_id:s instrument_id:l stream:s status:s records_written:l error:s started_at:s completed_at:s")
 TICKER_SCHEMA = _schema("symbol:s name:s sector:s asset_class:s active:s added_date:s min_price:s market_cap_tier:s history_start:s ipo_date:s notes:s")
 
+TABLES = {
+    "instrument": INSTRUMENT_SCHEMA, "instrument_listing": LISTING_SCHEMA, "universe_membership": MEMBERSHIP_SCHEMA, "ticker_feed_config": FEED_SCHEMA, "market_calendar": CALENDAR_SCHEMA,
+    "ingestion_watermark": WATERMARK_SCHEMA, "ingestion_batch_config": BATCH_CONFIG_SCHEMA, "ingestion_command": COMMAND_SCHEMA, "job_run_log": RUN_LOG_SCHEMA,
+}
+
 # Members of the enums.
 INTERVALS = ("1d", "1h", "4h", "15m", "5m", "1m")
 SESSIONS = ("regular", "pre", "post", "extended")

@@ -141,6 +141,14 @@ def healthy(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def choose(spark: SparkSession, landed: dict[str, str]) -> str:
+    """The primary provider if its landed source is healthy, else the fallback, for a whole run."""
+    for name in (PRIMARY, FALLBACK):
+        if name in landed and healthy(spark, landed[name]):
+            return name
+    raise RuntimeError("no provider has a readable source")
+
+
 def read_bars(spark: SparkSession, path: str, name: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
     """Landed payloads (JSON lines or Parquet, by the path's ending) as bars of a date range."""
     raw = spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.schemas import TABLES
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -55,6 +57,17 @@ class TableStore:
         version = self._version(name) + 1
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}/v={version}")
 
+    def create(self, name: str, schema: T.StructType) -> bool:
+        """An empty table of this schema, unless there is one; whether it made one."""
+        if self.exists(name):
+            return False
+        self.replace(name, self.spark.createDataFrame([], schema))
+        return True
+
+    def create_all(self) -> list[str]:
+        """All reference and control tables that don't exist yet; their names."""
+        return [n for n, schema in TABLES.items() if self.create(n, schema)]
+
     def seed(self, name: str, rows: DataFrame) -> bool:
         """Write ``rows`` only where the table has none; whether it did."""
         if self.exists(name) and not self.read(name).isEmpty():
