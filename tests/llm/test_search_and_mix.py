@@ -190,6 +190,18 @@ def test_main_text():
     assert html_text.main_text(long, html_text.PRIOR).count("\n") == 19999
 
 
+def test_boilerplate_by_name():
+    inside = lambda attributes: html_text.main_text(f"<article><p>one two</p><div {attributes}><p>three</p></div><p>four</p></article>", html_text.PRIOR)
+    outside = lambda attributes: html_text.main_text(f"<body><div {attributes}>one</div><div><p>two three four</p></div></body>", html_text.PRIOR)
+    for attributes in ('class="comments"', 'class="commentList"', 'id="reader_comments"', "class=ad", 'class="x advert-box"', 'role="navigation"', 'class="share-buttons"', "hidden", 'style="display: none"', 'class="newsletter signup"'):
+        assert inside(attributes) == "one two\nfour", attributes
+    for attributes in ('class="commentary"', 'class="shadow"', 'class="header"', 'class="load"', 'id="adaptive"', 'class="article-header"'):
+        assert inside(attributes) == "one two\nthree\nfour", attributes
+    for attributes in ('class="header"', 'id="site-header"', 'role="banner"', 'class="top menu"', 'id="sidebar"'):
+        assert outside(attributes) == "two three four", attributes
+    assert outside('class="article-header"') == "one\ntwo three four"
+
+
 def test_best_span():
     rng = random.Random(1)
     for _ in range(200):

@@ -43,9 +43,11 @@ BLOCK = {
 CONTENT = {"article", "main"}
 # Words of class, id or role that mark what isn't the article.
 BOILER = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|menu|nav\w*|breadcrumbs?|footer|masthead|site-?header|page-?header|top-?bar|toolbar|comments?|comment-\w+|disqus|respond|repl(?:y|ies)"
-    r"|notices?|cookies?|consent|gdpr|popup|pop-up|modal|overlay|alert|newsletter|subscribe|subscription|signup|sign-up|login|share|sharing|social|related|recommend\w*|widget|pagination|pager|search|copyright|legal|disclaimer)(?![a-z])"
+    r"(?<![a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|menu|nav\w*|breadcrumbs?|footer|masthead|site-?header|page-?header|top-?bar|toolbar|comment(?!ar)\w*|disqus|respond|repl(?:y|ies)"
+    r"|notices?|notification\w*|paywall|cookies?|consent|gdpr|popup|pop-up|modal|overlay|alert|newsletter|subscribe|subscription|signup|sign-up|login|share|sharing|social|related|recommend\w*|widget|pagination|pager|search|copyright|legal|disclaimer)(?![a-z])"
 )
+# A header by name is one only outside of the article, whose own heading belongs to it.
+HEADER = re.compile(r"(?:class|id|role)\s*=\s*[\"']?(?:[^\"'>]*[\s_-])?(?<!article-)(?<!post-)(?<!entry-)(?:header|banner)(?![a-z])", re.I)
 LEXER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 # A tag inside marked content costs so little that a block of one word still adds to the region.
@@ -143,7 +145,7 @@ def read_page(page: str) -> tuple[list[Run], bool]:
             stack[:] = [f for f in stack if f.name != "head"]
         boiler, content = _marks(m[3])
         inside = any(f.content for f in stack)
-        header = name == "header" and not inside  # the heading of an article belongs to it
+        header = not inside and (name == "header" or bool(HEADER.search(m[3])))
         content = content or name in CONTENT
         marked = marked or content and not boiler and not any(f.boiler for f in stack)
         stack.append(Frame(name, name in HIDDEN or header or boiler and name not in ("html", "body"), content))
