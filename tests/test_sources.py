@@ -88,6 +88,8 @@ def test_tickers(spark, tmp_path):
     assert files.read_strategies(spark, str(tmp_path / "s.csv")).first().entry_indicators == ["ema15", "ema45"]
     path = files.land_text(spark.createDataFrame([("a",), ("b",)], "value string"), str(tmp_path), "nasdaq", "2026-01-01")
     assert spark.read.text(path).count() == 2
+    path = files.land_bytes(spark, b"\x00\xffPK", str(tmp_path), "etf", "2026-01-01", "a.xlsx")
+    assert bytes(spark.read.format("binaryFile").load(path).first().content) == b"\x00\xffPK"
 
 
 def test_calendar(spark):

@@ -32,3 +32,13 @@ def land_text(lines: DataFrame, root: str, source: str, day: str) -> str:
     path = f"{root.rstrip('/')}/reference/{source}/{day}"
     lines.select(F.col("value").cast("string")).write.mode("overwrite").text(path)
     return path
+
+
+def land_bytes(spark: SparkSession, data: bytes, root: str, source: str, day: str, name: str) -> str:
+    """Keep a binary file (a workbook) as it came; the path it went to."""
+    path = f"{root.rstrip('/')}/reference/{source}/{day}/{name}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data))
+    out.close()
+    return path
