@@ -31,14 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.scratch import written
-from tidemark.llm.words import MUL_A, mix, slices, span_hash, span_sums, split_words, text_bytes
+from tidemark.llm.words import MUL_A, lean, mix, slices, span_hash, span_sums, split_words, text_bytes
 
 WINDOW = 35
 PREFIX = 8
-SLICE = 3 << 20
+SLICE = 1 << 20
 PREFIX_BASE, DEPTH_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-# Ranges of removed words go to every worker if they are at most this many (8 bytes each), else texts are shuffled to them.
-SENT_RANGES, SENT_DOCS = 4_000_000, 400_000
 
 
 def sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +105,7 @@ def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) ->
                     names=["key", "branch", "id", "print", "start", "more", "loop"],
                 )
 
-    filed = rows.mapInArrow(file_windows, T.StructType([T.StructField("key", T.LongType()), T.StructField("branch", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("more", T.IntegerType()), T.StructField("loop", T.BooleanType())]))
+    filed = rows.mapInArrow(lean(file_windows), T.StructType([T.StructField("key", T.LongType()), T.StructField("branch", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("more", T.IntegerType()), T.StructField("loop", T.BooleanType())]))
     same_key, same_branch = W.partitionBy("key"), W.partitionBy("key", "branch")
     shared = filed.withColumn("n_key", F.count("*").over(same_key)).where("n_key > 1 or loop")
     shared = shared.withColumn("n_branch", F.count("*").over(same_branch)).withColumn("nth", F.row_number().over(same_branch.orderBy("print", "id", "start")))
@@ -118,8 +116,8 @@ def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) ->
     texts = _with_texts(rows, written(unequal, "unequal-branches"), "branches")
 
     def open_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, p, t, found in zip(*(batch.column(c).to_pylist() for c in ("id", "print", "text", "branches")), strict=True):
+        for batch in (part for b in batches for part in slices(b, "text", SLICE)):
+            for i, p, t, found in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("id", "print", "text", "branches")), strict=True):
                 each = windows(np.frombuffer(t.encode(), dtype=np.uint8), window)
                 more = np.array([b["more"] for b in found]) + 1
                 start = np.repeat(np.array([b["start"] for b in found]), more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
@@ -131,7 +129,7 @@ def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) ->
 
     id_type = to_arrow_type(kind)
     leaves = written(
-        texts.mapInArrow(open_branches, T.StructType([T.StructField("key", T.LongType()), T.StructField("depth", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("open", T.BooleanType())])), "leaves"
+        texts.mapInArrow(lean(open_branches), T.StructType([T.StructField("key", T.LongType()), T.StructField("depth", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("open", T.BooleanType())])), "leaves"
     )
     nodes = leaves.groupBy("key", "depth").agg(F.count("*").alias("n")).where("n > 1").select("key", "depth")
     partly = leaves.where("open").join(nodes, ["key", "depth"]).select("id", "print", "start", F.col("start").alias("end"))
@@ -139,11 +137,8 @@ def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) ->
 
 
 def _with_texts(rows: DataFrame, found: DataFrame, column: str, how: str = "inner") -> DataFrame:
-    """Texts joined to what was found in them: to a bounded table on the map side, else by a shuffle."""
-    size = found.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size(column)), F.lit(0)).alias("items")).first()
-    few = size.docs <= SENT_DOCS and size.items <= SENT_RANGES
+    """Texts joined to what was found in them."""
     other = found.select(F.col("id").alias("__id"), F.col("print").alias("__print"), column)
-    other = F.broadcast(other) if few else other
     return rows.join(other, (F.col("print") == F.col("__print")) & F.col("id").eqNullSafe(F.col("__id")), how).drop("__id", "__print")
 
 
@@ -179,4 +174,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=[key, "n_words", "n_removed", "kept"])
 
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)

@@ -6,7 +6,8 @@ bytes never occur inside another character, so working on bytes is exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,8 @@ LOWER[0x41:0x5B] += 32
 MUL_A = np.uint64(0x9E3779B97F4A7C15)
 MUL_B = np.uint64(0xC2B2AE3D27D4EB4F)
 MUL_C = np.uint64(0x165667B19E3779F9)
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 1 << 20
+GIVE_BACK = 16
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -65,6 +67,29 @@ class Words:
         return h
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, so that an idle worker stays small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving memory back every ``GIVE_BACK`` batches and at the end."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for n, batch in enumerate(run(batches), 1):
+                yield batch
+                if n % GIVE_BACK == 0:
+                    _give_back()
+        finally:
+            _give_back()
+
+    return wrapped
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string array; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
