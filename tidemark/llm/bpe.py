@@ -23,12 +23,12 @@ from pyspark.sql import types as T
 
 from tidemark.llm.pre_tokens import splitter
 from tidemark.llm.scratch import without
-from tidemark.llm.words import slices
+from tidemark.llm.words import lean, slices
 
 BYTE_BASE = 0x2800  # byte b is written as the character BYTE_BASE + b: 256 symbols without case or space
 BYTE_CHARS = [chr(BYTE_BASE + b) for b in range(256)]
 _TO_CHARS = {b: BYTE_BASE + b for b in range(256)}
-CACHE_ENTRIES = 300_000  # pre-tokens remembered by a worker
+CACHE_ENTRIES = 120_000  # pre-tokens remembered by a worker
 CACHE_BYTES = 64  # longer pre-tokens are encoded anew each time
 
 
@@ -139,7 +139,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
                     columns.append(pa.array([c.decode(a) for a in out], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -153,4 +153,4 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decode
             raw = [None if a is None else b"".join(map(tokens.__getitem__, a)) for a in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)

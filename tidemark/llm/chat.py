@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import without
+from tidemark.llm.words import lean
 
 BEGIN, BODY, CLOSE, END = "<s>", "[INST] ", " [/INST]", "</s>"
 _PLAIN = re.compile(r"(<)(\\*)(/?s>)|(\[)(\\*)(/?INST\])")
@@ -103,7 +104,7 @@ def render_turns(turns: DataFrame, role: str = "role", text: str = "text", out:
             made = [render_turn(r or "", t or "") for r, t in zip(column(role), column(text), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int32())], names=schema.names)
 
-    return turns.mapInArrow(run, schema)
+    return turns.mapInArrow(lean(run), schema)
 
 
 def in_order(rendered: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -162,4 +163,4 @@ def read_back(rendered: DataFrame, conv: str = "conv_id", turn: str = "turn") ->
             yield flush()
 
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return in_order(rendered, conv, turn).select(F.col(conv).alias("conv_id"), "rendered").mapInArrow(run, schema)
+    return in_order(rendered, conv, turn).select(F.col(conv).alias("conv_id"), "rendered").mapInArrow(lean(run), schema)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.scratch import without
+from tidemark.llm.words import lean
 
 LABELLED_PAGES = 2000
 
@@ -211,7 +212,7 @@ def learn(pages: DataFrame, url: str = "url", page: str = "html") -> dict[str, f
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["kind", "inside", "n"])
 
-    found = {(r.kind, r.inside): r.n for r in sample.mapInArrow(count, "kind string, inside int, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()}
+    found = {(r.kind, r.inside): r.n for r in sample.mapInArrow(lean(count), "kind string, inside int, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()}
     weights = dict(PRIOR)
     words = {inside: sum(n for (kind, i), n in found.items() if i == inside and kind != "tag") for inside in (0, 1)}
     if words[0] and words[1]:
@@ -244,4 +245,4 @@ def extract(pages: DataFrame, weights: dict[str, float], page: str = "html", out
                 texts = [main_text(t, weights) for t in column.slice(at, 500).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(lean(run), schema)

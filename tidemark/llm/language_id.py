@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.scratch import without
-from tidemark.llm.words import slices, text_bytes
+from tidemark.llm.words import lean, slices, text_bytes
 
 BUCKETS = 1 << 15
 ROWS_PER_LANGUAGE = 4000
@@ -126,7 +126,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "bucket", "n"])
 
-    table = sample.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = sample.mapInArrow(lean(count), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(languages), BUCKETS))
     counts[table["lang"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
     share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True)
@@ -146,7 +146,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                 right = margins * m.code[[place[g] for g in piece.column(0).to_pylist()]] > 0
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(right.shape[1]), pa.int32()), pa.array(right.sum(axis=0), pa.int64()), pa.array(np.full(right.shape[1], len(right)), pa.int64())], names=["bit", "ok", "n"])
 
-    judged = sample.mapInArrow(judge, "bit int, ok long, n long").groupBy("bit").agg(F.sum("ok").alias("ok"), F.sum("n").alias("n")).collect()
+    judged = sample.mapInArrow(lean(judge), "bit int, ok long, n long").groupBy("bit").agg(F.sum("ok").alias("ok"), F.sum("n").alias("n")).collect()
     for r in judged:
         error = min(max(1 - r.ok / r.n, 0.001), 0.499)
         model.bit_weight[r.bit] = np.log((1 - error) / error)
@@ -188,4 +188,4 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", out: str =
                 label = [m.languages[b] if h else UNDETERMINED for b, h in zip(best, has, strict=True)]
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(label, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.pre_tokens import splitter
 from tidemark.llm.scratch import written
-from tidemark.llm.words import slices
+from tidemark.llm.words import lean, slices
 
 HEAD_TERMS = 150_000
 HEAD_BYTES = 48  # longer pre-tokens aren't sent to every worker
@@ -82,8 +82,8 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, pattern: str, text: str =
             n = [len(e.ids) for e in tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int32())], names=["term", "docs", "n"])
 
-    distinct = docs.select(F.col(text).alias("text")).mapInArrow(terms, "term string, docs long")
-    return distinct.groupBy("term").agg(F.sum("docs").alias("docs")).mapInArrow(count, "term string, docs long, n int")
+    distinct = docs.select(F.col(text).alias("text")).mapInArrow(lean(terms), "term string, docs long")
+    return distinct.groupBy("term").agg(F.sum("docs").alias("docs")).mapInArrow(lean(count), "term string, docs long, n int")
 
 
 def _head(pieces: DataFrame) -> dict[str, int]:
@@ -137,7 +137,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str =
 
     rows = own.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     kind = docs.schema[key].dataType.simpleString()
-    parts = written(rows.mapInArrow(frequencies, f"row long, key {kind}, n_bytes long, term string, freq long"), "frequencies")
+    parts = written(rows.mapInArrow(lean(frequencies), f"row long, key {kind}, n_bytes long, term string, freq long"), "frequencies")
     summed = parts.where("term is null").select("row", "key", "n_bytes", "freq")
     rare = parts.where("term is not null").select("row", "term", "freq").join(pieces.select("term", "n"), "term")
     rare = rare.select("row", (F.col("freq") * F.col("n")).alias("n")).groupBy("row").agg(F.sum("n").alias("n"))
