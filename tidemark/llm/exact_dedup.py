@@ -23,9 +23,10 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WHITE_SPACE, "")
 
 
-def digest_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write one sorted run for each partition: digest, a second hash, the identifier and the whole row as ``doc``."""
-    own = docs.select(F.struct("*").alias("doc"), F.col(key).alias("id"), F.coalesce(F.length(text), F.lit(0)).alias("n_points"), normalised(text).alias("norm"))
+def digest_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """Write one sorted run for each partition: digest, a second hash, the identifier, and with ``carry`` the row as ``doc``."""
+    doc = [F.struct("*").alias("doc")] if carry else []
+    own = docs.select(*doc, F.col(key).alias("id"), F.coalesce(F.length(text), F.lit(0)).alias("n_points"), normalised(text).alias("norm"))
     runs = own.select(
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),
@@ -33,7 +34,7 @@ def digest_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.xxhash64("norm").alias("verify"),
         "id",
         "n_points",
-        "doc",
+        *(["doc"] if carry else []),
     )
     return written(runs.sortWithinPartitions("digest"), "digest-runs")
 
@@ -62,7 +63,7 @@ def label(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Of rows identical in all of that, exactly one stays. Null keys come last.
     Other columns play no part; an empty table gives no rows.
     """
-    runs = digest_runs(docs.select(key, text), key, text).drop("doc")
+    runs = digest_runs(docs, key, text)
     merged = tree_merge(runs)
     joined = runs.join(merged.select("digest", "verify", "best", "n"), ["digest", "verify"])
     return joined.select(
@@ -76,7 +77,7 @@ def label(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts."""
-    runs = digest_runs(docs, key, text)
+    runs = digest_runs(docs, key, text, carry=True)
     best = written(tree_merge(runs.drop("doc")).select(F.col("best.row").alias("row")), "kept-rows")
     return runs.select("row", "doc").join(sent_if_few(best), "row", "left_semi").select("doc.*")
 
