@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import written
+from tidemark.llm.words import lean
 
 SAMPLE_ROWS = 16_384
 SAMPLE_FLOATS = 4 << 20
@@ -116,12 +117,12 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 class Nearest:
-    """The k nearest (query, id, distance) so far, held in bounded memory."""
+    """The k nearest (query, id, distance, leaf) so far, held in bounded memory."""
 
     def __init__(self, k: int, most: int = 400_000):
         self.k, self.most, self.parts, self.rows = k, most, [], 0
 
-    def offer(self, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def offer(self, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, leaf: int = -1) -> None:
         square = (vectors * vectors).sum(axis=1)
         for at in range(0, len(queries), 64):
             near = square[None] - 2 * queries[at : at + 64] @ vectors.T
@@ -135,30 +136,30 @@ class Nearest:
                 rows = rows[ids[rows] != qid]
                 away = np.sqrt(((vectors[rows] - q) ** 2).sum(axis=1))
                 best = np.lexsort((ids[rows], away))[: self.k]
-                self.parts.append((np.full(len(best), qid), ids[rows[best]], away[best]))
+                self.parts.append((np.full(len(best), qid), ids[rows[best]], away[best], np.full(len(best), leaf)))
                 self.rows += len(best)
         if self.rows > self.most:
             self.parts = [self.result()]
             self.rows = len(self.parts[0][0])
             self.most = max(self.most, 2 * self.rows)
 
-    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if not self.parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        q, ids, away = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        q, ids, away, leaf = (np.concatenate(c) for c in zip(*self.parts, strict=True))
         order = np.lexsort((ids, away, q))
-        q, ids, away = q[order], ids[order], away[order]
+        q, ids, away, leaf = q[order], ids[order], away[order], leaf[order]
         start = np.concatenate([[True], q[1:] != q[:-1]])
         place = np.arange(len(q)) - np.repeat(np.flatnonzero(start), np.diff(np.append(np.flatnonzero(start), len(q))))
         keep = place < self.k
-        return q[keep], ids[keep], away[keep]
+        return q[keep], ids[keep], away[keep], leaf[keep]
 
     def batch(self) -> pa.RecordBatch:
-        q, ids, away = self.result()
-        return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(ids, pa.int64()), pa.array(away, pa.float64())], names=["query_id", "vec_id", "score"])
+        q, ids, away, leaf = self.result()
+        return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(ids, pa.int64()), pa.array(away, pa.float64()), pa.array(leaf, pa.int32())], names=["query_id", "vec_id", "score", "leaf"])
 
 
-_NEAR = "query_id long, vec_id long, score double"
+_NEAR = "query_id long, vec_id long, score double, leaf int"
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -215,7 +216,7 @@ def _packs(rows: DataFrame, dim: int, leaves_of, size: int, names: tuple[str, st
         for at in range(0, len(full), 64):
             yield out(full[at : at + 64])
 
-    return rows.mapInArrow(run, f"{names[0]} int, {names[1]} binary, {names[2]} binary")
+    return rows.mapInArrow(lean(run), f"{names[0]} int, {names[1]} binary, {names[2]} binary")
 
 
 @dataclass
@@ -259,19 +260,15 @@ def calibrate(index: Index, queries: DataFrame, k: int, target: float = TARGET_R
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near, (query_ids, queries_) = Nearest(k), sent.value
-        leaf_of: dict[int, int] = {}
         for batch in batches:
             for leaf, i, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                each = _unpack(i, v, dim)
-                leaf_of.update(dict.fromkeys(each[0].tolist(), leaf))
-                near.offer(query_ids, queries_, *each)
-        out = near.batch()
-        yield out.append_column("leaf", pa.array([leaf_of[i] for i in out.column(1).to_pylist()], pa.int32()))
+                near.offer(query_ids, queries_, *_unpack(i, v, dim), leaf)
+        yield near.batch()
 
     from pyspark.sql import Window as W
 
     order = W.partitionBy("query_id").orderBy("score", "vec_id")
-    true = index.blocks.mapInArrow(scan, f"{_NEAR}, leaf int").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    true = index.blocks.mapInArrow(lean(scan), _NEAR).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     leaves: dict[int, list[int]] = {}
     for r in true.select("query_id", "leaf").collect():  # at most k a calibration query
         leaves.setdefault(r.query_id, []).append(r.leaf)
@@ -306,8 +303,9 @@ def search(index: Index, queries: DataFrame, k: int, visits: int) -> DataFrame:
                 found.offer(*_unpack(qi, qv, dim), *_unpack(i, v, dim))
         yield found.batch()
 
-    pairs = packs.join(index.blocks, "leaf").select("query_ids", "queries", "ids", "vectors")
-    return _top(pairs.mapInArrow(near, _NEAR), k)
+    # Packs hold each query once for every leaf it visits: more than their input shows, and never broadcast.
+    pairs = packs.hint("merge").join(index.blocks, "leaf").select("query_ids", "queries", "ids", "vectors")
+    return _top(pairs.mapInArrow(lean(near), _NEAR), k)
 
 
 def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, target: float = TARGET_RECALL) -> DataFrame:
