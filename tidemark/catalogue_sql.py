@@ -100,7 +100,7 @@ TICKERS = """tickers AS (SELECT symbol, CASE WHEN instrument_id % 5 = 0 THEN 'et
   CASE WHEN instrument_id % 3 = 0 THEN DATE '1990-01-01' + CAST(instrument_id AS INT) END AS history_start, DATE '1980-01-01' + CAST(instrument_id AS INT) AS ipo_date FROM sup)"""
 COMMANDS = "commands AS (SELECT instrument_id AS command_id, instrument_id, ['FORCE_RELOAD', 'HISTORY_LOAD', 'PAUSE', 'RESUME', 'SKIP_ONCE'][CAST(instrument_id % 5 + 1 AS INT)] AS command, CASE WHEN instrument_id % 2 = 0 THEN 'PENDING' ELSE 'DONE' END AS status FROM sup WHERE instrument_id % 3 = 0)"
 GATEWAY = """
-g AS (SELECT upper(event_type) AS symbol, event_id AS k, CASE event_id % 3 WHEN 0 THEN '1d' WHEN 1 THEN '1h' ELSE '5m' END AS interval, epoch_ms(ts) AS ms, value, user_id FROM events WHERE event_id % 50 <> 0 AND event_id % 60 <> 0 AND value > 0),
+g AS (SELECT upper(event_type) AS symbol, event_id AS k, CASE event_id % 3 WHEN 0 THEN '1d' WHEN 1 THEN '1h' ELSE '5m' END AS interval, epoch_us(ts) // 1000 AS ms, value, user_id FROM events WHERE event_id % 50 <> 0 AND event_id % 60 <> 0 AND value > 0),
 gt AS (SELECT *, make_timestamp(ms * 1000) AS utc FROM g)"""
 _LOCAL = "timezone('America/New_York', timezone('UTC', {}))"
 _RUN = f"{BARS}, {STORED}, {_checked('incoming')}, wr AS (SELECT * FROM checked WHERE outcome <> 'rejected'), {_classified('wr')}"
