@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,43 +43,60 @@ BLOCK = {
     "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 }
 CONTENT = {"article", "main"}
-# Words of class, id or role that mark what isn't the article.
+# Words of class, id or role that mark what isn't the article. A token counts if all its parts are such words or PLACES.
 BOILER = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|menu|nav\w*|breadcrumbs?|footer|masthead|site-?header|page-?header|top-?bar|toolbar|comment(?!ar)\w*|disqus|respond|repl(?:y|ies)"
-    r"|notices?|notification\w*|paywall|cookies?|consent|gdpr|popup|pop-up|modal|overlay|alert|newsletter|subscribe|subscription|signup|sign-up|login|share|sharing|social|related|recommend\w*|widget|pagination|pager|search|copyright|legal|disclaimer)(?![a-z])"
+    r"ads?|advert(?:s|isements?|ising|orials?)?|adsense|sponsor(?:s|ed|ship)?|promo(?:s|ted|tions?|tional)?|banner|sidebar|menus?|nav|navbar|navigation|navs|breadcrumbs?|footer|masthead|topbar|toolbar|comments?|commentlist|disqus|respond|repl(?:y|ies)"
+    r"|notices?|notifications?|paywall|cookies?|consent|gdpr|popup|modal|overlay|alert|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend(?:ed|ations?)?|widgets?|pagination|pager|search|copyright|legal|disclaimer"
 )
+PLACES = re.compile(
+    r"\d*|main|primary|secondary|site|page|global|top|bottom|left|right|first|last|header|container|wrapper|wrap|inner|outer|area|bar|box|block|slot|unit|list|items?|section|div|body|links?|buttons?|icons?|form|input|field|posts?|articles?|stor(?:y|ies)|readers?|users?|visitors?|reading|bootstrap|wp"
+)
+PAIRS = re.compile(r"\b(side|top|tool)-bar\b|\b(pop|sign)-(up)\b")
 # A header by name is one only outside of the article, whose own heading belongs to it.
-HEADER = re.compile(r"(?:class|id|role)\s*=\s*[\"']?(?:[^\"'>]*[\s_-])?(?<!article-)(?<!post-)(?<!entry-)(?:header|banner)(?![a-z])", re.I)
+HEADER = re.compile(r"(?:(?:site|page|main|top|global)-?)?(?:header|banner)(?:-(?:container|wrapper|inner|area|bar))?")
 LEXER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 # A tag inside marked content costs so little that a block of one word still adds to the region.
 PRIOR = {"content": 2.0, "outside": -3.0, "plain": 1.0, "item": 0.3, "link": -1.0, "tag": -0.2}
 TAG_IN_CONTENT = 0.02
 
 
-@dataclass
+@dataclass(eq=False)
 class Frame:
+    """An open element; ``named`` is boilerplate by its name only, and none once it turns out to hold the page's article."""
+
     name: str
     boiler: bool
+    named: bool
     content: bool
+    words: int = 0
+
 
+@lru_cache(maxsize=1 << 14)
+def _boiler_token(token: str) -> bool:
+    """Whether a whole token of class or id names boilerplate."""
+    parts = [p.rstrip("0123456789") for p in re.split(r"[-_]+", PAIRS.sub(r"\1bar", token) if "bar" in token else PAIRS.sub(r"\2\3", token))]
+    known = [bool(BOILER.fullmatch(p)) for p in parts]
+    return any(known) and all(k or PLACES.fullmatch(p) for k, p in zip(known, parts, strict=True))
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether an element's attributes mark it as boilerplate, and as content."""
+
+def _marks(attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element's attributes hide it, name it as boilerplate, as a header, and as content."""
+    hidden = boiler = header = content = False
     if not attributes or attributes.isspace():
-        return False, False
-    boiler = content = False
+        return hidden, boiler, header, content
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name in ("class", "id", "role"):
-            spaced = re.sub(r"[_\s]+", " ", value)
-            boiler = boiler or bool(BOILER.search(spaced)) or value in ("complementary", "contentinfo", "navigation", "dialog", "alertdialog")
+            tokens = value.split()
+            boiler = boiler or any(map(_boiler_token, tokens)) or value in ("complementary", "contentinfo", "navigation", "dialog", "alertdialog")
+            header = header or any(HEADER.fullmatch(t.replace("_", "-")) for t in tokens)
         elif name == "itemprop":
             content = content or value == "articlebody"
-            boiler = boiler or value == "comment"
+            hidden = hidden or value == "comment"
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            boiler = True
-    return boiler, content
+            hidden = True
+    return hidden, boiler, header, content
 
 
 Run = tuple[str, str, str, int]
@@ -88,16 +106,25 @@ def read_page(page: str) -> tuple[list[Run], bool]:
     """The page as (place, kind, text, block) runs, and whether it marks its content.
 
     Places are content, boiler and open; kinds are plain, item, link, and tag
-    for a tag, whose text is empty.
+    for a tag, whose text is empty. An element that is boilerplate by its name
+    isn't if it is or holds ``main`` or an ``articleBody``, or an article with
+    more words than all of the page that isn't boilerplate.
     """
-    runs: list[Run] = []
+    held: list[tuple[list[Frame] | None, bool, str, str, int]] = []
+    marks: list[tuple[Frame, list[Frame], bool]] = []
     stack: list[Frame] = []
-    block, at, marked = 0, 0, False
+    block, at = 0, 0
 
     def add(text: str, kind: str = "") -> None:
         names = {f.name for f in stack}
-        place = "boiler" if any(f.boiler for f in stack) else "content" if any(f.content for f in stack) else "open"
-        runs.append((place, kind or ("link" if "a" in names else "item" if "li" in names else "plain"), text, block))
+        if not any(f.boiler for f in stack):
+            n = len(text.split())
+            for f in stack:
+                if f.content:
+                    f.words += n
+            held.append(([f for f in stack if f.named], any(f.content for f in stack), kind or ("link" if "a" in names else "item" if "li" in names else "plain"), text, block))
+        else:
+            held.append((None, False, kind or "plain", text, block))
 
     def text(raw: str) -> None:
         if raw:
@@ -144,13 +171,30 @@ def read_page(page: str) -> tuple[list[Run], bool]:
                 stack.pop()
         if name == "body":
             stack[:] = [f for f in stack if f.name != "head"]
-        boiler, content = _marks(m[3])
+        hidden, boiler, header, content = _marks(m[3])
         inside = any(f.content for f in stack)
-        header = not inside and (name == "header" or bool(HEADER.search(m[3])))
+        header = not inside and (name == "header" or header)
+        body = content or name == "main"
         content = content or name in CONTENT
-        marked = marked or content and not boiler and not any(f.boiler for f in stack)
-        stack.append(Frame(name, name in HIDDEN or header or boiler and name not in ("html", "body"), content))
-    return runs, marked
+        named = (boiler or header or name == "form") and name not in ("html", "body")
+        stack.append(Frame(name, hidden or name in HIDDEN and name != "form", named, content))
+        if content and not any(f.boiler for f in stack):
+            marks.append((stack[-1], [f for f in stack if f.named], body))
+    for _, over, body in marks:
+        if body:
+            for f in over:
+                f.named = False
+    closed = [(mark, over) for mark, over, _ in marks if any(f.named for f in over)]
+    if closed:
+        mark, over = max(closed, key=lambda c: c[0].words)
+        if mark.words > sum(len(text.split()) for named, _, _, text, _ in held if named is not None and not any(f.named for f in named)):
+            for f in over:
+                f.named = False
+    runs = []
+    for named, content, kind, text_, block in held:
+        place = "boiler" if named is None or any(f.named for f in named) else "content" if content else "open"
+        runs.append((place, kind, text_, block))
+    return runs, any(not any(f.named for f in over) for _, over, _ in marks)
 
 
 def scores(runs: list[Run], marked: bool, weights: dict[str, float]) -> np.ndarray:
