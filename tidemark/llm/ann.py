@@ -285,14 +285,40 @@ def calibrate(index: Index, queries: DataFrame, k: int, target: float = TARGET_R
     return min(visits, index.tree.leaves), recall
 
 
+def own_rows(index: Index, queries: DataFrame) -> int:
+    """The most rows that share one query's key, 1 at least."""
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, dtype=np.int64))], names=["id"])
+
+    each = index.blocks.select("ids").mapInArrow(lean(ids), "id long").join(queries, "id", "left_semi")
+    return max(1, each.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0)
+
+
 def search(index: Index, queries: DataFrame, k: int, visits: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found in the leaves that each query visits."""
-    sent, dim = index.blocks.sparkSession.sparkContext.broadcast(index.tree), index.dim
+    """(query_id, rank, vec_id, score): the k nearest rows found in the leaves that each query visits.
+
+    A query visits ``visits`` leaves, and more until they hold k rows that
+    can't be its own: rows that share a query's key aren't its neighbours.
+    """
+    rows_of = np.zeros(index.tree.leaves, dtype=np.int64)
+    for r in index.blocks.groupBy("leaf").agg(F.sum(F.length("ids") / 8).cast("long").alias("n")).collect():  # one row a leaf of the tree
+        rows_of[r.leaf] = r.n
+    known = queries.where(F.size("v") == index.dim).select("id")
+    sent, dim = index.blocks.sparkSession.sparkContext.broadcast((index.tree, rows_of, own_rows(index, known))), index.dim
 
     def leaves_of(x: np.ndarray):
+        tree, rows, own = sent.value
         for q in x:
-            order = sent.value.visit(q)
-            yield [leaf for _, leaf in zip(range(visits), order, strict=False)]
+            taken, held = [], 0
+            for leaf in tree.visit(q):
+                if len(taken) >= visits and held >= k + own:
+                    break
+                taken.append(leaf)
+                held += int(rows[leaf])
+            yield taken
 
     packs = _packs(queries.where(F.size("v") == dim), dim, leaves_of, PACK_ROWS, ("leaf", "query_ids", "queries"))
 
