@@ -1,21 +1,27 @@
 """Substring dedup: passages of ``WINDOW`` words or more that occur twice anywhere.
 
-Sparse suffix trees, partitioned by prefixes of variable length. Suffixes need
-to be told apart to a depth of ``WINDOW`` words only: a node at that depth with
-two leaves is a repeat, and the nodes below it are the longer ones.
-
-1. Every suffix (window) is filed under the ``PREFIX``-word sequence of least
-   hash among its first ``WINDOW`` words. Equal windows hold the same sequence,
-   and so do most neighbouring ones: a document's consecutive windows under one
-   sequence make one branch, kept as a hash of its sequence and a hash of all
-   its words. About one branch stands for fourteen windows.
-2. Prefixes of ``PREFIX`` words that occur once end there, unless inside one branch. Where branches are
-   shared, the prefix is lengthened to the whole branch: two branches equal in
-   all their words are repeats in all their windows.
-3. Only where branches of one sequence differ, they are opened into their
-   windows, one branch for each distinct text, and the windows' full depth of
-   ``WINDOW`` words decides. Nothing is compared in pairs and no group is
-   gathered in one place; equality is that of two independent 64-bit hashes.
+Suffix trees over groups of suffixes, partitioned by prefixes of variable length.
+
+1. Every suffix of ``WINDOW`` words or more is filed under the ``PREFIX``-word
+   sequence of least hash among its first ``WINDOW`` words. Suffixes that agree
+   over that depth hold the same sequence, and so do most neighbouring ones: a
+   document's consecutive suffixes under one sequence make one branch, which
+   travels as one row. About one branch stands for ten suffixes.
+2. A sequence that occurs once ends there. Equal branches are one path with
+   several leaves: they are counted by partial aggregates, all their suffixes
+   are repeats, and one of them stands for all in what follows.
+3. The paths of one sequence are a group. Groups of at most ``GROUP_WORDS`` words
+   are packed into slabs of bounded memory, and the suffix tree of each slab is
+   built to the depth of ``WINDOW`` words: its suffixes in order, with the length
+   of the prefix that neighbours share. Internal nodes at that depth are the
+   stretches of neighbours that share ``WINDOW`` words; their leaves are repeats,
+   and consecutive ones make up the maximal repeats.
+4. A larger group is split: its paths are filed again under sequences of twice the
+   length, as often as it takes, at last under all ``WINDOW`` words, where equal
+   suffixes are equal branches and need no tree.
+
+Nothing is compared in pairs and no group is gathered in one place. Sequences and
+branches are compared by 64-bit hashes (branches by two), words in a tree by one.
 """
 
 from __future__ import annotations
@@ -25,17 +31,18 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.scratch import written
-from tidemark.llm.words import MUL_A, lean, mix, slices, span_hash, span_sums, split_words, text_bytes
+from tidemark.llm.words import lean, slices, span_hash, span_sums, split_words, text_bytes
 
 WINDOW = 35
 PREFIX = 8
 SLICE = 1 << 20
+GROUP_WORDS = 1 << 16  # of one sequence's paths; above, the sequence is lengthened
+SLAB_WORDS = 1 << 18  # of the groups whose suffixes are sorted together
 PREFIX_BASE, DEPTH_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
 
@@ -56,6 +63,7 @@ def branches(data: np.ndarray, offsets: np.ndarray, window: int, prefix: int) ->
     """Branches of all rows: row, prefix hash, branch hash, first window's word, further windows, loop.
 
     A loop holds its prefix more than once, so that its own windows may repeat.
+    A prefix of a whole window has that window alone in its branches.
     """
     words = split_words(data, offsets)
     n, first = len(words.starts), words.first
@@ -70,7 +78,7 @@ def branches(data: np.ndarray, offsets: np.ndarray, window: int, prefix: int) ->
     least, place = sliding_min(prefixes, window - prefix + 1)
     at = start[whole]  # beyond the last window's start, least isn't read
     key, owner, place = least[at], row[at], place[at]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (prefix == window)])
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(at)) - 1
     begin, more = at[head], at[tail] - at[head]
@@ -79,61 +87,175 @@ def branches(data: np.ndarray, offsets: np.ndarray, window: int, prefix: int) ->
     return {"row": owner[head], "key": key[head].view(np.int64), "branch": branch.view(np.int64), "start": begin - first[owner[head]], "more": more, "loop": place[head] != place[tail]}
 
 
-def windows(data: np.ndarray, window: int) -> np.ndarray:
-    """Hash of each window of one text, by its first word."""
-    words = split_words(data, np.array([0, len(data)]))
-    n = len(words.starts) - window + 1
-    deep = span_sums(words.hashes(2), DEPTH_BASE)
-    start = np.arange(n)
-    return mix(span_hash(deep, DEPTH_BASE, start, start + window) + MUL_A).view(np.int64)
+def suffix_tree(symbols: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix tree to this depth, written flat: the suffixes at ``starts`` in order, and the length that neighbours share.
 
+    Ranks of sequences of 1, 2, 4, ... symbols come from those of half the
+    length; all suffixes must have ``depth`` symbols.
+    """
+    ranks, length = [np.unique(symbols, return_inverse=True)[1]], 1
+    while 2 * length <= depth:
+        last = ranks[-1]
+        ranks.append(np.unique(last[:-length] * (last.max() + 1) + last[length:], return_inverse=True)[1])
+        length *= 2
+    last = ranks[-1]
+    order = starts[np.argsort(last[starts] * (last.max() + 1) + last[starts + depth - length], kind="stable")]
+    one, two = order[:-1], order[1:]
+    shared = np.zeros(len(one), dtype=np.int64)
+    for power in range(len(ranks) - 1, -1, -1):
+        fits = np.flatnonzero(shared + (1 << power) <= depth)
+        same = ranks[power][one[fits] + shared[fits]] == ranks[power][two[fits] + shared[fits]]
+        shared[fits[same]] += 1 << power
+    return order, shared
 
-def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) -> DataFrame:
-    """(id, print, start, end): windows that also occur elsewhere, as ranges of their first words.
 
-    ``rows`` holds id, print (a hash of the text) and text.
-    """
-    kind = rows.schema["id"].dataType
+def deep_leaves(paths: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(path, word) of every suffix below an internal node of the tree at depth ``window``."""
+    data = np.frombuffer(b"".join(paths), dtype=np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in paths])])
+    words = split_words(data, offsets)
+    row = words.row_of_word()
+    at = np.arange(len(row))
+    starts = at[at + window <= words.first[1:][row]]
+    order, shared = suffix_tree(words.hashes(3), starts, window)
+    node = np.flatnonzero(shared >= window)
+    leaves = np.unique(np.concatenate([order[node], order[node + 1]]))
+    return row[leaves], leaves - words.first[row[leaves]]
+
+
+def _kinds(rows: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
+    """The schema of an identifier, its print and further fields."""
+    return T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("print", T.LongType()), *(T.StructField(n, t) for n, t in more)])
 
-    def file_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_BRANCH = (("key", T.LongType()), ("branch", T.LongType()), ("start", T.IntegerType()), ("more", T.IntegerType()), ("loop", T.BooleanType()))
+
+
+def _filed(found: dict[str, np.ndarray], ids: pa.Array, prints: pa.Array, first: np.ndarray | int = 0) -> pa.RecordBatch:
+    at = pa.array(found["row"])
+    start = found["start"] + (first[found["row"]] if isinstance(first, np.ndarray) else first)
+    columns = [ids.take(at), prints.take(at), pa.array(found["key"]), pa.array(found["branch"]), pa.array(start, pa.int32()), pa.array(found["more"], pa.int32()), pa.array(found["loop"])]
+    return pa.RecordBatch.from_arrays(columns, names=["id", "print", *(n for n, _ in _BRANCH)])
+
+
+def file_suffixes(rows: DataFrame, window: int, prefix: int) -> DataFrame:
+    """The branches of all suffixes under their sequences of ``prefix`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                found = branches(*text_bytes(part.column(2)), window, prefix)
-                at = pa.array(found["row"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found["key"]), pa.array(found["branch"]), part.column(0).take(at), part.column(1).take(at), pa.array(found["start"], pa.int32()), pa.array(found["more"], pa.int32()), pa.array(found["loop"])],
-                    names=["key", "branch", "id", "print", "start", "more", "loop"],
-                )
-
-    filed = rows.mapInArrow(lean(file_windows), T.StructType([T.StructField("key", T.LongType()), T.StructField("branch", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("more", T.IntegerType()), T.StructField("loop", T.BooleanType())]))
-    same_key, same_branch = W.partitionBy("key"), W.partitionBy("key", "branch")
-    shared = filed.withColumn("n_key", F.count("*").over(same_key)).where("n_key > 1 or loop")
-    shared = shared.withColumn("n_branch", F.count("*").over(same_branch)).withColumn("nth", F.row_number().over(same_branch.orderBy("print", "id", "start")))
-    shared = written(shared, "shared-branches")
-
-    equal = shared.where("n_branch > 1").select("id", "print", "start", (F.col("start") + F.col("more")).alias("end"))
-    unequal = shared.where("(n_key > n_branch or loop) and nth = 1").groupBy("id", "print").agg(F.collect_list(F.struct("key", "start", "more", (F.col("n_branch") == 1).alias("open"))).alias("branches"))
-    texts = _with_texts(rows, written(unequal, "unequal-branches"), "branches")
-
-    def open_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield _filed(branches(*text_bytes(part.column(2)), window, prefix), part.column(0), part.column(1))
+
+    return rows.mapInArrow(lean(run), _kinds(rows, *_BRANCH))
+
+
+def file_again(spelled: DataFrame, window: int, prefix: int) -> DataFrame:
+    """The same for the suffixes of branches that are spelled out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                paths = part.column(4).to_pylist()
+                offsets = np.concatenate([[0], np.cumsum([len(p) for p in paths])])
+                found = branches(np.frombuffer(b"".join(paths), dtype=np.uint8), offsets, window, prefix)
+                yield _filed(found, part.column(0), part.column(1), part.column(3).to_numpy())
+
+    return spelled.mapInArrow(lean(run), _kinds(spelled, *_BRANCH))
+
+
+_SPELLED = (("key", T.LongType()), ("start", T.IntegerType()), ("words", T.BinaryType()))
+
+
+def spell_out(rows: DataFrame, paths: DataFrame, window: int) -> DataFrame:
+    """(id, print, key, start, words): the words of each path, read from its text."""
+    found = paths.groupBy("id", "print").agg(F.collect_list(F.struct("key", "start", "more")).alias("paths"))
+    # Rows alike in identifier and text are read once.
+    texts = _with_texts(rows, written(found, "spelled-paths"), "paths").groupBy("id", "print").agg(F.first("text").alias("text"), F.first("paths").alias("paths"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for b in batches for part in slices(b, "text", SLICE)):
-            for i, p, t, found in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("id", "print", "text", "branches")), strict=True):
-                each = windows(np.frombuffer(t.encode(), dtype=np.uint8), window)
-                more = np.array([b["more"] for b in found]) + 1
-                start = np.repeat(np.array([b["start"] for b in found]), more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
-                key = np.repeat(np.array([b["key"] for b in found], dtype=np.int64), more)
-                open_ = np.repeat(np.array([b["open"] for b in found]), more)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(each[start]), pa.array([i] * len(key), id_type), pa.array(np.full(len(key), p)), pa.array(start, pa.int32()), pa.array(open_)], names=["key", "depth", "id", "print", "start", "open"])
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(kind)
-    leaves = written(
-        texts.mapInArrow(lean(open_branches), T.StructType([T.StructField("key", T.LongType()), T.StructField("depth", T.LongType()), T.StructField("id", kind), T.StructField("print", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("open", T.BooleanType())])), "leaves"
-    )
-    nodes = leaves.groupBy("key", "depth").agg(F.count("*").alias("n")).where("n > 1").select("key", "depth")
-    partly = leaves.where("open").join(nodes, ["key", "depth"]).select("id", "print", "start", F.col("start").alias("end"))
-    return equal.unionAll(partly)
+            owner, keys, starts, spelled = [], [], [], []
+            for i, (text, found) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                raw = text.encode()
+                words = split_words(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
+                for p in found:
+                    owner.append(i)
+                    keys.append(p["key"])
+                    starts.append(p["start"])
+                    spelled.append(raw[words.starts[p["start"]] : words.ends[p["start"] + p["more"] + window - 1]])
+            at = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()), pa.array(spelled, pa.binary())], names=["id", "print", *(n for n, _ in _SPELLED)])
+
+    return texts.mapInArrow(lean(run), _kinds(rows, *_SPELLED))
+
+
+def tree_repeats(spelled: DataFrame, window: int) -> DataFrame:
+    """(id, print, start, end): ranges of first words of suffixes that share ``window`` words with another of their group."""
+
+    kind, most = spelled.schema["id"].dataType, SLAB_WORDS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        held: list[tuple] = []
+        size, last = 0, None
+
+        def repeats() -> pa.RecordBatch:
+            path, word = deep_leaves([h[3] for h in held], window)
+            head = np.flatnonzero(np.concatenate([[True], (path[1:] != path[:-1]) | (word[1:] != word[:-1] + 1)])) if len(path) else np.zeros(0, dtype=np.int64)
+            tail = np.append(head[1:], len(path)) - 1 if len(head) else head
+            first = np.array([h[2] for h in held])[path[head]] if len(head) else head
+            columns = [pa.array([held[p][0] for p in path[head]], id_type), pa.array([held[p][1] for p in path[head]], pa.int64()), pa.array(first + word[head], pa.int32()), pa.array(first + word[tail], pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "print", "start", "end"])
+
+        id_type = to_arrow_type(kind)
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+            for i, p, key, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size > most and key != last:
+                    yield repeats()
+                    held, size = [], 0
+                held.append((i, p, start, words))
+                size, last = size + words.count(b" ") + window, key
+        if held:
+            yield repeats()
+
+    dealt = spelled.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(lean(run), _kinds(spelled, ("start", T.IntegerType()), ("end", T.IntegerType())))
+
+
+def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) -> DataFrame:
+    """(id, print, start, end): suffixes that agree with another over ``window`` words, as ranges of their first words.
+
+    ``rows`` holds id, print (a hash of the text) and text. Ranges may overlap.
+    """
+    found: list[DataFrame] = []
+    filed = written(file_suffixes(rows, window, prefix), "branches")
+    while True:
+        often = filed.groupBy("key").agg(F.count("*").alias("n"), F.max("loop").alias("loop")).where("n > 1 or loop").select(F.col("key").alias("__key"))
+        shared = written(filed.join(written(often, "shared-sequences"), _same("key")).drop("__key"), "shared-branches")
+        paths = shared.groupBy("key", "branch").agg(F.count("*").alias("n"), F.max("loop").alias("loop"), F.min(F.struct("print", "start", "id", "more")).alias("first"))
+        paths = written(paths, "paths")
+        equal = paths.where("n > 1").select(F.col("key").alias("__key"), F.col("branch").alias("__branch"))
+        found.append(shared.join(equal, _same("key") & _same("branch")).select("id", "print", "start", (F.col("start") + F.col("more")).alias("end")))
+        words = F.sum(F.col("first.more") + window)
+        groups = paths.groupBy("key").agg(F.count("*").alias("paths"), F.max("loop").alias("loop"), words.alias("words")).where("paths > 1 or loop")
+        groups = written(groups.select(F.col("key").alias("__key"), (F.col("words") > GROUP_WORDS).alias("large")), "groups")
+        grouped = paths.select("key", "first.id", "first.print", "first.start", "first.more").join(groups, _same("key")).drop("__key")
+        last = prefix == window
+        found.append(tree_repeats(spell_out(rows, grouped if last else grouped.where("not large"), window), window))
+        if last or groups.where("large").isEmpty():
+            break
+        prefix = min(2 * prefix, window)
+        filed = written(file_again(spell_out(rows, grouped.where("large"), window), window, prefix), "branches")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionAll(more)
+    return out
+
+
+def _same(name: str) -> Column:
+    return F.col(name) == F.col(f"__{name}")
 
 
 def _with_texts(rows: DataFrame, found: DataFrame, column: str, how: str = "inner") -> DataFrame:
