@@ -109,15 +109,16 @@ def test_near_in_blocks_and_without_frequent_tokens(spark, monkeypatch):
 
 
 def test_first_of_each(nasty):
-    rows = [(r.doc_id, r.text) for r in nasty.collect()]
-    parts = {(c if n else ("blank", key, t)) for (key, t), (n, c) in ((r, next((n, c) for (k, n, c) in components([r], 5, 80))) for r in rows)}
+    """One (id, text) of each component stays, known by what links and not by an id that unrelated texts may share."""
+    from test_first_of_each import kept_pairs
+
     made = jaccard.first_of_each(nasty)
     assert made.columns == nasty.columns
-    found = components([(r.doc_id, r.text) for r in made.collect()], 5, 80)
-    full = [k for k in found if k[1]]
-    assert len({k[2] for k in full}) == len(full) and all(found[k] == 1 for k in full)  # nothing left that links
-    want = {k[2] for k in components(rows, 5, 80) if k[1]}
-    assert {k[2] for k in full} == want and parts
+    left = [(r.doc_id, r.text or "") for r in made.collect()]
+    want = kept_pairs([(r.doc_id, r.text or "") for r in nasty.collect() if words(r.text)], 5, 80)
+    blank = {(r.doc_id, r.text or "") for r in nasty.collect() if not words(r.text)}
+    assert len(left) == len(set(left)) == len(want) + len(blank) and blank <= set(left)
+    assert all(len(own & set(left)) == 1 for own in want)
 
 
 def chain(spark):

@@ -9,7 +9,8 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from test_dedup import GAP, components
+from test_dedup import GAP
+from test_first_of_each import kept_pairs
 from test_search_and_mix import size_of, targets
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
@@ -41,8 +42,8 @@ def test_stages(spark, docs):
 
     single = stage["ngram_jaccard"](spark, unique, "")
     left = [key(r) for r in single.collect()]
-    want = {k[2] for k in components([key(r) for r in unique.collect()], 5, 80)}
-    assert Counter(k[2] for k in components(left, 5, 80).elements()) == Counter(want)
+    want = kept_pairs([key(r) for r in unique.collect()], 5, 80)
+    assert len(left) == len(set(left)) == len(want) and all(len(own & set(left)) == 1 for own in want)
 
     mixed = stage["mix_sources"](spark, single, "")
     sizes, got = Counter(), Counter()
@@ -60,6 +61,23 @@ def test_stages(spark, docs):
     assert all(r.n_tokens == len(r.ids) > 0 for r in tokens)
 
 
+def test_stages_keep_other_columns(spark, nasty, none):
+    """Every stage but the last passes on columns whose names clash with those of the operators, and empty tables."""
+    documents, empty = nasty, none
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = spark.createDataFrame(stage(spark, documents, "").collect(), nasty.schema)
+        assert {(r.row, r["print"], r.kept) for r in made.collect()} <= {(r.row, r["print"], r.kept) for r in nasty.collect()}
+        documents = made
+        assert stage(spark, empty, "").columns == nasty.columns and stage(spark, empty, "").count() == 0
+
+
+def test_predicted_language_is_passed_on(spark):
+    rows = [(i, text * 9, lang, "s", 9) for i, (text, lang) in enumerate([("the tide came in over the wall ", "en"), ("der hund lief durch den wald und ", "de")] * 30)]
+    rows += [(1000, rows[0][1], "de", "s", 9), (1001, rows[1][1], None, "s", 9), (1002, "123", "en", "s", 9)]
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, COLUMNS), "")
+    assert {r.doc_id: r.lang for r in kept.collect()} == {i: "de" if "hund" in t else "en" for i, t, *_ in rows[:-1]}
+
+
 def test_run(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     made = corpus_pipeline.run(spark, str(tmp_path))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import sent_if_few, written
+from tidemark.llm.scratch import sent_if_small, written
 
 FAN_IN = 16
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -79,7 +79,7 @@ def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts."""
     runs = digest_runs(docs, key, text, carry=True)
     best = written(tree_merge(runs.drop("doc")).select(F.col("best.row").alias("row")), "kept-rows")
-    return runs.select("row", "doc").join(sent_if_few(best), "row", "left_semi").select("doc.*")
+    return runs.select("row", "doc").join(sent_if_small(best, F.lit(8)), "row", "left_semi").select("doc.*")
 
 
 LABEL_SQL = r"""

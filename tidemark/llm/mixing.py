@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import sent_if_few, written
+from tidemark.llm.scratch import sent_if_small, written
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)  # by the source's rank, repeating
@@ -100,7 +100,7 @@ def mixed_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
     """
     rows = written(docs.select(F.struct("*").alias("doc"), *_keyed(docs, key, source, text)), "mix-rows")
     made = take(rows.drop("doc"), weights, max_epochs).where("taken > 0").select("row", "size", "taken")
-    made = sent_if_few(written(made, "mix-taken"))
+    made = sent_if_small(written(made, "mix-taken"), F.lit(24))
     pieces = F.transform(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")), lambda i: F.least(F.col("size"), F.col("taken") - (i - 1) * F.col("size")))
     out = rows.select("row", "doc").join(made, "row").select("doc", "size", F.explode(pieces).alias("words"))
     whole = F.col("doc").getField(text)

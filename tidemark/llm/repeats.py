@@ -35,13 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import discard, written
 from tidemark.llm.words import lean, slices, span_hash, span_sums, split_words, text_bytes
 
 WINDOW = 35
 PREFIX = 8
 SLICE = 1 << 20
-GROUP_WORDS = 1 << 16  # of one sequence's paths; above, the sequence is lengthened
+GROUP_WORDS = 1 << 14  # of one sequence's paths; above, the sequence is lengthened
 SLAB_WORDS = 1 << 18  # of the groups whose suffixes are sorted together
 PREFIX_BASE, DEPTH_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
@@ -131,61 +131,43 @@ def _kinds(rows: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
 _BRANCH = (("key", T.LongType()), ("branch", T.LongType()), ("start", T.IntegerType()), ("more", T.IntegerType()), ("loop", T.BooleanType()))
 
 
-def _filed(found: dict[str, np.ndarray], ids: pa.Array, prints: pa.Array, first: np.ndarray | int = 0) -> pa.RecordBatch:
-    at = pa.array(found["row"])
-    start = found["start"] + (first[found["row"]] if isinstance(first, np.ndarray) else first)
-    columns = [ids.take(at), prints.take(at), pa.array(found["key"]), pa.array(found["branch"]), pa.array(start, pa.int32()), pa.array(found["more"], pa.int32()), pa.array(found["loop"])]
-    return pa.RecordBatch.from_arrays(columns, names=["id", "print", *(n for n, _ in _BRANCH)])
-
-
 def file_suffixes(rows: DataFrame, window: int, prefix: int) -> DataFrame:
     """The branches of all suffixes under their sequences of ``prefix`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                yield _filed(branches(*text_bytes(part.column(2)), window, prefix), part.column(0), part.column(1))
+                found = branches(*text_bytes(part.column(2)), window, prefix)
+                at = pa.array(found["row"])
+                columns = [part.column(0).take(at), part.column(1).take(at), pa.array(found["key"]), pa.array(found["branch"]), pa.array(found["start"], pa.int32()), pa.array(found["more"], pa.int32()), pa.array(found["loop"])]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "print", *(n for n, _ in _BRANCH)])
 
     return rows.mapInArrow(lean(run), _kinds(rows, *_BRANCH))
 
 
-def file_again(spelled: DataFrame, window: int, prefix: int) -> DataFrame:
-    """The same for the suffixes of branches that are spelled out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                paths = part.column(4).to_pylist()
-                offsets = np.concatenate([[0], np.cumsum([len(p) for p in paths])])
-                found = branches(np.frombuffer(b"".join(paths), dtype=np.uint8), offsets, window, prefix)
-                yield _filed(found, part.column(0), part.column(1), part.column(3).to_numpy())
-
-    return spelled.mapInArrow(lean(run), _kinds(spelled, *_BRANCH))
-
-
-_SPELLED = (("key", T.LongType()), ("start", T.IntegerType()), ("words", T.BinaryType()))
+_SPELLED = (("key", T.LongType()), ("large", T.BooleanType()), ("start", T.IntegerType()), ("words", T.StringType()))
 
 
 def spell_out(rows: DataFrame, paths: DataFrame, window: int) -> DataFrame:
-    """(id, print, key, start, words): the words of each path, read from its text."""
-    found = paths.groupBy("id", "print").agg(F.collect_list(F.struct("key", "start", "more")).alias("paths"))
+    """(id, print, key, large, start, words): the words of each path, read from its text."""
+    found = paths.groupBy("id", "print").agg(F.collect_list(F.struct("key", "large", "start", "more")).alias("paths"))
     # Rows alike in identifier and text are read once.
-    texts = _with_texts(rows, written(found, "spelled-paths"), "paths").groupBy("id", "print").agg(F.first("text").alias("text"), F.first("paths").alias("paths"))
+    texts = _with_texts(rows, found, "paths").groupBy("id", "print").agg(F.first("text").alias("text"), F.first("paths").alias("paths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for b in batches for part in slices(b, "text", SLICE)):
-            owner, keys, starts, spelled = [], [], [], []
+            owner, keys, large, starts, spelled = [], [], [], [], []
             for i, (text, found) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 raw = text.encode()
                 words = split_words(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
                 for p in found:
                     owner.append(i)
                     keys.append(p["key"])
+                    large.append(p["large"])
                     starts.append(p["start"])
                     spelled.append(raw[words.starts[p["start"]] : words.ends[p["start"] + p["more"] + window - 1]])
             at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()), pa.array(spelled, pa.binary())], names=["id", "print", *(n for n, _ in _SPELLED)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(keys, pa.int64()), pa.array(large), pa.array(starts, pa.int32()), pa.array(spelled, pa.binary()).cast(pa.string())], names=["id", "print", *(n for n, _ in _SPELLED)])
 
     return texts.mapInArrow(lean(run), _kinds(rows, *_SPELLED))
 
@@ -211,7 +193,8 @@ def tree_repeats(spelled: DataFrame, window: int) -> DataFrame:
 
         id_type = to_arrow_type(kind)
         for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-            for i, p, key, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, p, key, _, start, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = text.encode()
                 if size > most and key != last:
                     yield repeats()
                     held, size = [], 0
@@ -229,28 +212,24 @@ def find_repeats(rows: DataFrame, window: int = WINDOW, prefix: int = PREFIX) ->
 
     ``rows`` holds id, print (a hash of the text) and text. Ranges may overlap.
     """
-    found: list[DataFrame] = []
     filed = written(file_suffixes(rows, window, prefix), "branches")
-    while True:
-        often = filed.groupBy("key").agg(F.count("*").alias("n"), F.max("loop").alias("loop")).where("n > 1 or loop").select(F.col("key").alias("__key"))
-        shared = written(filed.join(written(often, "shared-sequences"), _same("key")).drop("__key"), "shared-branches")
-        paths = shared.groupBy("key", "branch").agg(F.count("*").alias("n"), F.max("loop").alias("loop"), F.min(F.struct("print", "start", "id", "more")).alias("first"))
-        paths = written(paths, "paths")
-        equal = paths.where("n > 1").select(F.col("key").alias("__key"), F.col("branch").alias("__branch"))
-        found.append(shared.join(equal, _same("key") & _same("branch")).select("id", "print", "start", (F.col("start") + F.col("more")).alias("end")))
-        words = F.sum(F.col("first.more") + window)
-        groups = paths.groupBy("key").agg(F.count("*").alias("paths"), F.max("loop").alias("loop"), words.alias("words")).where("paths > 1 or loop")
-        groups = written(groups.select(F.col("key").alias("__key"), (F.col("words") > GROUP_WORDS).alias("large")), "groups")
-        grouped = paths.select("key", "first.id", "first.print", "first.start", "first.more").join(groups, _same("key")).drop("__key")
-        last = prefix == window
-        found.append(tree_repeats(spell_out(rows, grouped if last else grouped.where("not large"), window), window))
-        if last or groups.where("large").isEmpty():
-            break
-        prefix = min(2 * prefix, window)
-        filed = written(file_again(spell_out(rows, grouped.where("large"), window), window, prefix), "branches")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
+    often = written(filed.groupBy("key").agg(F.count("*").alias("n"), F.max("loop").alias("loop")).where("n > 1 or loop").select(F.col("key").alias("__key")), "shared-sequences")
+    shared = written(filed.join(often, _same("key")).drop("__key"), "shared-branches")
+    discard(filed, often)
+    paths = shared.groupBy("key", "branch").agg(F.count("*").alias("n"), F.max("loop").alias("loop"), F.min(F.struct("print", "start", "id", "more")).alias("first"))
+    paths = written(paths, "paths")
+    equal = paths.where("n > 1").select(F.col("key").alias("__key"), F.col("branch").alias("__branch"))
+    whole = shared.join(equal, _same("key") & _same("branch")).select("id", "print", "start", (F.col("start") + F.col("more")).alias("end"))
+    groups = paths.groupBy("key").agg(F.count("*").alias("paths"), F.max("loop").alias("loop"), F.sum(F.col("first.more") + window).alias("words")).where("paths > 1 or loop")
+    large = F.lit(False) if prefix == window else F.col("words") > GROUP_WORDS
+    groups = written(groups.select(F.col("key").alias("__key"), large.alias("large")), "groups")
+    grouped = paths.select("key", "first.id", "first.print", "first.start", "first.more").join(groups, _same("key")).drop("__key")
+    spelled = written(spell_out(rows, grouped, window), "spelled-paths")
+    out = whole.unionAll(tree_repeats(spelled.where("not large"), window))
+    if not groups.where("large").isEmpty():
+        paths = spelled.where("large").select(F.struct("id", "print", "start").alias("id"), F.xxhash64("words").alias("print"), F.col("words").alias("text"))
+        deeper = find_repeats(paths, window, min(2 * prefix, window))
+        out = out.unionAll(deeper.select("id.id", "id.print", (F.col("id.start") + F.col("start")).alias("start"), (F.col("id.start") + F.col("end")).alias("end")))
     return out
 
 
