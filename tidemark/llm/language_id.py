@@ -7,7 +7,8 @@ weighted by how often they were right on the training rows.
 
 Training rows: at most about ``ROWS_PER_LANGUAGE`` labelled rows a language,
 chosen by a hash of the key; the counts behind every weight are summed on the
-executors. What reaches the driver is bounded by languages x ``BUCKETS``.
+executors. Every language is learned, however rare. What reaches the driver is
+one count for each language and bucket that occurs in the training rows.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from tidemark.llm.words import lean, slices, text_bytes
 
 BUCKETS = 1 << 15
 ROWS_PER_LANGUAGE = 4000
-MAX_LANGUAGES = 256
 UNDETERMINED = "und"
+HELD_LANGUAGES = 128  # whose counts a task holds before it passes them on
+SMOOTH = 0.1
 TAU = 6.0  # a mean log-odds of 1/TAU per trigram is a margin of 1
 AMBIGUOUS = 0.6  # a score below this is flagged
 
@@ -54,7 +56,10 @@ def trigram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
 
 def code_matrix(n: int) -> np.ndarray:
-    """n codewords of bits in {-1, 1}: all distinct bipartitions up to five languages, else the best of 64 random codes."""
+    """n codewords of bits in {-1, 1}: the exhaustive code up to five languages, else the best of 64 random codes.
+
+    All codewords differ; a random code has 10 bits for each doubling of languages.
+    """
     if n < 2:
         return np.ones((n, 1), dtype=np.int8)
     if n <= 5:
@@ -72,6 +77,24 @@ def code_matrix(n: int) -> np.ndarray:
     return best[1]
 
 
+def bit_weights(code: np.ndarray, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """BUCKETS x bits log-odds from counts by language and bucket: mean shares of the languages on either side, smoothed by ``SMOOTH``."""
+    whole = np.bincount(lang, n, len(code)) + SMOOTH * BUCKETS
+    out = np.zeros((BUCKETS, code.shape[1]), dtype=np.float32)
+    for at, bit in enumerate(code.T):
+        sides = []
+        for side in (1, -1):
+            mine = bit == side
+            if not mine.any():
+                sides.append(np.full(BUCKETS, 1.0 / BUCKETS))
+                continue
+            rows = mine[lang]
+            share = np.bincount(bucket[rows], n[rows] / whole[lang[rows]], BUCKETS) + (SMOOTH / whole[mine]).sum()
+            sides.append(share / mine.sum())
+        out[:, at] = np.clip(np.log(sides[0]) - np.log(sides[1]), -4, 4)
+    return out
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -102,18 +125,28 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """Fit on labelled rows that aren't held out; None if there are none."""
+    """Fit on labelled rows that aren't held out; None if there are none.
+
+    Rows without key, text or label teach nothing, so neither does a held-out
+    row with a null key. Rows that repeat a key are taken or left together.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("key is not null and lang is not null and text is not null").where(~held_out("key"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    languages = sorted(sizes)
+    sizes = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("size"))
+    languages = sorted(r["__lang"] for r in sizes.select("__lang").collect())  # one row a language
     if not languages:
         return None
-    part = F.create_map(*[F.lit(x) for g in languages for x in (g, min(1.0, ROWS_PER_LANGUAGE / sizes[g]))])
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1 << 20)) < F.element_at(part, F.col("lang")) * (1 << 20)).select("lang", "text")
+    part = F.least(F.lit(1.0), F.lit(float(ROWS_PER_LANGUAGE)) / F.col("size"))
+    sample = rows.join(sizes, F.col("lang") == F.col("__lang")).where(F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1 << 20)) < part * (1 << 20)).select("lang", "text")
     place = {g: i for i, g in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, np.ndarray] = {}
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for i, n in seen.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "bucket", "n"])
+
         for batch in batches:
             for piece in slices(batch, "text"):
                 data, offsets = text_bytes(piece.column(1))
@@ -122,20 +155,15 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                 each = np.repeat(label, np.diff(first))
                 for i in np.unique(label):
                     seen[i] = seen.get(i, 0) + np.bincount(bucket[each == i], minlength=BUCKETS)
-        for i, n in seen.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "bucket", "n"])
-
-    table = sample.mapInArrow(lean(count), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((len(languages), BUCKETS))
-    counts[table["lang"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
-    share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True)
+                if len(seen) > HELD_LANGUAGES:
+                    yield from passed_on()
+                    seen.clear()
+        yield from passed_on()
+
+    table = sample.mapInArrow(lean(count), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).orderBy("lang", "bucket").toArrow()
     code = code_matrix(len(languages))
-    sides = []
-    for bit in code.T:
-        yes, no = (share[bit == s].mean(axis=0) if (bit == s).any() else np.full(BUCKETS, 1.0 / BUCKETS) for s in (1, -1))
-        sides.append(np.clip(np.log(yes) - np.log(no), -4, 4))
-    model = Model(languages, code, np.stack(sides, axis=1).astype(np.float32), np.ones(code.shape[1]))
+    weights = bit_weights(code, table["lang"].to_numpy(), table["bucket"].to_numpy(), table["n"].to_numpy())
+    model = Model(languages, code, weights, np.ones(code.shape[1]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
