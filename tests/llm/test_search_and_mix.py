@@ -53,6 +53,35 @@ def test_recall_and_hot_vectors(spark):
     assert all(known[q][i] == s for q in known for s, i in made[q])
 
 
+def test_structured_vectors_need_few_leaves(spark):
+    """Clustered vectors: the measured recall holds, and a query visits a small part of the tree."""
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(300, 32))
+    x = centers[rng.integers(0, 300, 20_000)] + 0.25 * rng.normal(size=(20_000, 32))
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    made = ann.nearest(frame, lambda i: i % 100 == 0).collect()
+    found, visits, leaves, recall = defaultdict(set), made[0].visits, made[0].leaves, made[0].recall
+    for r in made:
+        found[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 20_000, 100):
+        away = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        away[q] = np.inf
+        hits += len(set(np.argsort(away)[:10].tolist()) & found[q])
+    assert recall >= 0.9 and hits >= 0.9 * 2000 and leaves > 50 and visits < leaves / 5
+
+
+def test_very_large_and_small_components(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 4))
+    for scale in (2.0**530, 2.0**-530):
+        frame = spark.createDataFrame([(i, (v * scale).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        made = ann.nearest(frame, lambda i: i % 20 == 0).collect()
+        want = neighbours(list(enumerate(x.tolist())), lambda i: i % 20 == 0)
+        assert len(made) == 30
+        assert all(any(r.vec_id == i and r.score / scale == pytest.approx(s) for s, i in want[r.query_id]) for r in made)
+
+
 def test_tree_visits_every_leaf():
     x = np.random.default_rng(1).normal(size=(900, 5))
     tree = ann.fit_tree(x)

@@ -2,9 +2,13 @@
 
 Every input partition is one run: its rows' digests, sorted. In each round
 ``FAN_IN`` neighbouring runs are merged into one, digest by digest, keeping the
-verified best identifier and the count, until one run is left (its digests
-still spread over all tasks). A group of copies sends at most one row a run
-and round, so that no task ever sees all of a large group.
+verified best identifier and the count, until one run is left. A merged run
+doesn't lie in one partition: rounds exchange by a hash of run and digest, and
+sort again what arrives, so that the last run is spread over all tasks as the
+first ones are. Copies are merged inside a run before anything is sent, so a
+group sends at most one row a run and round. What the last run says goes back
+the same way: to one row for each run and digest, then to the run's rows. No
+task ever sees all of a large group.
 """
 
 from __future__ import annotations
@@ -64,8 +68,8 @@ def label(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Other columns play no part; an empty table gives no rows.
     """
     runs = digest_runs(docs, key, text)
-    merged = tree_merge(runs)
-    joined = runs.join(merged.select("digest", "verify", "best", "n"), ["digest", "verify"])
+    known = runs.select("run", "digest", "verify").distinct().join(tree_merge(runs), ["digest", "verify"])
+    joined = runs.join(known, ["run", "digest", "verify"])
     return joined.select(
         F.col("id").alias(key),
         F.col("best.id").alias("keep_id"),

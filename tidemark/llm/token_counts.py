@@ -4,9 +4,9 @@
    documents that hold it, and its pieces are counted once.
 2. Each document's pre-token frequencies are joined to these counts and
    summed; no document's ids are ever made. The ``HEAD_TERMS`` most frequent
-   short pre-tokens are joined on the map side from a table whose size this
-   bound fixes; all others by a shuffle join on the pre-token. Frequent
-   pre-tokens thereby never meet in one task.
+   pre-tokens are joined on the map side from a table whose size this bound
+   fixes, as a long one stands there by a digest; all others by a shuffle join
+   on the pre-token. Frequent pre-tokens thereby never meet in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from tidemark.llm.scratch import written
 from tidemark.llm.words import lean, slices
 
 HEAD_TERMS = 150_000
-HEAD_BYTES = 48  # longer pre-tokens aren't sent to every worker
+HEAD_BYTES = 48  # a longer pre-token is known to the workers by its SHA-256
 KNOWN_TERMS = 500_000  # counts a task holds before it passes them on
 
 
@@ -86,19 +87,28 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, pattern: str, text: str =
     return distinct.groupBy("term").agg(F.sum("docs").alias("docs")).mapInArrow(lean(count), "term string, docs long, n int")
 
 
-def _head(pieces: DataFrame) -> dict[str, int]:
-    """Pieces of the most frequent short pre-tokens, at most ``HEAD_TERMS``; tasks send no others to the driver."""
-    short = pieces.where(F.octet_length("term") <= HEAD_BYTES).withColumn("level", F.floor(F.log2("docs") * 8))
+def head_key(term: str) -> str | bytes:
+    """How the head knows a pre-token: by itself, or by a digest if it is long."""
+    if 4 * len(term) <= HEAD_BYTES or len(raw := term.encode()) <= HEAD_BYTES:
+        return term
+    return sha256(raw).digest()
+
+
+def _head(pieces: DataFrame) -> dict[str | bytes, int]:
+    """Pieces of the most frequent pre-tokens by ``head_key``, at most ``HEAD_TERMS``; tasks send no others to the driver."""
+    levels = pieces.withColumn("level", F.floor(F.log2("docs") * 8))
     lowest, total = None, 0
-    for r in short.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
+    for r in levels.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
         total += r.n
         if total > HEAD_TERMS:
             break
         lowest = r.level
     if lowest is None:
         return {}
-    table = short.where(F.col("level") >= lowest).select("term", "n").toArrow()
-    return dict(zip(table["term"].to_pylist(), table["n"].to_pylist(), strict=True))
+    long = F.octet_length("term") > HEAD_BYTES
+    columns = [F.when(~long, F.col("term")).alias("term"), F.when(long, F.unhex(F.sha2(F.col("term").cast("binary"), 256))).alias("digest"), "n"]
+    table = levels.where(F.col("level") >= lowest).select(*columns).toArrow()
+    return {t if d is None else d: n for t, d, n in zip(*(table[c].to_pylist() for c in ("term", "digest", "n")), strict=True)}
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
@@ -121,7 +131,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, key: str =
                 for i, t in enumerate(part.column("text").to_pylist()):
                     found, total = split(t)
                     for term, f in Counter(found).items():
-                        n = known.get(term)
+                        n = known.get(head_key(term))
                         if n is None:
                             rows.append(i)
                             terms.append(term)
