@@ -6,9 +6,10 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest_llm import SCHEMA, prose
-from tidemark.llm import exact_dedup, jaccard, repeats
+from tidemark.llm import exact_dedup, jaccard, repeats, scratch
 
 GAP = re.compile(r"[\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -47,6 +48,20 @@ def test_tree_merge_of_many_runs(spark):
     assert sorted((r.best.id, r.n) for r in made) == [(i, len(range(i, 400, 7))) for i in range(7)]
 
 
+def test_hot_copies(spark, monkeypatch):
+    """A third of all rows are copies of one text, over all partitions; the kept rows' join is a shuffle."""
+    rows = [(i if i % 5 else None, " the  same text " if i % 3 == 0 else f"text {i % 40}") for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[GAP.sub("", t)].append((-len(t), i is None, i))
+    made = exact_dedup.label(frame).collect()
+    want = Counter((i, min(groups[GAP.sub("", t)])[2], len(groups[GAP.sub("", t)])) for i, t in rows)
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in made) == want and sum(r.kept for r in made) == len(groups)
+    monkeypatch.setattr(scratch, "SENT_BYTES", 0)
+    assert {GAP.sub("", r.text) for r in exact_dedup.kept_rows(frame).collect()} == set(groups) and exact_dedup.kept_rows(frame).count() == len(groups)
+
+
 def components(rows, shingle, percent):
     """(shingles, least id reachable) by comparing all pairs."""
     sets = []
@@ -106,6 +121,29 @@ def test_near_in_blocks_and_without_frequent_tokens(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 200)
     monkeypatch.setattr(jaccard, "FREQUENT_TOKENS", 0)
     assert made_by(frame, 3, 90) == want
+    for rare in (0, 4):
+        monkeypatch.setattr(jaccard, "RARE_HOLDERS", rare)
+        monkeypatch.setattr(scratch, "SENT_BYTES", 0)
+        assert made_by(frame, 3, 90) == want
+
+
+def test_one_name_for_all_groups(nasty, spark, monkeypatch):
+    """All sets in one group of many blocks: strays and visitors of several components are all compared."""
+    rows, _ = many_copies(spark)
+    rng = random.Random(11)
+    for i in range(60):  # bridges between components, and pairs
+        one = rows[rng.randrange(240)][1].split()
+        rows.append((1000 + i, " ".join(one[: len(one) * 9 // 10] + [f"b{i % 7}"] * rng.randrange(3))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(jaccard, "RARE_HOLDERS", 0)
+    for name in ("one", "two"):
+        sets = jaccard._sets
+        group = F.lit(1).cast("long") if name == "one" else F.pmod("d1", F.lit(2)).cast("long")
+        with monkeypatch.context() as m:
+            m.setattr(jaccard, "_sets", lambda *a, group=group: sets(*a).withColumn("grp", group))
+            for shingle, percent in ((3, 90), (2, 70)):
+                assert made_by(frame, shingle, percent) == components(rows, shingle, percent)
 
 
 def test_first_of_each(nasty):
