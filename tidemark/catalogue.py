@@ -62,6 +62,39 @@ def rule_hits(spark, d):
     return V.rule_hits(V.validate(X.daily_bars(spark, d)))
 
 
+@query
+def rule_hits_defects(spark, d):
+    """Bars with defects that the plain ones don't have, so that every rule fires."""
+    m = F.col("volume") % 9
+    bars = X.daily_bars(spark, d).withColumns({
+        "low": F.when(m == 0, F.col("open") + 0.25).when(m == 1, F.col("close") + 0.25).when(m == 2, -1.0).otherwise(F.col("low")),
+        "prev_close": F.when(m == 3, 0.0).otherwise(F.col("prev_close")),
+        "pre_market_volume": F.when(m == 4, -1).otherwise(5).cast("long"),
+        "is_amended": m == 5,
+        "fetch_duration_ms": F.when(m == 6, 30001).otherwise(30000).cast("long"),
+    })
+    wanted = ("low_lte_open", "low_lte_close", "price_positive", "prev_close_positive", "pre_market_volume_non_negative", "amended_record_detected", "fetch_duration_threshold")
+    return V.rule_hits(V.validate(bars)).where(F.col("rule").isin(*wanted))
+
+
+def _override(spark, d):
+    return P.override_dates(_plans(spark, d), date(2000, 2, 1), date(2000, 4, 30), STREAMS["daily"].batch_size_days)
+
+
+@query
+def plan_override(spark, d):
+    return _override(spark, d)
+
+
+@query
+def order_alerts(spark, d):
+    """Rules on the order of bars over hourly bars, by the limits of the streams that have them."""
+    made = bars_from_ticks(X.ticks(spark, d))
+    bars = made.withColumns({"bar_time_utc": F.col("bar_time").cast("string"), "date": F.to_date("bar_time"), "volume": F.when(F.col("volume") % 3 == 0, 0).otherwise(F.col("volume"))})
+    both = V.order_alerts(bars, STREAMS["intraday"]).unionAll(V.order_alerts(bars, STREAMS["tick"]))
+    return both.where("rule != 'max_consecutive_missing_days'").groupBy("symbol", "rule").agg(F.count("*").alias("n"))
+
+
 @query
 def validation_outcome(spark, d):
     return V.validate(X.daily_bars(spark, d)).select("symbol", "date", "outcome", "deciding_rule")
@@ -152,7 +185,7 @@ def last_trading_day(spark, d):
 @query
 def missing_trading_days(spark, d):
     bars = X.daily_bars(spark, d).select("symbol", F.add_months("date", 240).alias("date"))
-    return Q.missing_trading_days(bars, C.days(spark, _day("2015-01-01"), _day("2021-12-31")))
+    return Q.missing_trading_days(bars)
 
 
 @query
@@ -287,7 +320,9 @@ def ticker_filter(spark, d):
 @query
 def ticker_counts(spark, d):
     t = _tickers(spark, d)
-    return t.agg(F.count_if("active").alias("n_active"), F.count("*").alias("n_total")).crossJoin(U.symbols(t).agg(F.count("*").alias("n_symbols")))
+    each = t.select(F.col("active").cast("long").alias("n_active"), F.lit(1).alias("n_total"), F.lit(0).alias("n_symbols"))
+    each = each.unionAll(U.symbols(t).select(F.lit(0).cast("long"), F.lit(0), F.lit(1)))
+    return each.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in each.columns])
 
 
 @query
@@ -302,10 +337,9 @@ def listing_parse_other(spark, d):
 
 @query
 def listing_merge(spark, d):
-    a = listings.parse_nasdaq(X.nasdaq_lines(spark, d).where("line_no % 2 = 0").withColumn("value", F.regexp_replace("value", r"^P(\d)\d*(\$?)\|", "P$1$2|")))
-    b = listings.parse_other(X.other_lines(spark, d).where("line_no % 3 = 0"))
-    c = b.withColumn("symbol", F.regexp_replace("symbol", r"^P(\d\d?)\d*", "P$1"))
-    return listings.merge(a, c).select("symbol", "company_name", "exchange", "exchange_mic", "asset_class", "source_rank")
+    halved = lambda df, shift: df.withColumn("symbol", F.concat(F.lit("P"), (F.floor(F.substring("symbol", 2, 18).cast("long") / 2) + shift).cast("string")))
+    a, b = listings.parse_nasdaq(X.nasdaq_lines(spark, d)), listings.parse_other(X.other_lines(spark, d))
+    return listings.merge(halved(a, 0), halved(b, 300)).select("symbol", "company_name", "exchange", "exchange_mic", "asset_class", "source_rank")
 
 
 def _holdings(spark, d):
@@ -487,7 +521,7 @@ def date_window(spark, d):
 @query
 def quote_latest(spark, d):
     e, k = X.table(spark, d, "events"), F.col("event_id")
-    raw = e.select(F.upper("event_type").alias("symbol"), "ts", F.when(k % 3 == 0, "N/A").when(k % 5 == 0, "abc").otherwise(F.col("user_id").cast("string")).alias("last"), k.cast("string").alias("bid"), F.lit("N/A").alias("ask"), F.lit(" 7 ").alias("volume"))
+    raw = e.select(F.upper("event_type").alias("symbol"), "ts", F.when(k % 3 == 0, "N/A").when(k % 5 == 0, "abc").otherwise(F.col("user_id").cast("string")).alias("last"), k.cast("string").alias("bid"), F.lit("N/A").alias("ask"), F.lit(" 7 ").alias("volume"), (k * 2).cast("string").alias("open"), F.when(k % 7 != 0, k.cast("string")).alias("70"), F.lit("").alias("71"))
     return providers.latest_quotes(raw).drop("ts")
 
 

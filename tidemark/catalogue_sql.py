@@ -120,6 +120,19 @@ ORACLE_SQL: dict[str, str] = {
     "bar_metrics": f"""WITH {BARS}, p AS (SELECT *, lag(close) {_SEQ} AS prev FROM bars WHERE close IS NOT NULL), m AS (SELECT symbol, date, high - low AS price_range, CASE WHEN prev > 0 THEN (close - prev) / prev * 100 END AS daily_return_pct, CASE WHEN prev > 0 THEN (open - prev) / prev * 100 END AS gap_pct FROM p)
         SELECT *, gap_pct > 0.5 AS is_gap_up, gap_pct < -0.5 AS is_gap_down FROM m""",
     "rule_hits": f"WITH {CHECKED}, x AS (SELECT unnest(fired) AS rule FROM checked) SELECT rule, CASE WHEN list_contains({_CRITICAL}, rule) THEN 'critical' ELSE 'warning' END AS severity, count(*) AS hits FROM x GROUP BY rule",
+    "rule_hits_defects": f"""WITH {BARS}, bad AS (SELECT * REPLACE (CASE volume % 9 WHEN 0 THEN open + 0.25 WHEN 1 THEN close + 0.25 WHEN 2 THEN -1.0 ELSE low END AS low, CASE WHEN volume % 9 = 3 THEN 0.0 ELSE prev_close END AS prev_close) FROM bars),
+        x AS (SELECT unnest([CASE WHEN low > open + 1e-9 THEN 'low_lte_open' END, CASE WHEN low > close + 1e-9 THEN 'low_lte_close' END, CASE WHEN open <= 0 OR high <= 0 OR low <= 0 OR close <= 0 THEN 'price_positive' END, CASE WHEN prev_close <= 0 THEN 'prev_close_positive' END,
+          CASE WHEN volume % 9 = 4 THEN 'pre_market_volume_non_negative' END, CASE WHEN volume % 9 = 5 THEN 'amended_record_detected' END, CASE WHEN volume % 9 = 6 THEN 'fetch_duration_threshold' END]) AS rule FROM bad)
+        SELECT rule, CASE WHEN rule IN ('amended_record_detected', 'fetch_duration_threshold') THEN 'warning' ELSE 'critical' END AS severity, count(*) AS hits FROM x WHERE rule IS NOT NULL GROUP BY rule""",
+    "plan_override": f"WITH {PLANS} SELECT symbol, 'EXPLICIT_DATE_RANGE' AS mode, DATE '2000-02-01' AS start_date, DATE '2000-04-30' AS end_date, 'backfill' AS ingestion_type, TRUE AS is_backfill, FALSE AS is_amendment_run, 90 AS date_range_days, 3 AS estimated_batches FROM plans",
+    "order_alerts": f"""WITH {HOURLY}, v AS (SELECT symbol, bar, close, CASE WHEN volume % 3 = 0 THEN 0 ELSE volume END AS volume FROM hourly),
+        s AS (SELECT symbol, 'consistent_bar_spacing' AS rule FROM (SELECT symbol, bar, lag(bar) OVER (PARTITION BY symbol ORDER BY bar) AS p FROM v) WHERE p IS NOT NULL AND date_diff('minute', p, bar) <> 60),
+        i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar) - row_number() OVER (PARTITION BY symbol, volume <= 0 ORDER BY bar) AS island FROM v),
+        z AS (SELECT symbol, 'consecutive_zero_volume' AS rule FROM i WHERE volume <= 0 GROUP BY symbol, island HAVING count(*) >= 3),
+        c AS (SELECT symbol, bar, CAST(round(close * 100) AS BIGINT) AS x FROM v),
+        w AS (SELECT symbol, x, count(x) OVER o AS n, CAST(sum(x) OVER o AS DOUBLE) AS s, CAST(sum(CAST(x * x AS HUGEINT)) OVER o AS DOUBLE) AS q FROM c WINDOW o AS (PARTITION BY symbol ORDER BY bar ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
+        ps AS (SELECT symbol, 'tick_price_spike' AS rule FROM w WHERE n = 20 AND pow(x * 20.0::DOUBLE - s, 2) > 9 * (q * 20 - pow(s, 2)))
+        SELECT symbol, rule, count(*) AS n FROM (SELECT * FROM s UNION ALL SELECT * FROM z UNION ALL SELECT * FROM ps) GROUP BY symbol, rule""",
     "validation_outcome": f"WITH {CHECKED} SELECT symbol, date, outcome, crit[1] AS deciding_rule FROM checked",
     "validation_summary": f"""WITH {CHECKED} SELECT symbol, interval, count(*) AS total_input, count(*) FILTER (outcome = 'clean') AS total_passed, count(*) FILTER (outcome = 'flagged') AS total_flagged, count(*) FILTER (outcome = 'rejected') AS total_rejected,
         round_even(count(*) FILTER (outcome = 'clean') / count(*) * 100, 1) AS pass_rate_pct, round_even(count(*) FILTER (outcome = 'rejected') / count(*) * 100, 1) AS rejection_rate_pct FROM checked GROUP BY symbol, interval""",
@@ -159,15 +172,15 @@ ORACLE_SQL: dict[str, str] = {
     "ticker_counts": f"WITH {SUP}, {TICKERS} SELECT count(*) FILTER (active) AS n_active, count(*) AS n_total, count(*) FILTER (active) AS n_symbols FROM tickers",
     "listing_parse_nasdaq": f"WITH {LINES} SELECT symbol, name AS company_name, asset_class, 'NASDAQ' AS exchange, 'XNAS' AS exchange_mic, 'USD' AS currency FROM ok",
     "listing_parse_other": f"WITH {LINES} SELECT symbol, name AS company_name, asset_class, {_CODE} AS exchange, {_MIC} AS exchange_mic, 'USD' AS currency FROM ok",
-    "listing_merge": f"""WITH {LINES}, a AS (SELECT 'P' || substr(CAST(k AS VARCHAR), 1, 1) AS symbol, name AS company_name, 'NASDAQ' AS exchange, 'XNAS' AS exchange_mic, asset_class, 0 AS source_rank, -k AS o FROM ok WHERE k % 2 = 0
-        UNION ALL SELECT 'P' || substr(CAST(k AS VARCHAR), 1, 2), name, {_CODE}, {_MIC}, asset_class, 1, k FROM ok WHERE k % 3 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY source_rank, o) AS n FROM a) SELECT symbol, company_name, exchange, exchange_mic, asset_class, source_rank FROM r WHERE n = 1""",
+    "listing_merge": f"""WITH {LINES}, a AS (SELECT 'P' || (k // 2) AS symbol, name AS company_name, 'NASDAQ' AS exchange, 'XNAS' AS exchange_mic, asset_class, 0 AS source_rank, -k AS o FROM ok
+        UNION ALL SELECT 'P' || (k // 2 + 300), name, {_CODE}, {_MIC}, asset_class, 1, k FROM ok), r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY source_rank, o) AS n FROM a) SELECT symbol, company_name, exchange, exchange_mic, asset_class, source_rank FROM r WHERE n = 1""",
     "etf_merge": f"WITH {HOLDINGS} SELECT * FROM etfs",
     "symbol_overlay": f"WITH {LINES}, {HOLDINGS} SELECT coalesce(e.symbol, ok.symbol) AS symbol, CASE WHEN e.symbol IS NOT NULL THEN 'overlaid' ELSE name END AS company_name, CASE WHEN ok.symbol IS NOT NULL THEN 'XNAS' END AS exchange_mic, weight FROM ok FULL JOIN etfs e ON ok.symbol = e.symbol",
     "universe_new": f"WITH {UNIVERSE}, {INCOMING_SYMBOLS} SELECT symbol FROM inc WHERE symbol NOT IN (SELECT symbol FROM listing WHERE is_current)",
     "universe_to_enrich": f"""WITH {UNIVERSE}, {INCOMING_SYMBOLS}, cur AS (SELECT symbol, figi, instrument_id FROM listing JOIN instrument USING (instrument_id) WHERE is_current)
         SELECT symbol FROM inc WHERE (symbol LIKE 'X%' OR symbol IN (SELECT symbol FROM cur WHERE instrument_id IN (SELECT instrument_id FROM membership))) AND symbol NOT IN (SELECT symbol FROM cur WHERE figi IS NOT NULL)""",
     "enrich_figi": f"""WITH {UNIVERSE} SELECT symbol, CASE WHEN instrument_id % 3 <> 0 THEN 'MAP' || instrument_id ELSE figi END AS figi, CASE WHEN instrument_id % 3 <> 0 THEN 'US' || instrument_id END AS isin, substr(symbol, 1, 2) AS block,
-        CAST((row_number() OVER (PARTITION BY substr(symbol, 1, 2) ORDER BY symbol) - 1) // 10 AS INT) AS batch_no FROM listing JOIN instrument USING (instrument_id) WHERE is_current""",
+        CAST((row_number() OVER (ORDER BY symbol) - 1) // 10 AS INT) AS batch_no FROM listing JOIN instrument USING (instrument_id) WHERE is_current""",
     "enrich_con_id": f"WITH {UNIVERSE} SELECT instrument_id, asset_class, CASE WHEN instrument_id % 4 = 0 THEN instrument_id WHEN asset_class = 'etf' THEN instrument_id + 3000 WHEN instrument_id % 2 = 0 THEN instrument_id + 1000 ELSE instrument_id + 2000 END AS con_id FROM instrument",
     "assign_ids": f"WITH {UNIVERSE} SELECT symbol, exchange_mic, 1000 + row_number() OVER (ORDER BY symbol) AS instrument_id FROM listing WHERE is_current",
     "recover_ids": f"WITH {UNIVERSE}, r AS (SELECT symbol, CASE WHEN instrument_id % 9 <> 0 THEN exchange_mic END AS exchange_mic FROM listing) SELECT r.symbol, r.exchange_mic, l.instrument_id FROM r LEFT JOIN listing l ON l.is_current AND l.symbol = r.symbol AND l.exchange_mic IS NOT DISTINCT FROM r.exchange_mic",
@@ -191,7 +204,7 @@ ORACLE_SQL: dict[str, str] = {
     "provider_map_yahoo": """SELECT upper(event_type) AS symbol, CAST(ts AS DATE) AS date, CASE WHEN event_id % 2 = 0 THEN '1d' ELSE '1h' END AS interval, value AS open, value AS close, user_id AS volume, CASE WHEN event_id % 20 = 0 THEN 0.25::DOUBLE END AS split_factor, CASE WHEN event_id % 15 = 0 THEN 0.75::DOUBLE ELSE 0.0::DOUBLE END AS dividend_amount,
         CASE WHEN event_id % 15 = 0 THEN 'cash' END AS dividend_type, event_id % 15 = 0 AS is_ex_dividend_date, event_id % 20 = 0 AS is_ex_split_date, event_id % 15 = 0 OR event_id % 20 = 0 AS has_corporate_action, CASE WHEN event_id % 2 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS bar_time_utc FROM events""",
     "date_window": f"WITH {BARS} SELECT symbol, date, open FROM bars WHERE date BETWEEN DATE '1999-01-01' AND DATE '1999-01-31'",
-    "quote_latest": "WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS n FROM events) SELECT upper(event_type) AS symbol, CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN CAST(user_id AS DOUBLE) END AS last, CAST(event_id AS DOUBLE) AS bid, CAST(NULL AS DOUBLE) AS ask, 7.0::DOUBLE AS volume FROM r WHERE n = 1",
+    "quote_latest": "WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS n FROM events) SELECT upper(event_type) AS symbol, CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN CAST(user_id AS DOUBLE) END AS last, CAST(event_id AS DOUBLE) AS bid, CAST(NULL AS DOUBLE) AS ask, 7.0::DOUBLE AS volume, CAST(event_id * 2 AS DOUBLE) AS open, CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS DOUBLE) END AS high, CAST(NULL AS DOUBLE) AS low FROM r WHERE n = 1",
     "period_codes": "WITH d AS (SELECT DISTINCT p_size * 20 - 15 AS days FROM part) SELECT days, CASE WHEN days <= 30 THEN days || 'd' WHEN days <= 365 THEN greatest(1, days // 7) || 'w' ELSE greatest(1, days // 30) || 'm' END AS period FROM d",
     "provider_capabilities": "SELECT * FROM (VALUES ('ibkr', '1d', TRUE, TRUE, '1d'), ('ibkr', '1h', TRUE, TRUE, '1h'), ('ibkr', '4h', TRUE, TRUE, '4h'), ('ibkr', '5m', TRUE, TRUE, '5mins'), ('ibkr', '1m', TRUE, TRUE, '1min'), ('yahoo', '1d', FALSE, FALSE, '1d'), ('yahoo', '1h', FALSE, FALSE, '1h'), ('yahoo', '5m', FALSE, FALSE, '5mins'), ('yahoo', '1m', FALSE, FALSE, '1min')) t(provider, interval, options, realtime, bar_code)",
     "zero_volume_runs": f"WITH {BARS}, z AS (SELECT symbol, interval, date, volume <= 0 AS zero, row_number() {_SEQ} - row_number() OVER (PARTITION BY symbol, interval, volume <= 0 ORDER BY date) AS island FROM bars) SELECT symbol, interval, min(date) AS run_start, max(date) AS run_end, count(*) AS n_bars FROM z WHERE zero GROUP BY symbol, interval, island",

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to ``spark.checkpoint.dir`` (a temporary folder only where it is unset) and read back."""
+    """Write to ``spark.checkpoint.dir`` and read back; a temporary folder stands in only for a session of this machine alone."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"

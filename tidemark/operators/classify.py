@@ -78,7 +78,9 @@ def amend_fields(stored: DataFrame, changes: DataFrame, batch_id: str, reason: s
     from tidemark.functions.metrics import has_corporate_action
 
     stored, changes = _with_key(stored), _with_key(changes)
-    joined = latest(stored).alias("s").join(changes.alias("c"), _same_key("s", "c"))
+    # Only what changes meets the window.
+    some = stored.alias("s").join(changes.select(*S.KEY).distinct().alias("c"), _same_key("s", "c"), "left_semi")
+    joined = latest(some).alias("s").join(changes.alias("c"), _same_key("s", "c"))
     columns = [F.coalesce(F.col(f"c.{n}"), F.col(f"s.{n}")).alias(n) if n in changed else F.col(f"s.{n}") for n in stored.columns]
     out = joined.select(*columns)
     out = out.withColumns(

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions.calendar import is_trading_day
+
 MINUTES = {"1h": 60, "4h": 240, "15m": 15, "5m": 5, "1m": 1}
 
 
-def missing_trading_days(bars: DataFrame, calendar: DataFrame) -> DataFrame:
+def missing_trading_days(bars: DataFrame) -> DataFrame:
     """(symbol, date): trading days between a symbol's first and last bar that have no bar."""
-    span = bars.groupBy("symbol").agg(F.min("date").alias("a"), F.max("date").alias("z"))
-    wanted = span.join(F.broadcast(calendar.where("is_trading_day").select("date")), F.col("date").between(F.col("a"), F.col("z"))).select("symbol", "date")
+    span = bars.where("date is not null").groupBy("symbol").agg(F.min("date").alias("a"), F.max("date").alias("z"))
+    wanted = span.select("symbol", F.explode(F.sequence("a", "z")).alias("date")).where(is_trading_day(F.col("date")))
     return wanted.join(bars.select("symbol", "date"), ["symbol", "date"], "left_anti")
 
 
-def zero_volume_runs(bars: DataFrame, at_least: int = 3) -> DataFrame:
+def zero_volume_runs(bars: DataFrame, at_least: int = 3, time: str = "date") -> DataFrame:
     """Runs of bars without volume, one row for each of ``at_least`` bars or more."""
+    bars = bars.select("symbol", "interval", F.col(time).alias("date"), "volume")
     order = W.partitionBy("symbol", "interval").orderBy("date")
     zero = F.coalesce(F.col("volume"), F.lit(0)) <= 0
     island = F.row_number().over(order) - F.row_number().over(W.partitionBy("symbol", "interval", zero).orderBy("date"))

@@ -62,12 +62,16 @@ def enrich_figi(rows: DataFrame, mapping: DataFrame, batch_size: int = 10) -> Da
     """Fill figi and isin from a landed mapping (symbol, pos, figi, isin); a miss leaves the row as it was.
 
     The first match of a symbol counts. ``batch_no`` tells which request of
-    ``batch_size`` symbols a row would have gone with; it is ranked within
-    blocks of symbols' first letters so that no single task sorts all rows.
+    ``batch_size`` symbols a row goes with, all symbols in order; rows are
+    ranked within blocks of symbols' first letters, and a block starts where
+    the ones before end, so that no single task sorts all rows.
     """
     first = mapping.groupBy("symbol").agg(F.min(F.struct("pos", "figi", "isin")).alias("m")).select("symbol", F.col("m.figi").alias("new_figi"), F.col("m.isin").alias("new_isin"))
     place = F.row_number().over(W.partitionBy("block").orderBy("symbol")) - 1
-    made = rows.join(first, "symbol", "left").withColumn("block", F.substring("symbol", 1, 2)).withColumn("batch_no", F.floor(place / batch_size).cast("int"))
+    rows = rows.withColumn("block", F.substring("symbol", 1, 2))
+    # One row a block: some hundreds.
+    starts = rows.groupBy("block").agg(F.count("*").alias("n")).select("block", (F.sum("n").over(W.orderBy("block")) - F.col("n")).alias("before"))
+    made = rows.join(first, "symbol", "left").join(starts, "block").withColumn("batch_no", F.floor((F.col("before") + place) / batch_size).cast("int")).drop("before")
     return made.withColumns({"figi": F.coalesce("new_figi", "figi"), "isin": F.coalesce("new_isin", "isin")}).drop("new_figi", "new_isin")
 
 

@@ -30,7 +30,7 @@ def writable(validated: DataFrame) -> DataFrame:
     return validated.where("outcome != 'rejected'")
 
 
-def enrich(validated: DataFrame, batch_id: str, pipeline_version: str, ingestion_type: str = "scheduled", now: Column | None = None, nullable: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+def enrich(validated: DataFrame, batch_id: str, pipeline_version: str, ingestion_type: str | Column = "scheduled", now: Column | None = None, nullable: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Stamp the audit columns; versions and amendment marks that a bar already has stay."""
     stamp = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     keep = lambda n, default: F.coalesce(S.field(validated, n), default)
@@ -92,6 +92,33 @@ def summary(validated: DataFrame, by: tuple[str, ...] = ("symbol", "interval"))
     return counts.withColumn("pass_rate_pct", rate("total_passed", 100.0)).withColumn("rejection_rate_pct", rate("total_rejected", 0.0))
 
 
+def order_alerts(bars: DataFrame, stream: Stream) -> DataFrame:
+    """(symbol, rule, detail): what a stream's rules on the order of bars find in a batch, by the stream's own limits.
+
+    These rules look at neighbours and so never fire on a single record.
+    """
+    from tidemark.operators import sequence as Q
+
+    limits = {r.name: r.threshold for r in rules.rule_set(stream)}
+    found = []
+    if "max_consecutive_missing_days" in limits:
+        alerts = continuity_alerts(bars, int(limits["max_consecutive_missing_days"]))
+        found.append(alerts.select("symbol", F.lit("max_consecutive_missing_days").alias("rule"), F.concat_ws(" ", "gap_start", "gap_end", "missing_days").alias("detail")))
+    if "consistent_bar_spacing" in limits:
+        made = Q.spacing_errors(bars, "bar_time_utc")
+        found.append(made.select("symbol", F.lit("consistent_bar_spacing").alias("rule"), F.concat_ws(" ", "bar_time_utc", "gap_minutes").alias("detail")))
+    if "consecutive_zero_volume" in limits:
+        made = Q.zero_volume_runs(bars, int(limits["consecutive_zero_volume"] or 3), "bar_time_utc")
+        found.append(made.select("symbol", F.lit("consecutive_zero_volume").alias("rule"), F.concat_ws(" ", "run_start", "run_end", "n_bars").alias("detail")))
+    if "tick_price_spike" in limits:
+        made = Q.price_spikes(bars, float(limits["tick_price_spike"] or 3.0), order="bar_time_utc")
+        found.append(made.select("symbol", F.lit("tick_price_spike").alias("rule"), F.concat_ws(" ", "bar_time_utc", "close").alias("detail")))
+    out = found[0] if found else bars.limit(0).select("symbol", F.lit("").alias("rule"), F.lit("").alias("detail"))
+    for more in found[1:]:
+        out = out.unionAll(more)
+    return out
+
+
 def continuity_alerts(bars: DataFrame, limit: int = 5) -> DataFrame:
     """Daily symbols whose longest gap leaves more than ``limit`` trading days out; the first of equal gaps.
 

@@ -17,6 +17,9 @@ from tidemark.operators import watermark as M
 from tidemark.store import TableStore
 
 
+FAILED_MODE = "unknown"
+
+
 def batch_id(stream: str, now: datetime | None = None) -> str:
     now = now or datetime.now(timezone.utc)
     return f"batch_{stream}_{now.astimezone(timezone.utc):%Y%m%d_%H%M%S}"
@@ -58,33 +61,89 @@ def run_report(classified: DataFrame, rejected: DataFrame) -> DataFrame:
     return made.join(bad, "symbol", "full_outer").na.fill(0, ["written", "amended", "skipped", "rejected"])
 
 
-def ingest(store: TableStore, bars: DataFrame, stream: Stream, batch: str, version: str = "unknown", instruments: DataFrame | None = None, now: Column | None = None, dry_run: bool = False) -> DataFrame:
+def _partitioned(bars: DataFrame) -> DataFrame:
+    return bars.withColumn("month", F.date_format("date", "yyyy-MM"))
+
+
+def stored_bars(store: TableStore, table: str, span: tuple | None = None) -> DataFrame:
+    """Stored bars; with ``span``, those of its months and dates only, so that other files aren't read."""
+    stored = store.read(table, S.BARS_SCHEMA)
+    if "month" not in stored.columns:
+        return stored
+    if span is not None:
+        first, last = span
+        stored = stored.where(F.col("month").between(f"{first:%Y-%m}", f"{last:%Y-%m}") & F.col("date").between(F.lit(first), F.lit(last)))
+    return stored.drop("month")
+
+
+def ingest(
+    store: TableStore, bars: DataFrame, stream: Stream, batch: str, version: str = "unknown", instruments: DataFrame | None = None, now: Column | None = None, dry_run: bool = False,
+    plans: DataFrame | None = None, failures: DataFrame | None = None,
+) -> DataFrame:
     """Validate, classify and append a batch; the run's summary.
 
     Bars go to ``stream.table``, rejects beside it. Nothing is appended twice:
-    known bars are skipped, changed ones come as new versions. With
-    ``instruments`` (symbol, instrument_id), watermarks of the symbols that
-    got bars move; a run that skips everything leaves them.
+    known bars are skipped, changed ones come as new versions, and rejects that
+    the batch has stored already stay as they are. With ``instruments``
+    (symbol, instrument_id), watermarks of the symbols that got bars move: they
+    are read off the stored bars of this batch, so that a batch which died
+    before them and is run again moves them too; a run that skips everything
+    leaves them. ``plans`` (symbol, mode, ingestion_type) say how each symbol
+    was fetched; ``failures`` (symbol, error) count against the watermarks that
+    exist.
     """
-    checked = V.validate(bars, stream)
-    enriched = V.enrich(V.writable(checked), batch, version, now=now, nullable=stream.nullable)
-    stored = store.read(stream.table, S.BARS_SCHEMA)
-    classified = K.classify(S.conform(enriched, S.BARS_SCHEMA), stored)
-    # Three sinks read this, and it must not see what they append.
     from tidemark.operators._scratch import written
 
+    kind: Column | str = "scheduled"
+    if plans is not None:
+        bars = bars.join(plans.select("symbol", F.col("ingestion_type").alias("__kind")), "symbol", "left")
+        kind = F.coalesce("__kind", F.lit("scheduled"))
+    checked = V.validate(bars, stream)
+    enriched = written(S.conform(V.enrich(V.writable(checked), batch, version, kind, now=now, nullable=stream.nullable), S.BARS_SCHEMA), "writable")
+    first, last = enriched.agg(F.min("date"), F.max("date")).first()
+    classified = K.classify(enriched, stored_bars(store, stream.table, (first, last) if first else None))
+    # Three sinks read this, and it must not see what they append.
     classified = written(classified, "classified")
-    rejected = written(V.rejected_records(checked, batch, version, now), "rejected")
+    rejected = written(V.rejected_records(checked.drop("__kind"), batch, version, now), "rejected")
     summary = run_summary(classified, rejected)
     if dry_run:
         return summary
     new = S.conform(classified.where("action = 'new'"), S.BARS_SCHEMA)
     amended = S.conform(K.amend(classified, batch), S.BARS_SCHEMA)
-    store.append(stream.table, new.unionByName(amended), ("interval",))
-    store.append("market_data_rejected", rejected)
+    store.append(stream.table, _partitioned(new.unionByName(amended)), ("interval", "month"))
+    _append_rejects(store, rejected, batch)
     if instruments is not None:
-        moved = M.bounds(classified.where("action != 'skip'"), ("symbol",)).join(instruments.select("symbol", "instrument_id"), "symbol")
-        updates = moved.select("instrument_id", F.lit(stream.name).alias("stream"), "earliest_date", "latest_date", "record_count", F.lit(batch).alias("batch_id"), F.lit("INCREMENTAL").alias("mode"), F.lit("success").alias("run_status"))
-        old = store.read("ingestion_watermark", S.WATERMARK_SCHEMA)
-        store.replace("ingestion_watermark", S.conform(M.upsert(old, updates), S.WATERMARK_SCHEMA))
+        _move_watermarks(store, stream, batch, (first, last) if first else None, instruments, plans, failures)
     return summary
+
+
+def _append_rejects(store: TableStore, rejected: DataFrame, batch: str) -> None:
+    """Append the batch's rejects, less those that an earlier try of it has stored: each as often as it is missing."""
+    from pyspark.sql import Window as W
+
+    key = ["batch_id", "symbol", "date", "interval", "raw_record"]
+    nth = F.row_number().over(W.partitionBy(*key).orderBy("rejected_at"))
+    have = store.read("market_data_rejected", S.REJECT_SCHEMA).where(F.col("batch_id") == batch).select(*key, nth.alias("nth")).alias("h")
+    rows = rejected.withColumn("nth", nth).alias("r")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in (*key, "nth")]
+    store.append("market_data_rejected", rows.join(have, same, "left_anti").drop("nth"))
+
+
+def _move_watermarks(store: TableStore, stream: Stream, batch: str, span: tuple | None, instruments: DataFrame, plans: DataFrame | None, failures: DataFrame | None) -> None:
+    ids = instruments.select("symbol", "instrument_id")
+    added = stored_bars(store, stream.table, span).where(F.col("batch_id") == batch)
+    moved = M.bounds(added, ("symbol",)).join(ids, "symbol")
+    mode: Column = F.lit("INCREMENTAL")
+    if plans is not None:
+        moved, mode = moved.join(plans.select("symbol", F.col("mode").alias("__mode")), "symbol", "left"), F.coalesce("__mode", F.lit("INCREMENTAL"))
+    row = lambda df, mode, status: df.select("instrument_id", F.lit(stream.name).alias("stream"), "earliest_date", "latest_date", "record_count", F.lit(batch).alias("batch_id"), mode.alias("mode"), F.lit(status).alias("run_status"))
+    old = store.read("ingestion_watermark", S.WATERMARK_SCHEMA)
+    updates = row(moved, mode, "success")
+    if failures is not None:
+        # A failure that this batch has counted before isn't counted again.
+        mine = (F.col("stream") == stream.name) & ((F.col("batch_id") != batch) | (F.col("mode") != FAILED_MODE))
+        known = old.where(mine).select("instrument_id", *[F.lit(None).cast(old.schema[c].dataType).alias(c) for c in ("earliest_date", "latest_date", "record_count")])
+        failed = ids.join(failures.select("symbol").distinct(), "symbol", "left_semi").select("instrument_id").join(updates.select("instrument_id"), "instrument_id", "left_anti")
+        updates = updates.unionByName(row(known.join(failed, "instrument_id", "left_semi"), F.lit(FAILED_MODE), "failed"))
+    if not updates.isEmpty():
+        store.replace("ingestion_watermark", S.conform(M.upsert(old, updates), S.WATERMARK_SCHEMA))

@@ -81,22 +81,27 @@ def plan(instruments: DataFrame, cfg: PlanConfig, today: Column) -> DataFrame:
         row = F.struct(F.lit(mode).alias("mode"), a.alias("start_date"), z.alias("end_date"))
         chosen = F.when(when, row) if chosen is None else chosen.when(when, row)
     out = instruments.withColumn("p", chosen).select("symbol", "p.mode", "p.start_date", "p.end_date")
+    return _derived(out, s.batch_size_days)
+
+
+def _derived(plans: DataFrame, days: int) -> DataFrame:
+    """What follows from a plan's mode and range."""
     types = F.create_map(*[F.lit(x) for kv in INGESTION_TYPE.items() for x in kv])
     length = F.date_diff("end_date", "start_date") + 1
-    return out.withColumns({
+    return plans.withColumns({
         "ingestion_type": types[F.col("mode")],
         "is_backfill": types[F.col("mode")] == "backfill",
         "is_amendment_run": F.col("mode") == "RESTATEMENT",
         "date_range_days": length,
-        "estimated_batches": F.greatest(F.lit(1), F.floor(length / s.batch_size_days)).cast("int"),
+        "estimated_batches": F.greatest(F.lit(1), F.floor(length / days)).cast("int"),
     })
 
 
-def override_dates(plans: DataFrame, start: date | None, end: date | None) -> DataFrame:
-    """Dates given by hand beat every mode, if both are."""
+def override_dates(plans: DataFrame, start: date | None, end: date | None, days: int = 30) -> DataFrame:
+    """Dates given by hand beat every mode, if both are; ``days`` is the stream's chunk."""
     if start is None or end is None:
         return plans
-    return plans.withColumns({"mode": F.lit("EXPLICIT_DATE_RANGE"), "start_date": F.lit(start), "end_date": F.lit(end), "ingestion_type": F.lit("backfill"), "is_backfill": F.lit(True), "date_range_days": F.lit((end - start).days + 1)})
+    return _derived(plans.withColumns({"mode": F.lit("EXPLICIT_DATE_RANGE"), "start_date": F.lit(start), "end_date": F.lit(end)}), days)
 
 
 def chunks(plans: DataFrame, days: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Callable
 from dataclasses import dataclass
 from xml.etree import ElementTree
 
@@ -93,3 +94,19 @@ def union_of(frames: list[tuple[EtfFile, DataFrame]]) -> DataFrame:
     if out is None:
         raise ValueError("no holdings")
     return out
+
+
+def load_funds(loaders: list[tuple[EtfFile, Callable[[], DataFrame]]]) -> tuple[DataFrame | None, dict[str, str]]:
+    """The union of the funds that can be read, and the errors of the others by fund: one bad file costs that fund only.
+
+    Each loader's file is read once here, a few hundred rows, so that an error shows.
+    """
+    frames, errors = [], {}
+    for cfg, load in loaders:
+        try:
+            rows = load()
+            rows.count()
+            frames.append((cfg, rows))
+        except Exception as e:  # noqa: BLE001
+            errors[cfg.etf] = f"{type(e).__name__}: {e}"
+    return (union_of(frames) if frames else None), errors

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,11 +20,8 @@ TRAILER = "File Creation Time"
 
 
 def is_excluded(name: Column, symbol: Column) -> Column:
-    low = F.lower(name)
-    out = F.endswith(symbol, F.lit("$"))
-    for part in EXCLUDED:
-        out = out | low.contains(part)
-    return out
+    """Whether a line is left out; one pattern, so that the stage's code stays small."""
+    return F.endswith(symbol, F.lit("$")) | F.lower(name).rlike("|".join(re.escape(part) for part in EXCLUDED))
 
 
 def exchange_mic(code: Column) -> Column:

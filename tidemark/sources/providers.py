@@ -89,10 +89,14 @@ def _common(df: DataFrame) -> DataFrame:
 
 
 def latest_quotes(raw: DataFrame) -> DataFrame:
-    """The last quote of each symbol; fields that aren't numbers are null. ``raw``: symbol, ts, last, bid, ask, volume as text."""
+    """The last quote of each symbol; fields that aren't numbers, or not there, are null.
+
+    ``raw``: symbol, ts, and fields as text under their codes or names.
+    """
+    fields = [F.coalesce(*[F.col(f"`{c}`") for c in (code, name) if c in raw.columns], F.lit(None).cast("string")).alias(name) for code, name in QUOTE_FIELDS.items()]
     num = lambda c: F.nullif(F.trim(c), F.lit("N/A")).try_cast("double").alias(c)
-    last = F.max_by(F.struct("ts", "last", "bid", "ask", "volume"), "ts")
-    return raw.groupBy("symbol").agg(last.alias("q")).select("symbol", "q.*").select("symbol", "ts", *map(num, ("last", "bid", "ask", "volume")))
+    last = F.max_by(F.struct("ts", *fields), "ts")
+    return raw.groupBy("symbol").agg(last.alias("q")).select("symbol", "q.*").select("symbol", "ts", *map(num, QUOTE_FIELDS.values()))
 
 
 def between_dates(bars: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -131,10 +135,15 @@ def capabilities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "provider string, interval string, options boolean, realtime boolean")
 
 
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed payloads: JSON lines or Parquet, by the path's ending."""
+    return spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
+
+
 def healthy(spark: SparkSession, path: str) -> bool:
     """Whether a landed source can be read and has rows."""
     try:
-        return not spark.read.parquet(path).isEmpty()
+        return not _landed(spark, path).isEmpty()
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return False
@@ -151,6 +160,5 @@ def choose(spark: SparkSession, landed: dict[str, str]) -> str:
 
 def read_bars(spark: SparkSession, path: str, name: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
     """Landed payloads (JSON lines or Parquet, by the path's ending) as bars of a date range."""
-    raw = spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
-    bars = provider(name).mapper(raw)
+    bars = provider(name).mapper(_landed(spark, path))
     return between_dates(bars, F.lit(start).cast("date"), F.lit(end).cast("date")) if start and end else bars
