@@ -131,12 +131,13 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     row with a null key. Rows that repeat a key are taken or left together.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("key is not null and lang is not null and text is not null").where(~held_out("key"))
-    sizes = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("size"))
-    languages = sorted(r["__lang"] for r in sizes.select("__lang").collect())  # one row a language
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    languages = sorted(sizes)
     if not languages:
         return None
-    part = F.least(F.lit(1.0), F.lit(float(ROWS_PER_LANGUAGE)) / F.col("size"))
-    sample = rows.join(sizes, F.col("lang") == F.col("__lang")).where(F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1 << 20)) < part * (1 << 20)).select("lang", "text")
+    # One literal, as the driver knows all languages: a join would send every text to the task of its language.
+    part = F.map_from_arrays(F.lit(languages), F.lit([min(1.0, ROWS_PER_LANGUAGE / sizes[g]) for g in languages]))
+    sample = rows.where(F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1 << 20)) < F.element_at(part, F.col("lang")) * (1 << 20)).select("lang", "text")
     place = {g: i for i, g in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
