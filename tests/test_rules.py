@@ -110,3 +110,13 @@ def test_continuity(spark):
     frame = spark.createDataFrame([("A", d, "1d") for d in days] + [("B", days[0], "1d")], "symbol string, date date, interval string")
     row = V.continuity_alerts(frame).collect()
     assert [(r.symbol, r.gap_start, r.missing_days) for r in row] == [("A", date(2026, 1, 15), 15)]
+
+
+def test_rule_that_cannot_be_evaluated_warns(spark):
+    """Text in place of a price: critical rules that need it warn, those that don't still reject, numbers as text are read."""
+    frame = bars(spark, {}, {"high": 148.0}).withColumns({"low": F.lit("n/a"), "volume": F.lit("12")})
+    plain, crossed = V.validate(frame).orderBy(F.col("high").desc()).collect()
+    assert plain.outcome == "flagged"
+    assert {(x.rule, x.severity, x.action) for x in plain.fired} == {(n, "warning", "flag_record") for n in ("high_gte_low", "low_lte_open", "low_lte_close", "price_positive", "vwap_between_low_and_high")}
+    assert all(x.message.startswith("Rule evaluation error: low") for x in plain.fired)
+    assert crossed.outcome == "rejected" and crossed.deciding_rule == "high_gte_open"

@@ -114,6 +114,28 @@ def test_sequences(spark):
     assert smooth[-1].ema_5 == pytest.approx(100.0)
 
 
+def test_averages_over_whole_series(spark):
+    """A series of several blocks, against the plain recurrence; a second symbol and a null stay apart."""
+    values = [100 + 30 * ((i * 37) % 101) / 101 for i in range(3 * Q.BLOCK + 5)]
+    rows = [("A", "1m", i, v) for i, v in enumerate(values)] + [("B", "1m", 0, None), ("B", "1m", 1, 7.0), ("B", "1m", 2, 9.0)]
+    made = Q.ema(spark.createDataFrame(rows, "symbol string, interval string, n int, close double"), 9, time="n").orderBy("symbol", "n").collect()
+    want, state = [], values[0]
+    for v in values:
+        state += (v - state) * 0.2
+        want.append(state)
+    assert [r.ema_9 for r in made] == pytest.approx([*want, 7.0, 7.4], abs=1e-9)
+    empty = Q.trend(spark.createDataFrame([], "symbol string, interval string, date date, high double, low double, close double"))
+    assert empty.collect() == []
+
+
+def test_con_id_cache(spark):
+    names = spark.createDataFrame([("A",), ("A",), ("B",), ("C",), ("D",), (None,)], "symbol string")
+    cache = spark.createDataFrame([("A", 1), ("D", None)], "symbol string, con_id long")
+    contracts = spark.createDataFrame([("A", 0, 9), ("B", 0, None), ("B", 1, 2), ("B", 2, 3), ("D", 0, 4)], "symbol string, pos int, con_id long")
+    made = sorted(tuple(r) for r in U.resolve_con_ids(names, cache, contracts).collect())
+    assert made == [("A", 1, "cached"), ("B", 2, "found"), ("C", None, "missing"), ("D", 4, "found")]
+
+
 def test_universe_dml(spark):
     listing = spark.createDataFrame([(1, "A", "XNAS", date(2020, 1, 1), None, True), (2, "B", None, date(2020, 1, 1), None, True)], "instrument_id long, symbol string, exchange_mic string, valid_from date, valid_to date, is_current boolean")
     made = U.rename_listing(listing, spark.createDataFrame([("A", "AA")], "old_symbol string, new_symbol string"), F.lit(date(2026, 1, 1)))

@@ -401,6 +401,16 @@ def enrich_con_id(spark, d):
     return U.enrich_con_id(rows, found).select("instrument_id", "asset_class", "con_id")
 
 
+@query
+def con_id_cache(spark, d):
+    k = F.col("instrument_id")
+    s = X.suppliers(spark, d)
+    cache = s.where("instrument_id % 3 = 0").select("symbol", (k + 5000).cast("long").alias("con_id"))
+    one = lambda pos, c: s.select("symbol", F.lit(pos).alias("pos"), c.cast("long").alias("con_id"))
+    contracts = one(0, F.when(k % 2 == 0, k + 1000)).unionAll(one(1, F.when(k % 5 != 0, k + 2000)))
+    return U.resolve_con_ids(s, cache, contracts)
+
+
 @query
 def assign_ids(spark, d):
     return U.assign_ids(X.listings(spark, d).where("is_current").select("symbol", "exchange_mic"), "instrument_id", ("symbol",), 1000)
@@ -563,6 +573,23 @@ def indicators(spark, d):
     return Q.indicators(X.daily_bars(spark, d))
 
 
+@query
+def trend(spark, d):
+    return Q.trend(X.daily_bars(spark, d))
+
+
+@query
+def rule_errors(spark, d):
+    """Bars whose prices came as text, some of it no numbers: rules that can't be evaluated warn."""
+    v = F.col("volume")
+    bars = X.daily_bars(spark, d).withColumns({
+        "low": F.when(v % 7 == 0, "n/a").otherwise(F.col("low").cast("string")),
+        "vwap": F.when(v % 11 == 0, "?").otherwise(F.col("vwap").cast("string")),
+    })
+    found = V.validate(bars).select(F.explode("fired").alias("x")).select("x.*").where(F.startswith("message", F.lit("Rule evaluation error")))
+    return found.groupBy("rule", "severity", "action").agg(F.count("*").alias("hits"))
+
+
 def _commands(spark, d):
     k = F.col("instrument_id")
     name = F.element_at(F.array(*map(F.lit, O.EFFECTS)), (k % 5 + 1).cast("int"))

@@ -182,6 +182,7 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_figi": f"""WITH {UNIVERSE} SELECT symbol, CASE WHEN instrument_id % 3 <> 0 THEN 'MAP' || instrument_id ELSE figi END AS figi, CASE WHEN instrument_id % 3 <> 0 THEN 'US' || instrument_id END AS isin, substr(symbol, 1, 2) AS block,
         CAST((row_number() OVER (ORDER BY symbol) - 1) // 10 AS INT) AS batch_no FROM listing JOIN instrument USING (instrument_id) WHERE is_current""",
     "enrich_con_id": f"WITH {UNIVERSE} SELECT instrument_id, asset_class, CASE WHEN instrument_id % 4 = 0 THEN instrument_id WHEN asset_class = 'etf' THEN instrument_id + 3000 WHEN instrument_id % 2 = 0 THEN instrument_id + 1000 ELSE instrument_id + 2000 END AS con_id FROM instrument",
+    "con_id_cache": f"WITH {UNIVERSE} SELECT symbol, CASE WHEN instrument_id % 3 = 0 THEN instrument_id + 5000 WHEN instrument_id % 2 = 0 THEN instrument_id + 1000 WHEN instrument_id % 5 <> 0 THEN instrument_id + 2000 END AS con_id, CASE WHEN instrument_id % 3 = 0 THEN 'cached' WHEN instrument_id % 2 = 0 OR instrument_id % 5 <> 0 THEN 'found' ELSE 'missing' END AS origin FROM sup",
     "assign_ids": f"WITH {UNIVERSE} SELECT symbol, exchange_mic, 1000 + row_number() OVER (ORDER BY symbol) AS instrument_id FROM listing WHERE is_current",
     "recover_ids": f"WITH {UNIVERSE}, r AS (SELECT symbol, CASE WHEN instrument_id % 9 <> 0 THEN exchange_mic END AS exchange_mic FROM listing) SELECT r.symbol, r.exchange_mic, l.instrument_id FROM r LEFT JOIN listing l ON l.is_current AND l.symbol = r.symbol AND l.exchange_mic IS NOT DISTINCT FROM r.exchange_mic",
     "membership_new": f"WITH {UNIVERSE}, w AS (SELECT instrument_id, 'SP500' AS universe_code FROM sup WHERE instrument_id % 2 = 0 OR instrument_id % 7 = 0 UNION SELECT instrument_id, 'NDX100' FROM sup WHERE instrument_id % 3 = 0 UNION SELECT instrument_id, 'R2K' FROM sup WHERE instrument_id % 5 = 0) SELECT * FROM w EXCEPT SELECT * FROM membership",
@@ -217,6 +218,17 @@ ORACLE_SQL: dict[str, str] = {
           min(low) {_over(14)} AS lo, max(high) {_over(14)} AS hi, max(high) {_over(80)} AS h80, min(low) {_over(15)} AS s15 FROM g)
         SELECT symbol, interval, date, close, CASE WHEN seen >= 15 THEN a END AS sma_15, CASE WHEN seen >= 45 THEN b45 END AS sma_45, CASE WHEN seen >= 20 THEN v END AS avg_volume_20, CASE WHEN seen >= 15 THEN CASE WHEN ls = 0 THEN 100.0 ELSE 100 - 100 / (1 + gs / ls) END END AS rsi_14,
           CASE WHEN seen >= 14 AND hi > lo THEN (close - lo) / (hi - lo) * 100 END AS stoch_k, CASE WHEN seen >= 80 THEN h80 END AS high_80, CASE WHEN seen >= 15 THEN s15 END AS support_15 FROM w""",
+    "rule_errors": f"""WITH {BARS}, x AS (SELECT volume % 7 = 0 AS l, volume % 11 = 0 AS w, low, high, open, close, vwap FROM bars), r AS (
+          SELECT unnest([CASE WHEN l THEN 'high_gte_low' END, CASE WHEN l THEN 'low_lte_open' END, CASE WHEN l THEN 'low_lte_close' END, CASE WHEN l THEN 'price_positive' END,
+            CASE WHEN w OR l AND NOT vwap > high + 1e-9 THEN 'vwap_between_low_and_high' END]) AS rule FROM x)
+        SELECT rule, 'warning' AS severity, 'flag_record' AS action, count(*) AS hits FROM r WHERE rule IS NOT NULL GROUP BY rule""",
+    "trend": f"""WITH RECURSIVE {BARS}, c AS (SELECT *, lag(close) {_SEQ} AS pc, row_number() {_SEQ} AS n, min(low) {_over(14)} AS lo, max(high) {_over(14)} AS hi FROM bars WHERE high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL),
+        k AS (SELECT symbol, interval, date, n, close, greatest(abs(high - low), abs(high - pc), abs(low - pc)) AS tr, CAST(CASE WHEN n >= 14 AND hi > lo THEN (close - lo) / (hi - lo) * 100 END AS DECIMAL(20,8)) AS sk FROM c),
+        d AS (SELECT *, CASE WHEN count(sk) {_over(3)} = 3 THEN CAST(sum(sk) {_over(3)} AS DOUBLE) / 3 END AS sd FROM k),
+        e AS (SELECT symbol, interval, n, close AS a, close AS b, close AS f, close AS s, tr AS t, CAST(0.0 AS DOUBLE) AS g FROM d WHERE n = 1
+          UNION ALL SELECT symbol, interval, n, a, b, f, s, t, g + (f - s - g) * 0.2::DOUBLE FROM (SELECT d.symbol, d.interval, d.n, e.a + (d.close - e.a) / 8 AS a, e.b + (d.close - e.b) / 23 AS b, e.f + (d.close - e.f) * 2 / 13 AS f, e.s + (d.close - e.s) * 2 / 27 AS s, e.t + (d.tr - e.t) / 14 AS t, e.g
+            FROM e JOIN d ON d.symbol = e.symbol AND d.interval = e.interval AND d.n = e.n + 1))
+        SELECT d.symbol, d.interval, d.date, round(a, 4) AS ema_15, round(b, 4) AS ema_45, round(f - s, 4) AS macd, round(g, 4) AS macd_signal, round(t, 4) AS atr_14, round(sd, 4) AS stoch_d FROM d JOIN e ON d.symbol = e.symbol AND d.interval = e.interval AND d.n = e.n""",
     "command_effects": f"WITH {UNIVERSE}, {COMMANDS} SELECT f.instrument_id, c.command_id, CASE WHEN c.command IS NULL THEN CASE WHEN f.is_active THEN 'active' ELSE 'paused' END ELSE CASE c.command WHEN 'FORCE_RELOAD' THEN 'reload' WHEN 'HISTORY_LOAD' THEN 'extend' WHEN 'PAUSE' THEN 'paused' WHEN 'RESUME' THEN 'active' ELSE 'skip' END END AS effect FROM feed f LEFT JOIN commands c ON f.instrument_id = c.instrument_id AND c.status = 'PENDING'",
     "command_consume": f"WITH {SUP}, {COMMANDS} SELECT command_id, instrument_id, command, 'DONE' AS status, CASE WHEN status = 'PENDING' THEN 'now' END AS consumed_at FROM commands",
     "batch_scope": f"""WITH {UNIVERSE}, bc(job_type, groups, cap) AS (VALUES ('daily_ab', 'AB', 5), ('daily_c', 'C', NULL), ('daily_d', 'D', 3)), r AS (SELECT job_type, batch_group, instrument_id, priority, cap, CAST(row_number() OVER (PARTITION BY job_type ORDER BY priority, instrument_id) AS INT) AS place FROM bc JOIN feed ON contains(groups, batch_group) AND is_active)

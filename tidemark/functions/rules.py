@@ -1,6 +1,7 @@
 """Data-quality rules as columns: each gives a message where it fires and null where it passes.
 
-A null (or NaN) operand passes, except for ``no_null_ohlcv``.
+A null (or NaN) operand passes, except for ``no_null_ohlcv``. Text that stands where
+a number should and can't be read as one makes the rules that need it warn.
 """
 
 from __future__ import annotations
@@ -20,14 +21,25 @@ PRICES = ("open", "high", "low", "close")
 
 
 class Bar:
-    """Columns of a bar; a double that is NaN reads as null."""
+    """Columns of a bar as their declared types; a double that is NaN reads as null.
+
+    ``unread`` collects, by column, whether a value can't be read as its type.
+    """
 
     def __init__(self, df: DataFrame):
         self.df = df
+        self.types = {f.name: f.dataType for f in df.schema.fields}
+        self.unread: dict[str, Column] = {}
 
     def __getattr__(self, name: str) -> Column:
         c = S.field(self.df, name)
-        kind = self.df.schema[name].dataType if name in self.df.columns else None
+        kind = self.types.get(name)
+        declared = S.BARS_SCHEMA[name].dataType if name in S.BARS_SCHEMA.names else kind
+        if isinstance(kind, T.StringType) and not isinstance(declared, T.StringType):
+            whole = isinstance(declared, (T.LongType, T.IntegerType))
+            read = c.try_cast("double").try_cast(declared) if whole else c.try_cast(declared)
+            self.unread[name] = c.isNotNull() & read.isNull()
+            c, kind = read, declared
         return F.when(~F.isnan(c), c) if isinstance(kind, T.DoubleType) else c
 
     def raw(self, name: str) -> Column:
@@ -153,8 +165,20 @@ def rule_set(stream: C.Stream | None = None) -> list[Rule]:
     return list(out.values())
 
 
+def _applied(df: DataFrame, r: Rule) -> Column:
+    """(rule, severity, action, message) of one rule; one that can't be evaluated only warns, whatever its severity."""
+    bar = Bar(df)
+    message = REGISTRY[r.name](bar, r.threshold)
+    severity, action = F.lit(r.severity), F.lit(r.action)
+    if bar.unread:
+        error = F.coalesce(*[F.when(c, F.concat(F.lit(f"Rule evaluation error: {n} can't be read: "), bar.raw(n))) for n, c in bar.unread.items()])
+        failed = message.isNull() & error.isNotNull()
+        severity, action = F.when(failed, "warning").otherwise(severity), F.when(failed, "flag_record").otherwise(action)
+        message = F.coalesce(message, error)
+    return F.struct(F.lit(r.name).alias("rule"), severity.alias("severity"), action.alias("action"), message.alias("message"))
+
+
 def fired(df: DataFrame, rules: list[Rule]) -> Column:
     """The rules that fire on a row, in order: array of (rule, severity, action, message). Alerts aren't for rows."""
-    bar = Bar(df)
-    each = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.action).alias("action"), REGISTRY[r.name](bar, r.threshold).alias("message")) for r in rules if r.action != "alert"]
+    each = [_applied(df, r) for r in rules if r.action != "alert"]
     return F.filter(F.array(*each), lambda x: x["message"].isNotNull())

@@ -54,7 +54,7 @@ def indicators(bars: DataFrame) -> DataFrame:
     """Moving averages, 14-bar RSI and stochastic, 80-bar high and 15-bar support of each bar.
 
     Windows are by rows; the RSI is that of plain sums. Values are null until
-    a window is full.
+    a window is full. ``trend`` has the exponential averages.
     """
     order = W.partitionBy("symbol", "interval").orderBy("date")
     last = lambda n: order.rowsBetween(1 - n, 0)
@@ -74,10 +74,60 @@ def indicators(bars: DataFrame) -> DataFrame:
     )
 
 
-def ema(bars: DataFrame, span: int, column: str = "close", weights: int = 6) -> DataFrame:
-    """Exponential moving average, cut where weights fall below e**-``weights``: a fold over a bounded window."""
-    alpha, rows = 2.0 / (span + 1), int(weights * (span + 1) / 2)
-    order = W.partitionBy("symbol", "interval").orderBy("date").rowsBetween(1 - rows, 0)
-    seen = F.collect_list(column).over(order)
-    fold = F.aggregate(F.slice(seen, 2, rows), F.element_at(seen, 1), lambda acc, x: acc * (1 - alpha) + x * alpha)
-    return bars.withColumn(f"ema_{span}", fold)
+BLOCK = 128  # bars whose weights are summed relative to one place; old ones weigh next to nothing
+
+
+def smoothed(bars: DataFrame, columns: dict[str, tuple[str, float]], time: str = "date") -> DataFrame:
+    """Exponential averages over a symbol's whole series: ``columns`` maps a new name to (column, share of the newest value).
+
+    The first average is the first value; values mustn't be null. The
+    recurrence is linear, so blocks of bars are summed by themselves, in one
+    window, and what enters a block is a fold over the ends of those before it:
+    a number for each ``BLOCK`` bars of a symbol, never its bars.
+    """
+    key = ["symbol", "interval"]
+    place = F.row_number().over(W.partitionBy(*key).orderBy(time)) - 1
+    placed = bars.withColumn("__n", place).withColumns({"__b": F.floor(F.col("__n") / BLOCK).cast("int"), "__i": F.col("__n") % BLOCK})
+    inside = W.partitionBy(*key, "__b").orderBy("__i")
+    old = {name: 1.0 - share for name, (_, share) in columns.items()}
+    power = lambda name, n: F.pow(F.lit(old[name]), n)
+    local = {f"__{name}": F.sum(F.col(c) / power(name, F.col("__i"))).over(inside) * power(name, F.col("__i")) * share for name, (c, share) in columns.items()}
+    placed = placed.withColumns(local)
+    ends = placed.groupBy(*key, "__b").agg(F.max_by(F.struct(*local), "__i").alias("end"), *[F.min_by(c, "__i").alias(f"first_{name}") for name, (c, _) in columns.items()])
+    ordered = ends.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__b", "end", *[f"first_{n}" for n in columns]))).alias("__ends"))
+
+    def entering(name: str):
+        """The average before each block: the first value, then folds of whole blocks."""
+        whole = F.lit(old[name] ** BLOCK)
+        step = lambda acc, x: acc * whole + x["end"][f"__{name}"]
+        start = F.element_at("__ends", 1)[f"first_{name}"]
+        return F.transform("__ends", lambda _, b: F.aggregate(F.slice("__ends", F.lit(1), b), start, step)).alias(f"__c_{name}")
+
+    carried = ordered.select(*key, *[entering(n) for n in columns])
+    out = placed.join(carried, key)
+    made = {n: F.col(f"__{n}") + F.get(f"__c_{n}", F.col("__b")) * power(n, F.col("__i") + 1) for n in columns}
+    return out.select(*bars.columns, *[c.alias(n) for n, c in made.items()])
+
+
+def ema(bars: DataFrame, span: int, column: str = "close", time: str = "date") -> DataFrame:
+    """Exponential moving average of this span over a symbol's whole series; bars without a value are left out."""
+    return smoothed(bars.where(F.col(column).isNotNull()), {f"ema_{span}": (column, 2.0 / (span + 1))}, time)
+
+
+def trend(bars: DataFrame) -> DataFrame:
+    """ema_15, ema_45, MACD (12, 26) with its signal (9), ATR of 14 bars (an average of share 1/14) and stochastic %D.
+
+    Bars that lack high, low or close are left out. Values are rounded to four places.
+    """
+    order = W.partitionBy("symbol", "interval").orderBy("date")
+    seen = bars.where("high is not null and low is not null and close is not null")
+    before, last = F.lag("close").over(order), order.rowsBetween(-13, 0)
+    low, high = F.min("low").over(last), F.max("high").over(last)
+    seen = seen.select("symbol", "interval", "date", "close", F.greatest(F.abs(F.col("high") - F.col("low")), F.abs(F.col("high") - before), F.abs(F.col("low") - before)).alias("true_range"), F.when(F.row_number().over(order) >= 14, F.when(high > low, (F.col("close") - low) / (high - low) * 100)).alias("stoch_k"))
+    k = F.col("stoch_k").cast("decimal(20,8)")
+    three = order.rowsBetween(-2, 0)
+    seen = seen.withColumn("stoch_d", F.when(F.count(k).over(three) == 3, F.sum(k).over(three).cast("double") / 3))
+    span = lambda n: 2.0 / (n + 1)
+    made = smoothed(seen, {"ema_15": ("close", span(15)), "ema_45": ("close", span(45)), "ema_12": ("close", span(12)), "ema_26": ("close", span(26)), "atr_14": ("true_range", 1 / 14)})
+    made = smoothed(made.withColumn("macd", F.col("ema_12") - F.col("ema_26")), {"macd_signal": ("macd", span(9))})
+    return made.select("symbol", "interval", "date", *[F.round(c, 4).alias(c) for c in ("ema_15", "ema_45", "macd", "macd_signal", "atr_14", "stoch_d")])

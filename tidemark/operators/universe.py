@@ -83,6 +83,22 @@ def enrich_con_id(rows: DataFrame, contracts: DataFrame) -> DataFrame:
     return out.withColumn("con_id", F.coalesce("con_id", "found")).drop("s", "t", "t0", "found")
 
 
+def resolve_con_ids(symbols: DataFrame, cache: DataFrame, contracts: DataFrame) -> DataFrame:
+    """(symbol, con_id, origin) of each distinct symbol: from the cache, else its first contract with an id, else none.
+
+    ``origin`` is cached, found or missing; the found rows are what the cache
+    gains. ``cache``: symbol, con_id, one row a symbol. Null symbols are left out.
+    """
+    wanted = symbols.where("symbol is not null").select("symbol").distinct()
+    known = cache.select("symbol", F.col("con_id").alias("cached"))
+    # Contracts are cut to the symbols that the cache lacks before their first is taken.
+    lacking = wanted.join(known.where("cached is not null").select("symbol"), "symbol", "left_anti")
+    first = contracts.where("con_id is not null").join(lacking, "symbol", "left_semi").groupBy("symbol").agg(F.min_by("con_id", "pos").alias("found"))
+    out = wanted.join(known, "symbol", "left").join(first, "symbol", "left")
+    origin = F.when(F.col("cached").isNotNull(), "cached").when(F.col("found").isNotNull(), "found").otherwise("missing")
+    return out.select("symbol", F.coalesce("cached", "found").alias("con_id"), origin.alias("origin"))
+
+
 def assign_ids(rows: DataFrame, id_column: str, order: tuple[str, ...], after: int) -> DataFrame:
     """Surrogate ids after the highest there is, by the natural key.
 
