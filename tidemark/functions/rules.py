@@ -18,12 +18,24 @@ from tidemark import schemas as S
 
 EPS = 1e-9
 PRICES = ("open", "high", "low", "close")
+READ = "__read_"
+
+
+def with_read(df: DataFrame) -> DataFrame:
+    """Add what text columns that should hold something else read as, once for all rules; null where they can't."""
+    made = {}
+    for f in S.BARS_SCHEMA.fields:
+        if f.name != "date" and f.name in df.columns and isinstance(df.schema[f.name].dataType, T.StringType) and not isinstance(f.dataType, T.StringType):
+            whole = isinstance(f.dataType, (T.LongType, T.IntegerType))
+            made[READ + f.name] = F.col(f.name).try_cast("double").try_cast(f.dataType) if whole else F.col(f.name).try_cast(f.dataType)
+    return df.withColumns(made) if made else df
 
 
 class Bar:
     """Columns of a bar as their declared types; a double that is NaN reads as null.
 
-    ``unread`` collects, by column, whether a value can't be read as its type.
+    ``unread`` collects, by column, whether a value can't be read as its type
+    (of columns that ``with_read`` has read).
     """
 
     def __init__(self, df: DataFrame):
@@ -32,14 +44,10 @@ class Bar:
         self.unread: dict[str, Column] = {}
 
     def __getattr__(self, name: str) -> Column:
-        c = S.field(self.df, name)
-        kind = self.types.get(name)
-        declared = S.BARS_SCHEMA[name].dataType if name in S.BARS_SCHEMA.names else kind
-        if isinstance(kind, T.StringType) and not isinstance(declared, T.StringType):
-            whole = isinstance(declared, (T.LongType, T.IntegerType))
-            read = c.try_cast("double").try_cast(declared) if whole else c.try_cast(declared)
-            self.unread[name] = c.isNotNull() & read.isNull()
-            c, kind = read, declared
+        c, kind = S.field(self.df, name), self.types.get(name)
+        if READ + name in self.types:
+            c, kind = F.col(READ + name), self.types[READ + name]
+            self.unread[name] = self.raw(name).isNotNull() & c.isNull()
         return F.when(~F.isnan(c), c) if isinstance(kind, T.DoubleType) else c
 
     def raw(self, name: str) -> Column:

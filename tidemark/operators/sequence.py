@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -96,7 +96,7 @@ def smoothed(bars: DataFrame, columns: dict[str, tuple[str, float]], time: str =
     ends = placed.groupBy(*key, "__b").agg(F.max_by(F.struct(*local), "__i").alias("end"), *[F.min_by(c, "__i").alias(f"first_{name}") for name, (c, _) in columns.items()])
     ordered = ends.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__b", "end", *[f"first_{n}" for n in columns]))).alias("__ends"))
 
-    def entering(name: str):
+    def entering(name: str) -> Column:
         """The average before each block: the first value, then folds of whole blocks."""
         whole = F.lit(old[name] ** BLOCK)
         step = lambda acc, x: acc * whole + x["end"][f"__{name}"]
@@ -117,7 +117,9 @@ def ema(bars: DataFrame, span: int, column: str = "close", time: str = "date") -
 def trend(bars: DataFrame) -> DataFrame:
     """ema_15, ema_45, MACD (12, 26) with its signal (9), ATR of 14 bars (an average of share 1/14) and stochastic %D.
 
-    Bars that lack high, low or close are left out. Values are rounded to four places.
+    Bars that lack high, low or close are left out. Values are rounded to four
+    places. An average of an average is a weighted difference of both averages
+    of the values themselves, so the signal needs no second pass.
     """
     order = W.partitionBy("symbol", "interval").orderBy("date")
     seen = bars.where("high is not null and low is not null and close is not null")
@@ -127,7 +129,13 @@ def trend(bars: DataFrame) -> DataFrame:
     k = F.col("stoch_k").cast("decimal(20,8)")
     three = order.rowsBetween(-2, 0)
     seen = seen.withColumn("stoch_d", F.when(F.count(k).over(three) == 3, F.sum(k).over(three).cast("double") / 3))
-    span = lambda n: 2.0 / (n + 1)
-    made = smoothed(seen, {"ema_15": ("close", span(15)), "ema_45": ("close", span(45)), "ema_12": ("close", span(12)), "ema_26": ("close", span(26)), "atr_14": ("true_range", 1 / 14)})
-    made = smoothed(made.withColumn("macd", F.col("ema_12") - F.col("ema_26")), {"macd_signal": ("macd", span(9))})
+    share = {n: 2.0 / (n + 1) for n in (9, 12, 15, 26, 45)}
+    made = smoothed(seen, {**{f"ema_{n}": ("close", a) for n, a in share.items()}, "atr_14": ("true_range", 1 / 14)})
+
+    def twice(n: int) -> Column:
+        """The average of span 9 of the average of span n."""
+        old, old9 = 1 - share[n], 1 - share[9]
+        return (F.col(f"ema_{n}") * (share[9] * old) - F.col("ema_9") * (share[n] * old9)) / (old - old9)
+
+    made = made.withColumns({"macd": F.col("ema_12") - F.col("ema_26"), "macd_signal": twice(12) - twice(26)})
     return made.select("symbol", "interval", "date", *[F.round(c, 4).alias(c) for c in ("ema_15", "ema_45", "macd", "macd_signal", "atr_14", "stoch_d")])

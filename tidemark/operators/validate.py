@@ -19,7 +19,8 @@ def validate(bars: DataFrame, stream: Stream | None = None) -> DataFrame:
     Any critical rule rejects, and the first one decides; else any rule flags.
     Without a stream the shared rules alone hold. One projection, no shuffle.
     """
-    found = bars.withColumn("fired", rules.fired(bars, rules.rule_set(stream)))
+    read = rules.with_read(bars)
+    found = read.withColumn("fired", rules.fired(read, rules.rule_set(stream))).drop(*[c for c in read.columns if c.startswith(rules.READ)])
     critical = F.filter("fired", lambda x: x["severity"] == "critical")
     outcome = F.when(F.size(critical) > 0, "rejected").when(F.size("fired") > 0, "flagged").otherwise("clean")
     return found.withColumn("outcome", outcome).withColumn("deciding_rule", F.when(F.size(critical) > 0, F.get(critical, F.lit(0))["rule"]))
