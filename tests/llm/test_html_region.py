@@ -35,6 +35,15 @@ def test_nothing_of_the_article_is_lost():
     assert main_text(lead, PRIOR) == f"Ok.\n{STORY}\nEnd."
 
 
+@pytest.mark.parametrize("name", ["search", "widget", "social", "banner-wrapper"])
+def test_wrapper_of_a_page_without_marks(name):
+    """A boilerplate name around the whole page says nothing; names inside of it, and of a page that is but a notice, still do."""
+    page = f"<body>{MENU}<div class='{name}'><h1>Tides</h1><p>{STORY}</p><div class='advert'><p>Buy now</p></div><p>{REST}</p></div><footer>Site</footer></body>"
+    assert main_text(page, PRIOR) == f"Tides\n{STORY}\n{REST}"
+    assert main_text(f"<body>{MENU}<div class='{name}'><p>{STORY}</p></div><div class='comments'><p>{REST}</p></div></body>", PRIOR) == ""
+    assert main_text(f"<body><nav><h1>Site</h1><p>{STORY}</p></nav></body>", PRIOR) == ""
+
+
 def test_small_mark_beside_a_long_story():
     page = f"<body><div>{''.join(f'<p>{STORY}</p>' for _ in range(9))}</div><article><p>One card</p></article></body>"
     assert main_text(page, PRIOR).startswith("\n".join([STORY] * 9))

@@ -15,7 +15,8 @@ feature of it, as the labels are made from them.
 
 Two readings of a page compete by the score of their best region: that its marks
 hold the content (words outside count against a region), and that they mean
-nothing. Inside the region, an element whose own tag or class weighs at most
+nothing. If neither has a region, names of elements around the main heading and
+most of the page are taken to mean nothing. Inside the region, an element whose own tag or class weighs at most
 ``INSET`` is left out (an advert, a form, comments); it scores nothing, so that
 it never splits a region. Where marks hold the content, this goes for elements
 inside of the marks or between two of them: whatever lies outside, the scan
@@ -194,7 +195,7 @@ def read_page(page: str) -> tuple[list[Run], list[Element]]:
 class Reading:
     """A page's elements under one reading of its marks: what words and tags score in each, and which are insets."""
 
-    def __init__(self, runs: list[Run], elements: list[Element], weights: Weights, marks: set[Element]):
+    def __init__(self, runs: list[Run], elements: list[Element], weights: Weights, marks: set[Element], wrappers: frozenset[Element] = frozenset()):
         value = {**weights["elements"], **weights["names"]}
         other = weights["names"]["*"]
         weigh = lambda own: sum(value.get(f, other if f[0] == "*" else 0.0) for f in own)
@@ -205,7 +206,7 @@ class Reading:
         for e in elements[1:]:
             within, own = self.inside[e.parent], 0.0
             if not (e.mark and (e in marks or within)):  # a mark's names say nothing
-                own = weigh(f for f in e.own if not (f == "header" and within) and not (f == "form" and 2 * e.words >= elements[0].words))
+                own = weigh(f for f in e.own if not (f == "header" and within) and not (f == "form" and 2 * e.words >= elements[0].words) and not (e in wrappers and (f[0] in "*." or f == "header" != e.name)))
             self.inside[e] = within or e in marks
             self.total[e] = self.total[e.parent] + own
             self.named[e] = self.named[e.parent] or own <= INSET
@@ -250,12 +251,28 @@ def best_span(values: np.ndarray) -> tuple[int, int]:
     return span
 
 
+def page_wrappers(elements: list[Element]) -> frozenset[Element]:
+    """Elements around at least half of the page's words and its main heading: what is named after them is the page, not a part of it."""
+    around: set[Element] = set()
+    for e in elements[1:]:
+        at = e.parent if e.name == "h1" else None
+        while at is not None and at not in around:
+            around.add(at)
+            at = at.parent
+    return frozenset(e for e in around if 2 * e.words >= elements[0].words)
+
+
 def best_reading(runs: list[Run], elements: list[Element], weights: Weights) -> Reading:
-    """The reading whose region scores most: by the page's marks, or without."""
+    """The reading whose region scores most: by the page's marks, or without.
+
+    Where neither finds a region, the names of the page's wrappers are read as saying nothing.
+    """
     marks = trusted_marks(elements, weights)
     found = Reading(runs, elements, weights, set())
     if marks and (marked := Reading(runs, elements, weights, marks)).score >= found.score:
-        return marked
+        found = marked
+    if found.score == 0 and (wrappers := page_wrappers(elements)):
+        return Reading(runs, elements, weights, set(), wrappers)
     return found
 
 
