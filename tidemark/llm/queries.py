@@ -96,6 +96,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import kmeans
+
+    return kmeans.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm import packing
+
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import repair
+
+    return repair.repair(repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -107,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIX_SQL, "op6_exact_dedup": LABEL_SQL}

@@ -45,7 +45,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage, whatever it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -53,12 +54,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Remove written tables that nothing reads any more."""
     for table in tables:
-        _delete(table.sparkSession, table.scratch_path)
+        delete(table.sparkSession, table.scratch_path)
 
 
 def clear(spark: SparkSession) -> None:
     """Remove all tables that this application has written; rows of earlier queries can't be read after this."""
-    _delete(spark, _own_folder(spark))
+    delete(spark, _own_folder(spark))
 
 
 def sent_if_small(table: DataFrame, each: Column) -> DataFrame:
