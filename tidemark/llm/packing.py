@@ -26,6 +26,8 @@ rows of 48 bytes (9 MB for 4096), which is what executors are sent.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -44,13 +46,24 @@ from tidemark.llm.words import lean, slices
 CAPACITY = 4096
 END_ID = 1
 SLOTS_PER_LENGTH = 48
-KNOWN_WORDS = 400_000  # that a worker remembers
+KNOWN_WORDS = 800_000  # that a worker remembers, some 160 MB
+KNOWN_MARKS = 10_000
 KNOWN_BYTES = 64  # longer words are encoded anew each time
 
 
 # --- tokens ---------------------------------------------------------------------------------------------------------
 
 
+PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch  # two pre-tokens at most, and nothing to normalise
+
+
+def byte_symbols() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it shows, else the next from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values
+    hidden = [b for b in range(256) if b not in shown]
+    return dict(zip(shown, shown, strict=True)) | {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class WordIds(dict):
     """Ids of words as little-endian 32-bit numbers; as a dict it remembers short words.
 
@@ -66,21 +79,52 @@ class WordIds(dict):
 
         super().__init__()
         self.library = Tokenizer.from_file(path)
+        self.symbols = byte_symbols()
+        self.marks: dict[str, bytes] = {}
+        self.model, model = None, self.library.model
+        probe = {w.encode() for w in ("straße", "naïveté...", "øre", "où", "unbelievably!?", "a", "hello_", "it'")}
+        by_library = self._asked(probe)
+        self.model = model
+        if any(by_library[w] != ids for w, ids in self._asked(probe).items() if w in probe):
+            self.model = None  # not a byte-level model over runs of letters and runs of marks
+
+    def _straight(self, pre_token: str) -> bytes:
+        """Ids of one pre-token: its bytes go to the model as they are."""
+        ids = [t.id for t in self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.symbols))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _asked(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of unknown words, from the library; a letter before a last point or comma ends a pre-token."""
-        cut = {w: (w[:-1], w[-1:]) for w in words if w[-1:] in (b".", b",") and w[-2:-1].islower()}
-        ask = list(words.difference(cut).union(p for both in cut.values() for p in both).difference(self))
-        found = self.library.encode_batch_fast([w.decode() for w in ask], add_special_tokens=False)
-        made = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(ask, found, strict=True)}
-        return made | {w: b"".join(self[p] if p in self else made[p] for p in both) for w, both in cut.items()}
+        """Ids of unknown words: of letters and then marks from the model itself, of all others from the library."""
+        made, rest = {}, []
+        for w in words:
+            if self.model and (plain := PLAIN(w.decode().lower())):
+                letters, marks = plain.groups()
+                if not marks:
+                    made[w] = self._straight(letters)
+                    continue
+                stem = letters.encode()
+                ids = self.get(stem) or made.get(stem)
+                if ids is None:
+                    ids = made[stem] = self._straight(letters)
+                made[w] = ids + (self.marks.get(marks) or self._mark(marks))
+            else:
+                rest.append(w)
+        found = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        made.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(rest, found, strict=True))
+        return made
+
+    def _mark(self, marks: str) -> bytes:
+        ids = self._straight(marks)
+        if len(self.marks) < KNOWN_MARKS and len(marks) <= KNOWN_BYTES:
+            self.marks[marks] = ids
+        return ids
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """Ids of each whole text: words from the memory or, a slice's unknown ones at once, from the library."""
         split = [self.words(t or b"") for t in texts]
         new = self._asked({w for words in split for w in words}.difference(self))
-        self.update((w, ids) for w, ids in new.items() if len(w) <= KNOWN_BYTES)
-        long = {w: ids for w, ids in new.items() if len(w) > KNOWN_BYTES}
+        long = {w: new.pop(w) for w in [w for w in new if len(w) > KNOWN_BYTES]}
+        self.update(new)
         for words in split:
             yield b"".join([long[w] if w in long else self[w] for w in words]) if long else b"".join(map(self.__getitem__, words))
         if len(self) > KNOWN_WORDS:
