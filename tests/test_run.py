@@ -66,7 +66,8 @@ def test_up_to_date_symbols_are_skipped(spark, store, tmp_path):
     who = tickers(spark, "A", "B")
     run_job(store, {"ibkr": path}, who, CFG, TODAY, "b1")
     again = run_job(store, {"ibkr": path}, who, CFG, TODAY, "b2")
-    assert statuses(again) == {"A": "skipped", "B": "no_data"} and again.summary.first().written == 0
+    assert statuses(again) == {"A": "skipped", "B": "success"} and again.summary.first().written == 0
+    assert {r.symbol: r.unchanged for r in again.report.collect()} == {"A": 0, "B": 1}
     forced = run_job(store, {"ibkr": path}, who, CFG, TODAY, "b3", start=date(2026, 6, 1), end=date(2026, 6, 18))
     assert {(r.mode, r.is_amendment_run, r.estimated_batches, r.date_range_days) for r in forced.plans.collect()} == {("EXPLICIT_DATE_RANGE", False, 1, 18)}
 
@@ -133,10 +134,12 @@ def test_batch_that_died_is_run_again(spark, store, dies_at):
 def test_stored_history_is_pruned(spark, store):
     rows = bars(spark, *[{"date": date(2026, m, 15 + (m == 2) + 2 * (m == 3))} for m in (1, 2, 3, 4, 5, 6)])
     job.ingest(store, rows, STREAMS["daily"], "b1")
-    few = job.stored_bars(store, "market_data_daily", (date(2026, 5, 1), date(2026, 6, 30)))
-    assert few.count() == 2 and len({f for f in few.inputFiles()}) >= 2
-    plan = few._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+    few = job.stored_bars(store, "market_data_daily", [("1d", "2026-05"), ("1d", "2026-06")])
+    assert few.count() == 2
+    filters = few._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "IN (2026-05,2026-06)" in filters and "interval" in filters
+    files = store.read("market_data_daily").select("_metadata.file_path").distinct().count()
+    assert files == 6  # one for each month, whatever the tasks
     again = job.ingest(store, bars(spark, {"date": date(2026, 5, 15), "close": 152.0}, {"date": date(2026, 6, 15)}), STREAMS["daily"], "b2").first()
     assert (again.amended, again.skipped, again.written) == (1, 1, 0)
 
@@ -159,3 +162,63 @@ def test_one_bad_fund_costs_that_fund_only(spark):
     made, errors = etf.load_funds([(etf.EtfFile("SPY", "SP500", 0), good), (etf.EtfFile("QQQ", "NDX100", 1), bad)])
     assert [r.symbol for r in made.collect()] == ["A"] and errors == {"QQQ": "ValueError: not a workbook"}
     assert etf.load_funds([(etf.EtfFile("QQQ", "NDX100", 1), bad)])[0] is None
+
+
+def test_a_bad_chunk_costs_that_chunk(spark, store):
+    """A provider called for each chunk: one raises half way, one gives no JSON, one gives a bar of another day and symbol."""
+    def gateway(symbol, day):
+        from datetime import datetime, timezone
+
+        t = int(datetime.fromisoformat(day).replace(tzinfo=timezone.utc).timestamp() * 1000)
+        return {"symbol": symbol, "interval": "1d", "t": t, "o": 10.0, "h": 11.0, "l": 9.0, "c": 10.0, "v": 100.0}
+
+    def get(symbol, start, end, interval):  # what it needs goes with it to the workers
+        import json
+
+        yield gateway(symbol, str(end))
+        if symbol == "A" and start.month == 3:
+            raise TimeoutError("gone")
+        if symbol == "B" and start.month == 2:
+            yield "<html>"
+        if symbol == "C":
+            yield from (json.dumps(gateway("D", str(end))), gateway("C", "2020-01-06"), "")
+        if symbol == "E":
+            raise OSError("down")
+
+    who = tickers(spark, "A", "B", "C", "E")
+    made = run_job(store, {"ibkr": get}, who, CFG, TODAY, "b1", start=date(2026, 1, 1), end=date(2026, 3, 31))
+    rows = {r.symbol: r for r in made.report.collect()}
+    assert {s: (r.landed, r.failed_chunks, r.status) for s, r in rows.items()} == {"A": (2, 1, "partial"), "B": (2, 1, "partial"), "C": (3, 0, "success"), "E": (0, 3, "failed")}
+    assert rows["A"].error == "TimeoutError: gone" and rows["B"].error.startswith("ValueError: line 2")
+    assert {(r.symbol, str(r.chunk_start)) for r in made.failed.collect()} >= {("A", "2026-03-02"), ("B", "2026-01-31")}
+    total = made.summary.first()
+    assert (total.total_symbols, total.failed_symbols, total.partial_symbols, total.success_rate_pct) == (4, 1, 2, 75.0)
+    made.discard()
+
+
+def test_summary_counts_failed_and_skipped(spark, store, tmp_path):
+    """Four symbols: two failed, one without data; half of them is no whole."""
+    failed = spark.createDataFrame([("A", "x"), ("B", "y")], "symbol string, error string")
+    made = run_job(store, {"ibkr": landed(tmp_path, "a", gateway("D", "2026-06-17"))}, tickers(spark, "A", "B", "C", "D"), CFG, TODAY, "b1", failures=failed)
+    total = made.summary.first()
+    assert (total.total_symbols, total.successful_symbols, total.failed_symbols, total.skipped_symbols, total.success_rate_pct) == (4, 1, 2, 1, 50.0)
+
+
+def test_counters_come_with_the_batch(spark, store):
+    rows = bars(spark, {}, {"symbol": "B", "high": 1.0}, {"symbol": "C", "volume": 0}, {"symbol": "A", "date": date(2026, 1, 5)}, {"symbol": "A", "date": date(2026, 3, 2)})
+    done = job.ingest_batch(store, rows, STREAMS["daily"], "b1", now=F.lit("2026-06-18").cast("timestamp"))
+    c = done.counters
+    assert (c["total_input"], c["total_passed"], c["total_flagged"], c["total_rejected"]) == (5, 3, 1, 1) and str(c["first_date"]) == "2026-01-05"
+    assert {(r.rule, r.hits) for r in done.hits.collect()} >= {("high_gte_low", 1), ("volume_positive", 1)}
+    assert {(r.symbol, r.rule) for r in done.alerts.collect()} == {("A", "max_consecutive_missing_days")}
+    empty = job.ingest_batch(store, bars(spark, {}).limit(0), STREAMS["daily"], "b2")
+    assert empty.counters["total_input"] == 0 and empty.by_symbol.count() == 0 and empty.hits.count() == 0
+    done.discard()
+    empty.discard()
+
+
+def test_average_of_span_one(spark):
+    from tidemark.operators.sequence import ema
+
+    made = ema(bars(spark, *[{"date": date(2026, 1, d), "close": float(d)} for d in (5, 6, 7)]), 1)
+    assert {r.close: r.ema_1 for r in made.collect()} == {5.0: 5.0, 6.0: 6.0, 7.0: 7.0}

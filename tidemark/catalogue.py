@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,12 @@ from tidemark.operators import universe as U
 from tidemark.operators import validate as V
 from tidemark.operators import watermark as H
 from tidemark.plans import job as J
+from tidemark.operators._scratch import folder
 from tidemark.plans import planner as P
+from tidemark.plans.run import run_job
+from tidemark.sources import chunks as N
 from tidemark.sources import etf, listings, providers
+from tidemark.store import TableStore
 from tidemark.streaming.bars import bars_from_ticks
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -92,7 +97,8 @@ def order_alerts(spark, d):
     made = bars_from_ticks(X.ticks(spark, d))
     bars = made.withColumns({"bar_time_utc": F.col("bar_time").cast("string"), "date": F.to_date("bar_time"), "volume": F.when(F.col("volume") % 3 == 0, 0).otherwise(F.col("volume"))})
     both = V.order_alerts(bars, STREAMS["intraday"]).unionAll(V.order_alerts(bars, STREAMS["tick"]))
-    return both.where("rule != 'max_consecutive_missing_days'").groupBy("symbol", "rule").agg(F.count("*").alias("n"))
+    both = both.unionAll(V.order_alerts(X.daily_bars(spark, d), replace(STREAMS["daily"], thresholds={"max_consecutive_missing_days": 2.0})))
+    return both.groupBy("symbol", "rule").agg(F.count("*").alias("n"))
 
 
 @query
@@ -112,8 +118,10 @@ def writable_bars(spark, d):
 
 @query
 def rejected_records(spark, d):
-    made = V.rejected_records(V.validate(X.daily_bars(spark, d)), "b1", "v1")
-    return made.select("symbol", "date", "interval", "source", "batch_id", "rejected_rule", "raw_open", "raw_high", "raw_low", "raw_close", "raw_volume", "reprocessed", "pipeline_version")
+    made = V.rejected_records(V.validate(X.daily_bars(spark, d)), "b1", "v1", F.lit("2026-01-02 03:04:05").cast("timestamp"))
+    raw = F.from_json("raw_record", S.BARS_SCHEMA)  # how a number is written differs between engines, what it says doesn't
+    made = made.withColumns({"raw_vwap": raw["vwap"], "raw_trade_count": raw["trade_count"], "has_reason": F.length("rejection_reason") > 0})
+    return made.select("symbol", "date", "interval", "source", "batch_id", "rejected_rule", "rejected_at", "has_reason", "raw_vwap", "raw_trade_count", "raw_open", "raw_high", "raw_low", "raw_close", "raw_volume", "reprocessed", "pipeline_version")
 
 
 @query
@@ -167,19 +175,27 @@ def record_invariants(spark, d):
     return bars.select(F.explode(S.broken_invariants(bars)).alias("broken")).groupBy("broken").agg(F.count("*").alias("n"))
 
 
+def _order_days(spark, d):
+    """Days with orders, moved by 28 years into the calendar: weekdays stay what they were."""
+    return X.table(spark, d, "orders").select(F.add_months(F.to_date("o_orderdate"), 336).alias("date")).distinct()
+
+
 @query
 def trading_days(spark, d):
-    return C.trading_days_between(spark, "2024-01-01", "2026-12-31")
+    return _order_days(spark, d).where(C.is_trading_day(F.col("date")))
 
 
 @query
 def trading_day_counts(spark, d):
-    return C.trading_days_between(spark, "2010-01-01", "2040-12-31").groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n"))
+    """Trading days between each customer's first and last order."""
+    own = X.table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("z"))
+    own = own.select("o_custkey", F.add_months("a", 336).alias("a"), F.add_months("z", 336).alias("z"))
+    return own.select("o_custkey", "a", "z", C.trading_day_count(F.col("a"), F.col("z")).alias("n"))
 
 
 @query
 def last_trading_day(spark, d):
-    return C.days(spark, _day("2025-01-05"), _day("2026-12-31")).select("date", C.last_trading_day(F.col("date")).alias("last_trading_day"))
+    return _order_days(spark, d).select("date", C.last_trading_day(F.col("date")).alias("last_trading_day"))
 
 
 @query
@@ -543,7 +559,11 @@ def period_codes(spark, d):
 
 @query
 def provider_capabilities(spark, d):
-    return providers.capabilities(spark).withColumn("bar_code", providers.bar_code(F.col("interval")))
+    """Which provider can serve the bars of how many parts, each part wanting one interval."""
+    wanted = F.element_at(F.array(*map(F.lit, S.INTERVALS)), (F.col("p_partkey") % 6 + 1).cast("int"))
+    parts = X.table(spark, d, "part").groupBy(wanted.alias("interval")).agg(F.count("*").alias("n"))
+    made = parts.join(F.broadcast(providers.capabilities(spark)), "interval")  # a row for each provider and interval
+    return made.withColumn("bar_code", providers.bar_code(F.col("interval")))
 
 
 @query
@@ -634,3 +654,98 @@ def table_counts(spark, d):
 @query
 def constraint_checks(spark, d):
     return O.violations(X.listings(spark, d), not_null=("symbol", "exchange_mic"), unique=("instrument_id",))
+
+
+def _job(spark, d, repaired: bool = False):
+    """A run of 1999 over landed chunks, some of them broken or missing; with ``repaired`` a second one over whole ones after it."""
+    bars = X.daily_bars(spark, d)
+    store, k = TableStore(spark, folder(spark, "store")), F.substring("symbol", 2, 9).cast("long")
+    who = bars.select("symbol").distinct().select("symbol", (k + 1).alias("instrument_id"), F.lit(None).cast("date").alias("history_start"))
+    mark = who.where("symbol = 'S9'").select("instrument_id", F.lit("daily").alias("stream"), F.lit("suspended").alias("status"))
+    store.replace("ingestion_watermark", S.conform(mark, S.WATERMARK_SCHEMA))
+    cfg = P.PlanConfig(STREAMS["daily"], date_range=P.Override(True, (), date.fromisoformat(X.RUN_START), date.fromisoformat(X.RUN_END)))
+    made = None
+    for batch, whole in (("b1", False), ("b2", True))[: 2 if repaired else 1]:
+        requests = run_job(store, {}, who, cfg, date(2001, 6, 18), batch, dry_run=True).requests
+        root = folder(spark, "landed")
+        N.land(X.chunk_lines(bars, requests, whole), root)
+        made = run_job(store, {"ibkr": N.ChunkFiles(root)}, who, cfg, date(2001, 6, 18), batch, "v1")
+    return store, made
+
+
+@query
+def run_job_report(spark, d):
+    return _job(spark, d)[1].report.withColumn("error", F.substring_index("error", ":", 1))
+
+
+@query
+def run_job_summary(spark, d):
+    return _job(spark, d)[1].summary
+
+
+@query
+def run_job_hits(spark, d):
+    """Rules that fired in a run, as counted while its batch was written."""
+    return _job(spark, d)[1].batch.hits
+
+
+@query
+def chunk_failures(spark, d):
+    return _job(spark, d)[1].failed.select("symbol", "interval", "chunk", "chunk_start", "chunk_end", F.substring_index("error", ":", 1).alias("error"))
+
+
+@query
+def write_batch(spark, d):
+    """What two batches leave stored: the second brings the first one's lost chunks, and corrections."""
+    store, _ = _job(spark, d, repaired=True)
+    return J.stored_bars(store, "market_data_daily").groupBy("symbol", "batch_id", "record_version", "is_amended").agg(F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query
+def watermarks_after_run(spark, d):
+    store, _ = _job(spark, d, repaired=True)
+    return store.read("ingestion_watermark").select("instrument_id", "earliest_date", "latest_date", "batch_id", "mode", "status", "consecutive_failures")
+
+
+@query
+def silver_refresh(spark, d):
+    """The latest versions after a history and a batch of corrections, brought up to date for the batch's months alone."""
+    store, bars = TableStore(spark, folder(spark, "store")), X.stored_bars(X.daily_bars(spark, d))
+    history = S.conform(bars, S.BARS_SCHEMA)
+    store.append("bars", J.partitioned(history, 0), ("interval", "month"))
+    J.refresh_silver(store, "bars", "silver", J.months_of(history))
+    amended = S.conform(K.amend(_classified(spark, d), "b1"), S.BARS_SCHEMA)
+    store.append("bars", J.partitioned(amended, 0), ("interval", "month"))
+    J.refresh_silver(store, "bars", "silver", J.months_of(amended))
+    return J.stored_bars(store, "silver").select("symbol", "date", "close", "record_version", "batch_id")
+
+
+@query
+def listing_as_of(spark, d):
+    """Bars under the symbol that their instrument had on the day, every fifth one renamed twice."""
+    sid = F.substring("symbol", 2, 9).cast("long")
+    bars = X.daily_bars(spark, d).select(sid.alias("instrument_id"), "date")
+    row = lambda name, a, z: bars.select("instrument_id", name.alias("symbol"), F.lit("XNYS").alias("exchange_mic"), a.alias("valid_from"), z.alias("valid_to")).distinct()
+    name, k, open_ = lambda p: F.concat(F.lit(p), F.col("instrument_id").cast("string")), F.col("instrument_id"), F.lit(None).cast("date")
+    plain = row(name("S"), open_, open_).where("instrument_id % 5 != 0 and instrument_id != 3")
+    renamed = [row(name(p), a, z).where("instrument_id % 5 = 0") for p, a, z in (("OLD", open_, _day("1997-03-10")), ("MID", _day("1997-03-10"), _day("1997-11-03")), ("NEW", _day("1997-11-03"), open_))]
+    late = row(name("S"), _day("1999-07-01"), open_).where(k == 3)
+    listing = plain.unionAll(late).unionAll(renamed[0]).unionAll(renamed[1]).unionAll(renamed[2])
+    return U.as_of(bars, listing).groupBy("instrument_id", "symbol").agg(F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query
+def rejects_reprocessed(spark, d):
+    """Rejects judged again without the rule on vwap: what passes is closed, all else stays open."""
+    rejects = V.rejected_records(V.validate(X.daily_bars(spark, d)), "b1", "v1", F.lit("2026-01-02 03:04:05").cast("timestamp"))
+    judged = V.rejudged(rejects, replace(STREAMS["daily"], additional_rules=(), disabled_rules=("vwap_between_low_and_high",)))
+    made = V.closed(rejects, judged, "b2", F.lit("2026-01-03 03:04:05").cast("timestamp"))
+    return made.select("symbol", "date", "rejected_rule", "reprocessed", "reprocessed_at", "reprocessed_batch")
+
+
+@query
+def validation_compact(spark, d):
+    """Batch summaries as JSON without bars; read back here, as engines write JSON differently."""
+    made = V.compact(V.validate(X.daily_bars(spark, d)))
+    read = F.from_json("summary", "total_input long, total_passed long, total_flagged long, total_rejected long, pass_rate_pct double, rejection_rate_pct double, rule_hits map<string,long>")
+    return made.select("symbol", "interval", read.alias("s")).select("symbol", "interval", "s.total_input", "s.total_rejected", "s.pass_rate_pct", F.explode("s.rule_hits").alias("rule", "hits"))

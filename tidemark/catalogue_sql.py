@@ -46,6 +46,7 @@ def _days(a: str, z: str) -> str:
     return f"days AS (SELECT CAST(unnest(generate_series(DATE '{a}', DATE '{z}', INTERVAL 1 DAY)) AS DATE) AS date), {HOLIDAYS}, trading AS (SELECT date FROM days WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM holidays))"
 
 
+ORDER_DAYS = "order_days AS (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) + INTERVAL 28 YEAR AS DATE) AS date FROM orders)"
 SUP = "sup AS (SELECT s_suppkey AS instrument_id, 'S' || s_suppkey AS symbol, s_nationkey FROM supplier)"
 INSTRUMENT = "instrument AS (SELECT instrument_id, CASE WHEN instrument_id % 5 = 0 THEN 'etf' ELSE 'equity' END AS asset_class, CASE WHEN instrument_id % 4 <> 0 THEN 'FIGI' || instrument_id END AS figi FROM sup)"
 LISTING = """listing AS (SELECT instrument_id, symbol, CASE n_regionkey WHEN 0 THEN 'XNAS' WHEN 1 THEN 'XNYS' WHEN 2 THEN 'ARCX' WHEN 3 THEN 'XASE' END AS exchange_mic, TRUE AS is_current FROM sup JOIN nation ON s_nationkey = n_nationkey
@@ -125,19 +126,19 @@ ORACLE_SQL: dict[str, str] = {
           CASE WHEN volume % 9 = 4 THEN 'pre_market_volume_non_negative' END, CASE WHEN volume % 9 = 5 THEN 'amended_record_detected' END, CASE WHEN volume % 9 = 6 THEN 'fetch_duration_threshold' END]) AS rule FROM bad)
         SELECT rule, CASE WHEN rule IN ('amended_record_detected', 'fetch_duration_threshold') THEN 'warning' ELSE 'critical' END AS severity, count(*) AS hits FROM x WHERE rule IS NOT NULL GROUP BY rule""",
     "plan_override": f"WITH {PLANS} SELECT symbol, 'EXPLICIT_DATE_RANGE' AS mode, DATE '2000-02-01' AS start_date, DATE '2000-04-30' AS end_date, 'backfill' AS ingestion_type, TRUE AS is_backfill, FALSE AS is_amendment_run, 90 AS date_range_days, 3 AS estimated_batches FROM plans",
-    "order_alerts": f"""WITH {HOURLY}, v AS (SELECT symbol, bar, close, CASE WHEN volume % 3 = 0 THEN 0 ELSE volume END AS volume FROM hourly),
+    "order_alerts": f"""WITH {HOURLY}, {BARS}, days AS (SELECT symbol, date - lag(date) OVER (PARTITION BY symbol ORDER BY date) - 2 AS missing FROM bars), v AS (SELECT symbol, bar, close, CASE WHEN volume % 3 = 0 THEN 0 ELSE volume END AS volume FROM hourly),
         s AS (SELECT symbol, 'consistent_bar_spacing' AS rule FROM (SELECT symbol, bar, lag(bar) OVER (PARTITION BY symbol ORDER BY bar) AS p FROM v) WHERE p IS NOT NULL AND date_diff('minute', p, bar) <> 60),
         i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar) - row_number() OVER (PARTITION BY symbol, volume <= 0 ORDER BY bar) AS island FROM v),
         z AS (SELECT symbol, 'consecutive_zero_volume' AS rule FROM i WHERE volume <= 0 GROUP BY symbol, island HAVING count(*) >= 3),
         c AS (SELECT symbol, bar, CAST(round(close * 100) AS BIGINT) AS x FROM v),
         w AS (SELECT symbol, x, count(x) OVER o AS n, CAST(sum(x) OVER o AS DOUBLE) AS s, CAST(sum(CAST(x * x AS HUGEINT)) OVER o AS DOUBLE) AS q FROM c WINDOW o AS (PARTITION BY symbol ORDER BY bar ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
         ps AS (SELECT symbol, 'tick_price_spike' AS rule FROM w WHERE n = 20 AND pow(x * 20.0::DOUBLE - s, 2) > 9 * (q * 20 - pow(s, 2)))
-        SELECT symbol, rule, count(*) AS n FROM (SELECT * FROM s UNION ALL SELECT * FROM z UNION ALL SELECT * FROM ps) GROUP BY symbol, rule""",
+        SELECT symbol, rule, count(*) AS n FROM (SELECT * FROM s UNION ALL SELECT * FROM z UNION ALL SELECT * FROM ps UNION ALL SELECT DISTINCT symbol, 'max_consecutive_missing_days' FROM days WHERE missing > 2) GROUP BY symbol, rule""",
     "validation_outcome": f"WITH {CHECKED} SELECT symbol, date, outcome, crit[1] AS deciding_rule FROM checked",
     "validation_summary": f"""WITH {CHECKED} SELECT symbol, interval, count(*) AS total_input, count(*) FILTER (outcome = 'clean') AS total_passed, count(*) FILTER (outcome = 'flagged') AS total_flagged, count(*) FILTER (outcome = 'rejected') AS total_rejected,
         round_even(count(*) FILTER (outcome = 'clean') / count(*) * 100, 1) AS pass_rate_pct, round_even(count(*) FILTER (outcome = 'rejected') / count(*) * 100, 1) AS rejection_rate_pct FROM checked GROUP BY symbol, interval""",
     "writable_bars": f"WITH {CHECKED} SELECT symbol, outcome, count(*) AS n FROM checked WHERE outcome <> 'rejected' GROUP BY symbol, outcome",
-    "rejected_records": f"WITH {CHECKED} SELECT symbol, CAST(date AS VARCHAR) AS date, interval, source, 'b1' AS batch_id, crit[1] AS rejected_rule, open AS raw_open, high AS raw_high, low AS raw_low, close AS raw_close, volume AS raw_volume, FALSE AS reprocessed, 'v1' AS pipeline_version FROM checked WHERE outcome = 'rejected'",
+    "rejected_records": f"WITH {CHECKED} SELECT symbol, CAST(date AS VARCHAR) AS date, interval, source, 'b1' AS batch_id, crit[1] AS rejected_rule, '2026-01-02T03:04:05Z' AS rejected_at, TRUE AS has_reason, vwap AS raw_vwap, trade_count AS raw_trade_count, open AS raw_open, high AS raw_high, low AS raw_low, close AS raw_close, volume AS raw_volume, FALSE AS reprocessed, 'v1' AS pipeline_version FROM checked WHERE outcome = 'rejected'",
     "flagged_reasons": f"WITH {CHECKED} SELECT symbol, date, '[' || array_to_string(list_transform(fired, lambda x: '\"' || x || '\"'), ',') || ']' AS data_quality_reasons FROM checked WHERE outcome = 'flagged'",
     "audit_log": f"WITH {CHECKED}, x AS (SELECT symbol, date, interval, outcome, unnest(CASE WHEN outcome = 'flagged' THEN fired ELSE crit END) AS rule FROM checked) SELECT symbol, date, interval, rule, CASE WHEN list_contains({_CRITICAL}, rule) THEN 'critical' ELSE 'warning' END AS severity, outcome FROM x",
     "enriched_bars": f"WITH {CHECKED} SELECT symbol, date, 'b1' AS batch_id, 'scheduled' AS ingestion_type, '2026-01-02T03:04:05Z' AS ingested_at, 1 AS record_version, FALSE AS is_amended, 'USD' AS currency, close AS unadj_close, FALSE AS has_corporate_action, outcome = 'flagged' AS data_quality_flag, {_FULL} AS data_completeness_pct FROM checked WHERE outcome <> 'rejected'",
@@ -147,9 +148,9 @@ ORACLE_SQL: dict[str, str] = {
     "corp_action_consistency": f"""WITH {BARS}, c AS (SELECT *, volume % 7 = 0 AS xs, CASE WHEN volume % 14 = 0 THEN 0.25 END AS sf, volume % 3 = 0 AS xd, CASE WHEN volume % 5 = 0 THEN 0.5 ELSE 0.0 END AS da, volume % 11 = 0 AS ca FROM bars)
         SELECT symbol, date, (xs AND sf IS NULL) OR (xd AND da <= 0) OR (ca AND sf IS NULL AND da <= 0) AS inconsistent, sf IS NOT NULL OR da > 0 AS derived_action FROM c""",
     "record_invariants": f"WITH {BARS}, x AS (SELECT unnest(list_filter([CASE WHEN volume % 10 = 0 THEN 'blank_pipeline_version' END, CASE WHEN volume % 9 = 0 THEN 'missing_bar_time' END, CASE WHEN close IS NULL THEN 'not_numeric_close' END], lambda x: x IS NOT NULL)) AS broken FROM bars) SELECT broken, count(*) AS n FROM x GROUP BY broken",
-    "trading_days": f"WITH {_days('2024-01-01', '2026-12-31')} SELECT date FROM trading",
-    "trading_day_counts": f"WITH {_days('2010-01-01', '2040-12-31')} SELECT CAST(year(date) AS INT) AS year, count(*) AS n FROM trading GROUP BY 1",
-    "last_trading_day": f"WITH {_days('2024-12-20', '2026-12-31')} SELECT d.date, (SELECT max(t.date) FROM trading t WHERE t.date <= d.date) AS last_trading_day FROM days d WHERE d.date >= DATE '2025-01-05'",
+    "trading_days": f"WITH {HOLIDAYS}, {ORDER_DAYS} SELECT date FROM order_days WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM holidays)",
+    "trading_day_counts": f"WITH {_days('2015-01-01', '2035-12-31')}, o AS (SELECT o_custkey, CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 28 YEAR AS DATE) AS a, CAST(CAST(max(o_orderdate) AS DATE) + INTERVAL 28 YEAR AS DATE) AS z FROM orders GROUP BY 1) SELECT o_custkey, a, z, count(trading.date) AS n FROM o LEFT JOIN trading ON trading.date BETWEEN a AND z GROUP BY ALL",
+    "last_trading_day": f"WITH {_days('2015-01-01', '2035-12-31')}, {ORDER_DAYS} SELECT d.date, (SELECT max(t.date) FROM trading t WHERE t.date <= d.date) AS last_trading_day FROM order_days d",
     "missing_trading_days": f"""WITH {BARS}, {_days('2015-01-01', '2021-12-31')}, sh AS (SELECT symbol, CAST(date + INTERVAL 20 YEAR AS DATE) AS date FROM bars), sp AS (SELECT symbol, min(date) AS a, max(date) AS z FROM sh GROUP BY symbol)
         SELECT sp.symbol, t.date FROM sp JOIN trading t ON t.date BETWEEN a AND z WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.symbol = sp.symbol AND sh.date = t.date)""",
     "market_hours": f"WITH e AS (SELECT event_type, {_LOCAL.format('ts')} AS local FROM events) SELECT event_type, count(*) FILTER (isodow(local) < 6 AND strftime(local, '%H:%M') BETWEEN '09:30' AND '15:59') AS n_open, count(*) AS n FROM e GROUP BY event_type",
@@ -207,7 +208,7 @@ ORACLE_SQL: dict[str, str] = {
     "date_window": f"WITH {BARS} SELECT symbol, date, open FROM bars WHERE date BETWEEN DATE '1999-01-01' AND DATE '1999-01-31'",
     "quote_latest": "WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS n FROM events) SELECT upper(event_type) AS symbol, CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN CAST(user_id AS DOUBLE) END AS last, CAST(event_id AS DOUBLE) AS bid, CAST(NULL AS DOUBLE) AS ask, 7.0::DOUBLE AS volume, CAST(event_id * 2 AS DOUBLE) AS open, CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS DOUBLE) END AS high, CAST(NULL AS DOUBLE) AS low FROM r WHERE n = 1",
     "period_codes": "WITH d AS (SELECT DISTINCT p_size * 20 - 15 AS days FROM part) SELECT days, CASE WHEN days <= 30 THEN days || 'd' WHEN days <= 365 THEN greatest(1, days // 7) || 'w' ELSE greatest(1, days // 30) || 'm' END AS period FROM d",
-    "provider_capabilities": "SELECT * FROM (VALUES ('ibkr', '1d', TRUE, TRUE, '1d'), ('ibkr', '1h', TRUE, TRUE, '1h'), ('ibkr', '4h', TRUE, TRUE, '4h'), ('ibkr', '5m', TRUE, TRUE, '5mins'), ('ibkr', '1m', TRUE, TRUE, '1min'), ('yahoo', '1d', FALSE, FALSE, '1d'), ('yahoo', '1h', FALSE, FALSE, '1h'), ('yahoo', '5m', FALSE, FALSE, '5mins'), ('yahoo', '1m', FALSE, FALSE, '1min')) t(provider, interval, options, realtime, bar_code)",
+    "provider_capabilities": "WITH p AS (SELECT ['1d', '1h', '4h', '15m', '5m', '1m'][CAST(p_partkey % 6 + 1 AS INT)] AS interval, count(*) AS n FROM part GROUP BY 1) SELECT t.*, n FROM p JOIN (VALUES ('ibkr', '1d', TRUE, TRUE, '1d'), ('ibkr', '1h', TRUE, TRUE, '1h'), ('ibkr', '4h', TRUE, TRUE, '4h'), ('ibkr', '5m', TRUE, TRUE, '5mins'), ('ibkr', '1m', TRUE, TRUE, '1min'), ('yahoo', '1d', FALSE, FALSE, '1d'), ('yahoo', '1h', FALSE, FALSE, '1h'), ('yahoo', '5m', FALSE, FALSE, '5mins'), ('yahoo', '1m', FALSE, FALSE, '1min')) t(provider, interval, options, realtime, bar_code) USING (interval)",
     "zero_volume_runs": f"WITH {BARS}, z AS (SELECT symbol, interval, date, volume <= 0 AS zero, row_number() {_SEQ} - row_number() OVER (PARTITION BY symbol, interval, volume <= 0 ORDER BY date) AS island FROM bars) SELECT symbol, interval, min(date) AS run_start, max(date) AS run_end, count(*) AS n_bars FROM z WHERE zero GROUP BY symbol, interval, island",
     "price_spike": f"""WITH {BARS}, c AS (SELECT *, CAST(round(close * 100) AS BIGINT) AS cents FROM bars), w AS (SELECT *, count(cents) OVER win AS n, CAST(sum(cents) OVER win AS DOUBLE) AS s, CAST(sum(CAST(cents * cents AS HUGEINT)) OVER win AS DOUBLE) AS q FROM c WINDOW win AS (PARTITION BY symbol, interval ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
         SELECT symbol, date, close FROM w WHERE n = 20 AND pow(CAST(cents AS DOUBLE) * 20 - s, 2) > 4.0 * (q * 20 - pow(s, 2))""",
@@ -238,3 +239,43 @@ ORACLE_SQL: dict[str, str] = {
     "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("region", "nation", "supplier", "part", "orders")),
     "constraint_checks": f"WITH {UNIVERSE} SELECT 'not_null_symbol' AS constraint_name, count(*) FILTER (symbol IS NULL) AS violations FROM listing UNION ALL SELECT 'not_null_exchange_mic', count(*) FILTER (exchange_mic IS NULL) FROM listing UNION ALL SELECT 'unique_instrument_id', count(*) FROM (SELECT instrument_id FROM listing GROUP BY 1 HAVING count(*) > 1)",
 }
+
+
+_CHUNKS = f"""{BARS}, syms AS (SELECT DISTINCT sid FROM b),
+ch AS (SELECT sid, CAST(c AS INT) AS c, CAST(DATE '1999-01-01' + CAST(30 * c AS INT) AS DATE) AS a, least(CAST(DATE '1999-01-01' + CAST(30 * c + 29 AS INT) AS DATE), DATE '1999-12-31') AS z FROM syms, generate_series(0, 12) g(c) WHERE sid <> 9),
+st AS (SELECT *, CASE WHEN (sid + c) % 11 = 3 THEN 'FileNotFoundError' WHEN sid = 7 OR (sid + c) % 7 = 0 THEN 'ValueError' END AS err FROM ch),
+mapped AS (SELECT bars.* REPLACE (CAST(NULL AS DOUBLE) AS vwap, CAST(NULL AS DOUBLE) AS prev_close), st.* FROM bars JOIN st ON CAST(substr(symbol, 2) AS INT) = sid AND date BETWEEN a AND z WHERE sid <> 8 AND close IS NOT NULL),
+got AS (SELECT * FROM mapped WHERE err IS NULL), {_checked("got")},
+judged AS (SELECT *, outcome = 'rejected' OR isodow(date) > 5 AS bad FROM checked)"""
+_AGAIN = _checked("got2").replace("f AS (", "f2 AS (").replace("checked AS (", "checked2 AS (").replace("FROM f)", "FROM f2)")
+_TWICE = f"""{_CHUNKS}, got2 AS (SELECT * REPLACE (CASE WHEN volume % 10 = 0 THEN close + 0.5 ELSE close END AS close) FROM mapped), {_AGAIN},
+first AS (SELECT * FROM judged WHERE NOT bad), second AS (SELECT * FROM checked2 WHERE outcome <> 'rejected' AND isodow(date) < 6),
+kept AS (SELECT symbol, date, 'b1' AS batch_id, 1 AS record_version, FALSE AS is_amended FROM first UNION ALL
+  SELECT s.symbol, s.date, 'b2', CASE WHEN f.symbol IS NULL THEN 1 ELSE 2 END, f.symbol IS NOT NULL FROM second s LEFT JOIN first f ON s.symbol = f.symbol AND s.date = f.date WHERE f.symbol IS NULL OR abs(s.close - f.close) > 0.001)"""
+_REPORT = f"""WITH {_CHUNKS}, bc AS (SELECT sid, count(*) AS landed, count(*) FILTER (NOT bad) AS written, count(*) FILTER (bad) AS rejected FROM judged GROUP BY sid),
+fc AS (SELECT sid, count(err) AS failed_chunks, arg_min(err, a) FILTER (err IS NOT NULL) AS error FROM st GROUP BY sid),
+rep AS (SELECT 'S' || sid AS symbol, CASE WHEN sid = 9 THEN 'NO_OP' ELSE 'EXPLICIT_DATE_RANGE' END AS mode, coalesce(landed, 0) AS landed, coalesce(written, 0) AS written, 0 AS amended, 0 AS unchanged, coalesce(rejected, 0) AS rejected,
+  coalesce(failed_chunks, 0) AS failed_chunks, error, CASE WHEN sid = 9 THEN 'skipped' WHEN error IS NOT NULL AND landed > 0 THEN 'partial' WHEN error IS NOT NULL THEN 'failed' WHEN landed > 0 THEN 'success' ELSE 'no_data' END AS status
+  FROM syms LEFT JOIN bc USING (sid) LEFT JOIN fc USING (sid))"""
+ORACLE_SQL |= {
+    "run_job_report": f"{_REPORT} SELECT * FROM rep",
+    "run_job_summary": f"""{_REPORT} SELECT count(*) AS total_symbols, count(*) FILTER (status IN ('success', 'partial')) AS successful_symbols, count(*) FILTER (status = 'partial') AS partial_symbols,
+  count(*) FILTER (status IN ('skipped', 'no_data')) AS skipped_symbols, count(*) FILTER (status = 'failed') AS failed_symbols, CAST(sum(landed) AS BIGINT) AS landed, CAST(sum(written) AS BIGINT) AS written, 0 AS amended, 0 AS unchanged,
+  CAST(sum(rejected) AS BIGINT) AS rejected, CAST(sum(failed_chunks) AS BIGINT) AS failed_chunks, round_even((count(*) - count(*) FILTER (status = 'failed')) / count(*) * 100, 1) AS success_rate_pct FROM rep""",
+    "run_job_hits": f"""WITH {_CHUNKS}, x AS (SELECT unnest(fired) AS rule FROM judged UNION ALL SELECT 'no_weekend_dates' FROM judged WHERE isodow(date) > 5)
+  SELECT rule, CASE WHEN rule IN ('volume_positive', 'price_change_pct_threshold', 'gap_threshold') THEN 'warning' ELSE 'critical' END AS severity, count(*) AS hits FROM x GROUP BY rule""",
+    "chunk_failures": f"WITH {_CHUNKS} SELECT 'S' || sid AS symbol, '1d' AS interval, c AS chunk, a AS chunk_start, z AS chunk_end, err AS error FROM st WHERE err IS NOT NULL",
+    "write_batch": f"WITH {_TWICE} SELECT symbol, batch_id, record_version, is_amended, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM kept GROUP BY ALL",
+    "watermarks_after_run": f"""WITH {_TWICE}, w AS (SELECT symbol, min(date) AS earliest_date, max(date) AS latest_date, max(batch_id) AS batch_id FROM kept GROUP BY symbol)
+  SELECT CAST(substr(symbol, 2) AS BIGINT) + 1 AS instrument_id, earliest_date, latest_date, batch_id, 'EXPLICIT_DATE_RANGE' AS mode, 'active' AS status, 0 AS consecutive_failures FROM w
+  UNION ALL SELECT sid + 1, NULL, NULL, NULL, NULL, 'suspended', NULL FROM syms WHERE sid = 9""",
+    "silver_refresh": ORACLE_SQL["silver_latest"],
+    "listing_as_of": f"""WITH {BARS}, n AS (SELECT CAST(substr(symbol, 2) AS BIGINT) AS instrument_id, date FROM bars),
+  s AS (SELECT *, CASE WHEN instrument_id % 5 = 0 THEN CASE WHEN date < DATE '1997-03-10' THEN 'OLD' WHEN date < DATE '1997-11-03' THEN 'MID' ELSE 'NEW' END || instrument_id
+    WHEN instrument_id = 3 AND date < DATE '1999-07-01' THEN NULL ELSE 'S' || instrument_id END AS symbol FROM n)
+  SELECT instrument_id, symbol, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM s GROUP BY instrument_id, symbol""",
+    "rejects_reprocessed": f"""WITH {CHECKED}, r AS (SELECT *, len(list_filter(crit, lambda x: x <> 'vwap_between_low_and_high')) = 0 AS ok FROM checked WHERE outcome = 'rejected')
+  SELECT symbol, CAST(date AS VARCHAR) AS date, crit[1] AS rejected_rule, ok AS reprocessed, CASE WHEN ok THEN '2026-01-03T03:04:05Z' END AS reprocessed_at, CASE WHEN ok THEN 'b2' END AS reprocessed_batch FROM r""",
+    "validation_compact": f"""WITH {CHECKED}, s AS (SELECT symbol, interval, count(*) AS total_input, count(*) FILTER (outcome = 'rejected') AS total_rejected, round_even(count(*) FILTER (outcome = 'clean') / count(*) * 100, 1) AS pass_rate_pct FROM checked GROUP BY 1, 2),
+  h AS (SELECT symbol, interval, rule, count(*) AS hits FROM (SELECT symbol, interval, unnest(fired) AS rule FROM checked) GROUP BY 1, 2, 3) SELECT * FROM s JOIN h USING (symbol, interval)""",
+}

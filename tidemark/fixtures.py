@@ -113,3 +113,25 @@ def _lines(spark: SparkSession, sf_dir: str, fields: tuple) -> DataFrame:
         "etf": F.when(F.col("p_size") > 40, "Y").otherwise("N"),
     })
     return made.select(k.alias("line_no"), F.concat_ws("|", *fields).alias("value"))
+
+
+RUN_START, RUN_END = "1999-01-01", "1999-12-31"
+
+
+def chunk_lines(bars: DataFrame, requests: DataFrame, repaired: bool = False) -> DataFrame:
+    """Gateway payloads of daily bars by requested chunk, with faults unless ``repaired``: chunks that break off, and some that don't land.
+
+    S7 has no whole chunk, S8 only bars that the mapper drops. Repaired chunks
+    have every tenth close raised.
+    """
+    sid, chunk = F.substring("symbol", 2, 9).cast("int"), F.floor(F.date_diff("date", F.lit(RUN_START).cast("date")) / 30).cast("int")
+    close = F.when(F.col("volume") % 10 == 0, F.col("close") + 0.5).otherwise(F.col("close")) if repaired else F.col("close")
+    payload = F.to_json(F.struct("symbol", "interval", F.unix_millis(F.col("date").cast("timestamp")).alias("t"), F.when(sid == 8, 0.0).otherwise(F.col("open")).alias("o"),
+                                 F.col("high").alias("h"), F.col("low").alias("l"), close.alias("c"), F.col("volume").alias("v")))
+    rows = bars.where(F.col("date").between(RUN_START, RUN_END)).select("symbol", chunk.alias("chunk"), payload.alias("line"))
+    each = requests.select("symbol", F.lit("1d").alias("interval"), "chunk", "chunk_start")
+    lines = each.join(rows, ["symbol", "chunk"], "left").select("symbol", "interval", "chunk", "chunk_start", "line")
+    if repaired:
+        return lines
+    cut = each.where((sid == 7) | ((sid + F.col("chunk")) % 7 == 0)).withColumn("line", F.lit('{"symbol": '))
+    return lines.unionByName(cut).where((sid + F.col("chunk")) % 11 != 3)

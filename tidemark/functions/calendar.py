@@ -70,6 +70,12 @@ def trading_days_between(spark: SparkSession, start: str, end: str) -> DataFrame
     return days(spark, F.lit(start).cast("date"), F.lit(end).cast("date")).where("is_trading_day").select("date")
 
 
+def trading_day_count(start: Column, end: Column) -> Column:
+    """How many trading days lie between two days, both included; 0 if the end comes first."""
+    each = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
+    return F.size(F.filter(each, is_trading_day)).cast("long")
+
+
 def last_trading_day(day: Column) -> Column:
     """The trading day on or before; no closure lasts for ten days."""
     back = F.sequence(day, F.date_sub(day, 10), F.expr("interval -1 day"))

@@ -5,18 +5,33 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to ``spark.checkpoint.dir`` and read back; a temporary folder stands in only for a session of this machine alone."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+def folder(spark: SparkSession, name: str) -> str:
+    """A new place in ``spark.checkpoint.dir``; a temporary folder stands in only for a session of this machine alone."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back; ``discard`` removes it."""
+    spark = df.sparkSession
+    path = folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

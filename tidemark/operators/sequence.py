@@ -85,6 +85,11 @@ def smoothed(bars: DataFrame, columns: dict[str, tuple[str, float]], time: str =
     window, and what enters a block is a fold over the ends of those before it:
     a number for each ``BLOCK`` bars of a symbol, never its bars.
     """
+    same = {name: c for name, (c, share) in columns.items() if share >= 1.0}  # the newest value alone
+    if same:
+        rest = {name: of for name, of in columns.items() if name not in same}
+        made = smoothed(bars, rest, time) if rest else bars
+        return made.select(*bars.columns, *[F.col(same[n]).cast("double").alias(n) if n in same else F.col(n) for n in columns])
     key = ["symbol", "interval"]
     place = F.row_number().over(W.partitionBy(*key).orderBy(time)) - 1
     placed = bars.withColumn("__n", place).withColumns({"__b": F.floor(F.col("__n") / BLOCK).cast("int"), "__i": F.col("__n") % BLOCK})

@@ -157,3 +157,24 @@ def rename_listing(listing: DataFrame, renames: DataFrame, day: Column) -> DataF
     closed = marked.withColumns({"valid_to": F.when(F.col("hit"), day).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~F.col("hit")}).select(*listing.columns)
     opened = marked.where("hit").withColumns({"symbol": F.col("new_symbol"), "valid_from": day, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)}).select(*listing.columns)
     return closed.unionByName(opened)
+
+
+def as_of(rows: DataFrame, listing: DataFrame, day: str = "date") -> DataFrame:
+    """Add to rows of an instrument the ``symbol`` and ``exchange_mic`` it had on that day; null where it wasn't listed.
+
+    ``valid_from`` belongs to a listing, ``valid_to`` no longer; a null start
+    or end is open. Listings are dealt to the years that they touch within the
+    years of ``rows``, so the join is one of equal keys, and as many rows of a
+    listing as it has years there. Of listings that overlap, the later counts.
+    """
+    span = rows.agg(F.min(F.year(day)).alias("a"), F.max(F.year(day)).alias("z")).first()
+    first, last = (span.a, span.z) if span.a is not None else (1, 0)
+    a, z = F.greatest(F.coalesce(F.year("valid_from"), F.lit(first)), F.lit(first)), F.least(F.coalesce(F.year("valid_to"), F.lit(last)), F.lit(last))
+    years = F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<int>"))
+    binned = listing.select(F.col("instrument_id").alias("__id"), F.explode(years).alias("__year"), F.struct("valid_from", "valid_to", "symbol", "exchange_mic").alias("l"))
+    # One row for each instrument and year, its listings in order: a row of ``rows`` meets one row, never several.
+    by_year = binned.groupBy("__id", "__year").agg(F.array_sort(F.collect_list("l")).alias("__l"))
+    joined = rows.join(by_year, (F.col("instrument_id") == F.col("__id")) & (F.year(day) == F.col("__year")), "left")
+    holds = F.filter("__l", lambda l: F.coalesce(l["valid_from"] <= F.col(day), F.lit(True)) & F.coalesce(l["valid_to"] > F.col(day), F.lit(True)))
+    found = F.try_element_at(holds, F.lit(-1))
+    return joined.withColumns({"symbol": found["symbol"], "exchange_mic": found["exchange_mic"]}).drop("__id", "__year", "__l")

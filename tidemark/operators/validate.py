@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -74,6 +77,41 @@ def rejected_records(validated: DataFrame, batch_id: str = "", pipeline_version:
     return S.conform(out, S.REJECT_SCHEMA)
 
 
+def rejudged(rejects: DataFrame, stream: Stream | None = None) -> DataFrame:
+    """Open rejects read back from their JSON as bars, validated by the rules as they are now.
+
+    Beside the outcome stands ``reject``, the stored row. A reject whose JSON
+    can't be read has no bar and is rejected again.
+    """
+    bars = rejects.where(~F.coalesce("reprocessed", F.lit(False))).select(F.struct("*").alias("reject"), F.from_json("raw_record", S.BARS_SCHEMA).alias("bar"))
+    return validate(bars.select("bar.*", "reject"), stream)
+
+
+def closed(rejects: DataFrame, judged: DataFrame, batch_id: str, now: Column | None = None) -> DataFrame:
+    """All rejects, those that pass now marked as reprocessed by this batch; closed ones stay as they are.
+
+    Equal rejects are judged alike, so rows are told apart by what they say.
+    """
+    key = ["symbol", "date", "interval", "batch_id", "rejected_rule", "raw_record"]
+    stamp = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    passed = judged.where("outcome != 'rejected'").select(*[F.col(f"reject.{k}").alias(k) for k in key]).distinct().withColumn("__passed", F.lit(True)).alias("p")
+    joined = rejects.alias("r").join(passed, reduce(and_, [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in key]), "left")
+    now_closed = F.coalesce("__passed", F.lit(False)) & ~F.coalesce("r.reprocessed", F.lit(False))
+    marks = {"reprocessed": now_closed | F.coalesce("r.reprocessed", F.lit(False)), "reprocessed_at": F.when(now_closed, stamp).otherwise(F.col("r.reprocessed_at")),
+             "reprocessed_batch": F.when(now_closed, F.lit(batch_id)).otherwise(F.col("r.reprocessed_batch"))}
+    return joined.select(*[(marks[c] if c in marks else F.col(f"r.{c}")).alias(c) for c in rejects.columns])
+
+
+def compact(validated: DataFrame, by: tuple[str, ...] = ("symbol", "interval")) -> DataFrame:
+    """The summary of each batch as one JSON text without any bar: counts, rates, and rules that fired with how often."""
+    counts = summary(validated, by)
+    fired = validated.select(*by, F.explode("fired.rule").alias("rule")).groupBy(*by, "rule").agg(F.count("*").alias("n"))
+    hits = fired.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("rule", "n")))).alias("rule_hits"))
+    same = reduce(and_, [F.col(f"c.{b}").eqNullSafe(F.col(f"h.{b}")) for b in by])
+    out = counts.alias("c").join(hits.alias("h"), same, "left").select("c.*", F.coalesce("rule_hits", F.map_from_entries(F.array().cast("array<struct<rule:string,n:bigint>>"))).alias("rule_hits"))
+    return out.select(*by, F.to_json(F.struct(*[c for c in out.columns if c not in by])).alias("summary"))
+
+
 def audit_log(validated: DataFrame) -> DataFrame:
     """One row for each rule that decided: the critical ones of a rejected bar, all of a flagged one."""
     deciding = F.filter("fired", lambda x: (F.col("outcome") == "flagged") | (x["severity"] == "critical"))
@@ -93,6 +131,15 @@ def summary(validated: DataFrame, by: tuple[str, ...] = ("symbol", "interval"))
     return counts.withColumn("pass_rate_pct", rate("total_passed", 100.0)).withColumn("rejection_rate_pct", rate("total_rejected", 0.0))
 
 
+def counters(stream: Stream | None = None) -> list[Column]:
+    """Counts of a batch as aggregates of validated bars: outcomes, dates, and how often each rule fired as ``hits_<rule>``."""
+    n = lambda o: F.count_if(F.col("outcome") == o)
+    totals = [F.count(F.lit(1)).alias("total_input"), n("clean").alias("total_passed"), n("flagged").alias("total_flagged"), n("rejected").alias("total_rejected")]
+    days = [F.min("date").alias("first_date"), F.max("date").alias("last_date")]
+    hit = lambda name: F.count_if(F.exists("fired", lambda x: x["rule"] == name)).alias(f"hits_{name}")
+    return totals + days + [hit(r.name) for r in rules.rule_set(stream) if r.action != "alert"]
+
+
 def order_alerts(bars: DataFrame, stream: Stream) -> DataFrame:
     """(symbol, rule, detail): what a stream's rules on the order of bars find in a batch, by the stream's own limits.
 

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import os
 import subprocess
+import uuid
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.config import Stream
+from tidemark.functions import rules
 from tidemark.operators import classify as K
 from tidemark.operators import validate as V
 from tidemark.operators import watermark as M
+from tidemark.operators._scratch import discard, written
 from tidemark.store import TableStore
 
 
@@ -61,26 +66,91 @@ def run_report(classified: DataFrame, rejected: DataFrame) -> DataFrame:
     return made.join(bad, "symbol", "full_outer").na.fill(0, ["written", "amended", "skipped", "rejected"])
 
 
-def _partitioned(bars: DataFrame) -> DataFrame:
-    return bars.withColumn("month", F.date_format("date", "yyyy-MM"))
+FILE_ROWS = 2_000_000  # of a month's bars in one file
 
 
-def stored_bars(store: TableStore, table: str, span: tuple | None = None) -> DataFrame:
-    """Stored bars; with ``span``, those of its months and dates only, so that other files aren't read."""
+def partitioned(bars: DataFrame, n: int) -> DataFrame:
+    """Bars by month, dealt so that a month is one file, or as many as it needs."""
+    salt = F.pmod(F.xxhash64("symbol", "date"), F.lit(max(1, n // FILE_ROWS)))
+    return bars.withColumn("month", F.date_format("date", "yyyy-MM")).repartition("interval", "month", salt)
+
+
+Months = list[tuple[str, str]]
+
+
+def months_of(bars: DataFrame) -> Months:
+    """The (interval, month) pairs of a batch."""
+    rows = bars.where("date is not null").select("interval", F.date_format("date", "yyyy-MM").alias("month")).distinct().collect()
+    return sorted((r.interval, r.month) for r in rows if r.interval is not None)
+
+
+def stored_bars(store: TableStore, table: str, months: Months | None = None) -> DataFrame:
+    """Stored bars; with ``months``, those of these months only, so that other files aren't read."""
     stored = store.read(table, S.BARS_SCHEMA)
     if "month" not in stored.columns:
         return stored
-    if span is not None:
-        first, last = span
-        stored = stored.where(F.col("month").between(f"{first:%Y-%m}", f"{last:%Y-%m}") & F.col("date").between(F.lit(first), F.lit(last)))
+    if months is not None:
+        by_interval: dict[str, list[str]] = {}
+        for interval, month in months:
+            by_interval.setdefault(interval, []).append(month)
+        wanted = F.lit(False)
+        for interval, own in by_interval.items():
+            wanted = wanted | (F.col("interval") == interval) & F.col("month").isin(own)
+        stored = stored.where(wanted)
     return stored.drop("month")
 
 
-def ingest(
+def refresh_silver(store: TableStore, table: str, silver: str, months: Months) -> None:
+    """Bring the table of latest versions up to date for the months that a batch touched.
+
+    Only these months of the stored bars are read and ranked, and only they are
+    written; a version never leaves its month, as the date is part of its key.
+    """
+    if months:
+        rows = K.latest(stored_bars(store, table, months))
+        store.replace_partitions(silver, partitioned(S.conform(rows, S.BARS_SCHEMA), 0), ("interval", "month"))
+
+
+@dataclass
+class Ingested:
+    """What a batch did, all of it from tables that were written on the way.
+
+    ``counters`` were counted while the batch was written: outcomes, dates,
+    hits of each rule. ``by_symbol``: bars landed, written, amended, unchanged,
+    rejected. ``alerts``: rules on the order of bars. ``discard`` removes the
+    tables, after which the frames can't be read.
+    """
+
+    counters: dict[str, Any]
+    summary: DataFrame
+    by_symbol: DataFrame
+    hits: DataFrame
+    alerts: DataFrame
+    months: Months
+    tables: tuple[DataFrame, ...]
+
+    def discard(self) -> None:
+        discard(*self.tables)
+
+
+def _hits(spark: SparkSession, counters: dict[str, Any], stream: Stream) -> DataFrame:
+    rows = [(r.name, r.severity, counters[f"hits_{r.name}"]) for r in rules.rule_set(stream) if counters.get(f"hits_{r.name}")]
+    return spark.createDataFrame(rows, "rule string, severity string, hits long")
+
+
+def _by_symbol(checked: DataFrame, classified: DataFrame) -> DataFrame:
+    n = lambda a: F.count_if(F.col("action") == a)
+    seen = checked.groupBy("symbol").agg(F.count("*").alias("landed"), F.count_if(F.col("outcome") == "rejected").alias("rejected"))
+    made = classified.groupBy("symbol").agg(n("new").alias("written"), n("amend").alias("amended"), n("skip").alias("unchanged"))
+    out = seen.withColumnRenamed("symbol", "s").join(made, F.col("s").eqNullSafe(F.col("symbol")), "left")
+    return out.select(F.col("s").alias("symbol"), "landed", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("written", "amended", "unchanged")], "rejected")
+
+
+def ingest_batch(
     store: TableStore, bars: DataFrame, stream: Stream, batch: str, version: str = "unknown", instruments: DataFrame | None = None, now: Column | None = None, dry_run: bool = False,
     plans: DataFrame | None = None, failures: DataFrame | None = None,
-) -> DataFrame:
-    """Validate, classify and append a batch; the run's summary.
+) -> Ingested:
+    """Validate, classify and append a batch.
 
     Bars go to ``stream.table``, rejects beside it. Nothing is appended twice:
     known bars are skipped, changed ones come as new versions, and rejects that
@@ -90,30 +160,53 @@ def ingest(
     before them and is run again moves them too; a run that skips everything
     leaves them. ``plans`` (symbol, mode, ingestion_type) say how each symbol
     was fetched; ``failures`` (symbol, error) count against the watermarks that
-    exist.
+    exist. Bars are validated and counted once, in the pass that writes them.
     """
-    from tidemark.operators._scratch import written
-
+    now = F.lit(datetime.now(timezone.utc)) if now is None else now
     kind: Column | str = "scheduled"
     if plans is not None:
         bars = bars.join(plans.select("symbol", F.col("ingestion_type").alias("__kind")), "symbol", "left")
         kind = F.coalesce("__kind", F.lit("scheduled"))
-    checked = V.validate(bars, stream)
-    enriched = written(S.conform(V.enrich(V.writable(checked), batch, version, kind, now=now, nullable=stream.nullable), S.BARS_SCHEMA), "writable")
-    first, last = enriched.agg(F.min("date"), F.max("date")).first()
-    classified = K.classify(enriched, stored_bars(store, stream.table, (first, last) if first else None))
+    validated, seen = V.validate(bars, stream), Observation(f"ingest-{uuid.uuid4().hex}")
+    checked = written(validated.observe(seen, *V.counters(stream)), "checked")
+    counted = seen.get
+    enriched = S.conform(V.enrich(V.writable(checked), batch, version, kind, now=now, nullable=stream.nullable), S.BARS_SCHEMA)
+    months = months_of(V.writable(checked))
     # Three sinks read this, and it must not see what they append.
-    classified = written(classified, "classified")
-    rejected = written(V.rejected_records(checked.drop("__kind"), batch, version, now), "rejected")
-    summary = run_summary(classified, rejected)
+    classified = written(K.classify(enriched, stored_bars(store, stream.table, months)), "classified")
+    rejected = V.rejected_records(checked.drop("__kind"), batch, version, now)
+    alerts = V.order_alerts(checked, stream)
+    done = Ingested(counted, run_summary(classified, rejected), _by_symbol(checked, classified), _hits(store.spark, counted, stream), alerts, months, (checked, classified))
     if dry_run:
-        return summary
+        return done
     new = S.conform(classified.where("action = 'new'"), S.BARS_SCHEMA)
     amended = S.conform(K.amend(classified, batch), S.BARS_SCHEMA)
-    store.append(stream.table, _partitioned(new.unionByName(amended)), ("interval", "month"))
+    store.append(stream.table, partitioned(new.unionByName(amended), counted["total_input"]), ("interval", "month"))
     _append_rejects(store, rejected, batch)
     if instruments is not None:
-        _move_watermarks(store, stream, batch, (first, last) if first else None, instruments, plans, failures)
+        _move_watermarks(store, stream, batch, months, instruments, plans, failures)
+    return done
+
+
+def ingest(store: TableStore, bars: DataFrame, stream: Stream, batch: str, *args: Any, **kwargs: Any) -> DataFrame:
+    """``ingest_batch``; its summary alone."""
+    return ingest_batch(store, bars, stream, batch, *args, **kwargs).summary
+
+
+def reprocess_rejects(store: TableStore, stream: Stream, batch: str, version: str = "unknown", now: Column | None = None) -> DataFrame:
+    """Judge the stored open rejects again by the stream's rules as they are now; the summary of what that stored.
+
+    Bars that pass are ingested as a batch of their own, then their rejects are
+    closed. A batch that died between the two is run again: its bars are known
+    by then, and its rejects are closed. Rejects that fail again stay open and
+    aren't stored twice.
+    """
+    rejects = store.read("market_data_rejected", S.REJECT_SCHEMA)
+    judged = written(V.rejudged(rejects, stream), "rejudged")
+    bars = V.writable(judged).drop("reject", "fired", "outcome", "deciding_rule")
+    summary = ingest_batch(store, bars, stream, batch, version, now=now).summary
+    if not V.writable(judged).isEmpty():
+        store.replace("market_data_rejected", S.conform(V.closed(rejects, judged, batch, now), S.REJECT_SCHEMA))
     return summary
 
 
@@ -129,9 +222,9 @@ def _append_rejects(store: TableStore, rejected: DataFrame, batch: str) -> None:
     store.append("market_data_rejected", rows.join(have, same, "left_anti").drop("nth"))
 
 
-def _move_watermarks(store: TableStore, stream: Stream, batch: str, span: tuple | None, instruments: DataFrame, plans: DataFrame | None, failures: DataFrame | None) -> None:
+def _move_watermarks(store: TableStore, stream: Stream, batch: str, months: Months, instruments: DataFrame, plans: DataFrame | None, failures: DataFrame | None) -> None:
     ids = instruments.select("symbol", "instrument_id")
-    added = stored_bars(store, stream.table, span).where(F.col("batch_id") == batch)
+    added = stored_bars(store, stream.table, months).where(F.col("batch_id") == batch)
     moved = M.bounds(added, ("symbol",)).join(ids, "symbol")
     mode: Column = F.lit("INCREMENTAL")
     if plans is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.sequence import MINUTES
+from tidemark.sources.chunks import Fetch, in_chunk
 
 ISO_UTC, ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss"
 NEW_YORK = "America/New_York"
@@ -45,8 +46,6 @@ def _times(stamp: Column, interval: Column) -> dict[str, Column]:
     }
 
 
-
-
 def map_gateway_bars(raw: DataFrame) -> DataFrame:
     """Bars of the gateway: symbol, interval, t (epoch ms), o, h, l, c, v.
 
@@ -113,12 +112,20 @@ class Provider:
     options: bool
     realtime: bool
     mapper: Callable[[DataFrame], DataFrame]
+    payload: str  # of one bar, as DDL
+    day: str  # of a payload, as SQL
 
 
 PROVIDERS = {
-    "ibkr": Provider("ibkr", ("1d", "1h", "4h", "5m", "1m"), True, True, map_gateway_bars),
-    "yahoo": Provider("yahoo", ("1d", "1h", "5m", "1m"), False, False, map_yahoo_rows),
-}
+    "ibkr": Provider(
+        "ibkr", ("1d", "1h", "4h", "5m", "1m"), True, True, map_gateway_bars,
+        "symbol string, interval string, t long, o double, h double, l double, c double, v double", "to_date(timestamp_millis(t))",
+    ),
+    "yahoo": Provider(
+        "yahoo", ("1d", "1h", "5m", "1m"), False, False, map_yahoo_rows,
+        "symbol string, interval string, ts timestamp, Open double, High double, Low double, Close double, Volume double, Dividends double, `Stock Splits` double", "to_date(ts)",
+    ),
+}
 PRIMARY, FALLBACK = "ibkr", "yahoo"
 
 
@@ -140,8 +147,10 @@ def _landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
 
 
-def healthy(spark: SparkSession, path: str) -> bool:
-    """Whether a landed source can be read and has rows."""
+def healthy(spark: SparkSession, path: str | Fetch) -> bool:
+    """Whether a landed source can be read and has rows; a fetcher says so itself, if it can."""
+    if callable(path):
+        return getattr(path, "healthy", lambda _: True)(spark)
     try:
         return not _landed(spark, path).isEmpty()
     except Exception as e:  # noqa: BLE001
@@ -150,7 +159,7 @@ def healthy(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def choose(spark: SparkSession, landed: dict[str, str]) -> str:
+def choose(spark: SparkSession, landed: dict[str, str | Fetch]) -> str:
     """The primary provider if its landed source is healthy, else the fallback, for a whole run."""
     for name in (PRIMARY, FALLBACK):
         if name in landed and healthy(spark, landed[name]):
@@ -162,3 +171,13 @@ def read_bars(spark: SparkSession, path: str, name: str | None = None, start: st
     """Landed payloads (JSON lines or Parquet, by the path's ending) as bars of a date range."""
     bars = provider(name).mapper(_landed(spark, path))
     return between_dates(bars, F.lit(start).cast("date"), F.lit(end).cast("date")) if start and end else bars
+
+
+def chunk_bars(chunks: DataFrame, name: str | None = None) -> DataFrame:
+    """Payloads of fetched chunks as bars; a bar of another symbol, interval or day than its chunk asked for is left out."""
+    own = provider(name)
+    asked = chunks.where("line is not null").select("symbol", "interval", "chunk_start", "chunk_end", F.from_json("line", own.payload).alias("p"))
+    mine = (F.coalesce("p.symbol", "symbol") == F.col("symbol")) & (F.coalesce("p.interval", "interval") == F.col("interval"))
+    fields = [F.col(f"p.`{f}`") for f in asked.schema["p"].dataType.names if f not in ("symbol", "interval")]
+    rows = asked.where(mine).select("symbol", "interval", "chunk_start", "chunk_end", *fields)
+    return own.mapper(rows.where(in_chunk(F.expr(own.day))).drop("chunk_start", "chunk_end"))

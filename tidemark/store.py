@@ -57,6 +57,17 @@ class TableStore:
         version = self._version(name) + 1
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}/v={version}")
 
+    def replace_partitions(self, name: str, rows: DataFrame, partition_by: tuple[str, ...]) -> None:
+        """Replace those partitions of the current version that ``rows`` has rows for; all others stay as they are.
+
+        ``rows`` may not read this table. Partitions are replaced together when
+        the job commits; a job that is run again writes the same.
+        """
+        if not self.exists(name):
+            self.replace(name, rows, partition_by)
+        else:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(name))
+
     def create(self, name: str, schema: T.StructType) -> bool:
         """An empty table of this schema, unless there is one; whether it made one."""
         if self.exists(name):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import Stream
-from tidemark.plans.job import ingest
+from tidemark.plans.job import ingest_batch
 from tidemark.store import TableStore
 
 WIDTH = {"1h": "1 hour", "4h": "4 hours", "15m": "15 minutes", "5m": "5 minutes", "1m": "1 minute"}
@@ -32,6 +32,6 @@ def ingest_stream(bars: DataFrame, store: TableStore, stream: Stream, checkpoint
     """Feed a stream of bars to the same ingestion as batches; a batch that is replayed adds nothing twice."""
 
     def each(batch: DataFrame, number: int) -> None:
-        ingest(store, batch, stream, f"batch_{stream.name}_{number}", version)
+        ingest_batch(store, batch, stream, f"batch_{stream.name}_{number}", version).discard()
 
     return bars.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
