@@ -178,7 +178,7 @@ def test_a_bad_chunk_costs_that_chunk(spark, store):
         yield gateway(symbol, str(end))
         if symbol == "A" and start.month == 3:
             raise TimeoutError("gone")
-        if symbol == "B" and start.month == 2:
+        if symbol == "B" and start.day == 31:
             yield "<html>"
         if symbol == "C":
             yield from (json.dumps(gateway("D", str(end))), gateway("C", "2020-01-06"), "")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.config import STREAMS
+from tidemark.operators import constraints as G
 from tidemark.operators import universe as U
 from tidemark.operators import validate as V
 from tidemark.plans import job
@@ -82,3 +83,26 @@ def test_landed_chunks(spark, tmp_path):
         assert sorted((r.symbol, r.line is not None, r.error) for r in made) == [("A/B", True, None), ("A/B", True, None), ("D", False, "FileNotFoundError: no chunk of D at 2026-01-01")]
     assert N.fetch_chunks(asked, N.ChunkFiles(root, missing_ok=True)).where("error is not null").count() == 0
     assert N.ChunkFiles(root).healthy(spark) and not N.ChunkFiles(root + "x").healthy(spark)
+
+
+def test_a_violating_append_stores_nothing(spark, store):
+    store.create_all()
+    assert G.insert(store, "instrument", spark.createDataFrame([("equity", "A Co"), ("etf", "B Fund")], "asset_class string, company_name string"), ("company_name",)) == 2
+    assert {(r.instrument_id, r.company_name) for r in store.read("instrument").collect()} == {(1, "A Co"), (2, "B Fund")}
+    row = "instrument_id long, symbol string, valid_from date"
+    day = date(2026, 1, 1)
+    assert G.insert(store, "instrument_listing", spark.createDataFrame([(1, "A", day), (2, "B", day)], row), ("symbol",)) == 2
+    assert {(r.listing_id, r.symbol, r.currency, r.is_current) for r in store.read("instrument_listing").collect()} == {(1, "A", "USD", True), (2, "B", "USD", True)}
+    with pytest.raises(G.ConstraintError, match="foreign_instrument_id.*not_null_symbol") as e:
+        G.insert(store, "instrument_listing", spark.createDataFrame([(9, "X", day), (1, None, day), (1, "C", day)], row), ("symbol",))
+    assert "'symbol': 'X'" in str(e.value) and "'symbol': 'C'" not in str(e.value)
+    assert store.read("instrument_listing").count() == 2
+    G.insert(store, "instrument_listing", spark.createDataFrame([(1, "C", day)], row), ("symbol",))
+    assert {r.listing_id for r in store.read("instrument_listing").collect()} == {1, 2, 3}
+    feed = spark.createDataFrame([(1,), (1,)], "instrument_id long")
+    with pytest.raises(G.ConstraintError, match="unique_instrument_id_stream"):
+        G.insert(store, "ticker_feed_config", feed, ("instrument_id",))
+    assert G.insert(store, "ticker_feed_config", feed.limit(1), ("instrument_id",)) == 1
+    with pytest.raises(G.ConstraintError, match="unique_instrument_id_stream"):
+        G.insert(store, "ticker_feed_config", feed.limit(1), ("instrument_id",))
+    assert [(r.stream, r.batch_group, r.priority) for r in store.read("ticker_feed_config").collect()] == [("daily", "A", 5)]

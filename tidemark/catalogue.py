@@ -17,6 +17,7 @@ from tidemark.functions import calendar as C
 from tidemark.functions import metrics as M
 from tidemark.functions import rules as R
 from tidemark.operators import classify as K
+from tidemark.operators import constraints as G
 from tidemark.operators import control as O
 from tidemark.operators import sequence as Q
 from tidemark.operators import universe as U
@@ -749,3 +750,14 @@ def validation_compact(spark, d):
     made = V.compact(V.validate(X.daily_bars(spark, d)))
     read = F.from_json("summary", "total_input long, total_passed long, total_flagged long, total_rejected long, pass_rate_pct double, rejection_rate_pct double, rule_hits map<string,long>")
     return made.select("symbol", "interval", read.alias("s")).select("symbol", "interval", "s.total_input", "s.total_rejected", "s.pass_rate_pct", F.explode("s.rule_hits").alias("rule", "hits"))
+
+
+@query
+def foreign_keys(spark, d):
+    """Line items with some parts, orders and quantities changed, against the keys of their tables."""
+    rows = X.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 50 == 0, -1).otherwise(F.col("l_partkey")).alias("part"),
+        F.when(F.col("l_orderkey") % 70 != 0, F.col("l_suppkey")).alias("supplier"), F.when(F.col("l_orderkey") % 90 == 0, 1).otherwise(F.col("l_linenumber")).alias("line"),
+    )
+    asked = G.Constraints(("supplier",), (("l_orderkey", "line"),), {"part": ("part", "p_partkey"), "supplier": ("supplier", "s_suppkey")})
+    return G.broken(rows, asked, references={n: X.table(spark, d, n) for n in ("part", "supplier")}).select("l_orderkey", "l_linenumber", "constraint_name")

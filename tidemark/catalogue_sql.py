@@ -278,4 +278,8 @@ ORACLE_SQL |= {
   SELECT symbol, CAST(date AS VARCHAR) AS date, crit[1] AS rejected_rule, ok AS reprocessed, CASE WHEN ok THEN '2026-01-03T03:04:05Z' END AS reprocessed_at, CASE WHEN ok THEN 'b2' END AS reprocessed_batch FROM r""",
     "validation_compact": f"""WITH {CHECKED}, s AS (SELECT symbol, interval, count(*) AS total_input, count(*) FILTER (outcome = 'rejected') AS total_rejected, round_even(count(*) FILTER (outcome = 'clean') / count(*) * 100, 1) AS pass_rate_pct FROM checked GROUP BY 1, 2),
   h AS (SELECT symbol, interval, rule, count(*) AS hits FROM (SELECT symbol, interval, unnest(fired) AS rule FROM checked) GROUP BY 1, 2, 3) SELECT * FROM s JOIN h USING (symbol, interval)""",
+    "foreign_keys": """WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 50 = 0 THEN -1 ELSE l_partkey END AS part, CASE WHEN l_orderkey % 70 <> 0 THEN l_suppkey END AS supplier,
+    CASE WHEN l_orderkey % 90 = 0 THEN 1 ELSE l_linenumber END AS line FROM lineitem), w AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, line) AS n FROM r)
+  SELECT l_orderkey, l_linenumber, 'not_null_supplier' AS constraint_name FROM w WHERE supplier IS NULL UNION ALL SELECT l_orderkey, l_linenumber, 'unique_l_orderkey_line' FROM w WHERE n > 1
+  UNION ALL SELECT l_orderkey, l_linenumber, 'foreign_part' FROM w WHERE part NOT IN (SELECT p_partkey FROM part) UNION ALL SELECT l_orderkey, l_linenumber, 'foreign_supplier' FROM w WHERE supplier NOT IN (SELECT s_suppkey FROM supplier)""",
 }

@@ -6,36 +6,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {"s": T.StringType(), "d": T.DoubleType(), "l": T.LongType(), "i": T.IntegerType(), "b": T.BooleanType(), "t": T.DateType()}
-
-
-def _schema(text: str) -> T.StructType:
-    """``name:kind`` pairs, kinds s string, d double, l long, i int, b boolean, t date."""
-    return T.StructType([T.StructField(n, _TYPES[k]) for n, k in (p.split(":") for p in text.split())])
-
-
-BARS_SCHEMA = _schema(
-    "symbol:s date:t interval:s source:s batch_id:s pipeline_version:s open:d high:d low:d close:d volume:l adj_close:d adj_factor:d unadj_close:d "
-    "exchange:s currency:s market_session:s trade_count:l vwap:d prev_close:d session_open:d session_close:d pre_market_high:d pre_market_low:d pre_market_close:d "
-    "pre_market_volume:l post_market_high:d post_market_low:d post_market_close:d post_market_volume:l bar_time_utc:s bar_time_eastern:s bar_end_time_utc:s timezone_source:s "
-    "has_corporate_action:b split_factor:d dividend_amount:d dividend_type:s is_ex_dividend_date:b is_ex_split_date:b trading_halt:b halt_reason:s is_trading_day:b "
-    "shares_outstanding:l market_cap_at_date:d data_quality_flag:b data_quality_reasons:s is_amended:b amendment_reason:s supersedes_batch:s data_completeness_pct:d record_version:i "
-    "ingested_at:s ingested_by:s fetch_attempt_count:i fetch_duration_ms:l data_as_of:s ingestion_type:s source_version:s"
-)
-REJECT_SCHEMA = _schema(
-    "symbol:s date:s interval:s source:s batch_id:s rejected_rule:s rejection_reason:s raw_record:s rejected_at:s raw_open:d raw_high:d raw_low:d raw_close:d raw_volume:l "
-    "reprocessed:b reprocessed_at:s reprocessed_batch:s pipeline_version:s"
-)
-WATERMARK_SCHEMA = _schema("instrument_id:l stream:s earliest_date:t latest_date:t record_count:l batch_id:s mode:s status:s consecutive_failures:i created_at:s updated_at:s")
-INSTRUMENT_SCHEMA = _schema("instrument_id:l isin:s figi:s company_name:s asset_class:s source:s created_at:s")
-LISTING_SCHEMA = _schema("listing_id:l instrument_id:l symbol:s exchange_mic:s currency:s con_id:l min_lot_size:i valid_from:t valid_to:t is_current:b")
-MEMBERSHIP_SCHEMA = _schema("membership_id:l instrument_id:l universe_code:s weight:d is_active:b added_date:t removed_date:t")
-FEED_SCHEMA = _schema("feed_id:l instrument_id:l stream:s source:s is_active:b batch_group:s priority:i history_start:t added_date:t")
-CALENDAR_SCHEMA = _schema("exchange_mic:s date:t is_trading_day:b open_time:s close_time:s holiday_name:s")
-BATCH_CONFIG_SCHEMA = _schema("batch_group:s stream:s job_type:s groups:s max_symbols_per_run:i is_active:b")
-COMMAND_SCHEMA = _schema("command_id:l instrument_id:l symbol:s command:s start_date:t end_date:t status:s requested_at:s consumed_at:s")
-RUN_LOG_SCHEMA = _schema("run_id:s instrument_id:l stream:s status:s records_written:l error:s started_at:s completed_at:s")
-TICKER_SCHEMA = _schema("symbol:s name:s sector:s asset_class:s active:s added_date:s min_price:s market_cap_tier:s history_start:s ipo_date:s notes:s")
+
+def _struct(**columns: str) -> T.StructType:
+    """Nullable columns by name, with Spark's names of their types."""
+    kinds = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "date": T.DateType()}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])
+
+
+BARS_SCHEMA = _struct(
+    symbol="string", date="date", interval="string", source="string", batch_id="string", pipeline_version="string", open="double", high="double",
+    low="double", close="double", volume="bigint", adj_close="double", adj_factor="double", unadj_close="double", exchange="string",
+    currency="string", market_session="string", trade_count="bigint", vwap="double", prev_close="double", session_open="double",
+    session_close="double", pre_market_high="double", pre_market_low="double", pre_market_close="double", pre_market_volume="bigint",
+    post_market_high="double", post_market_low="double", post_market_close="double", post_market_volume="bigint", bar_time_utc="string",
+    bar_time_eastern="string", bar_end_time_utc="string", timezone_source="string", has_corporate_action="boolean", split_factor="double",
+    dividend_amount="double", dividend_type="string", is_ex_dividend_date="boolean", is_ex_split_date="boolean", trading_halt="boolean",
+    halt_reason="string", is_trading_day="boolean", shares_outstanding="bigint", market_cap_at_date="double", data_quality_flag="boolean",
+    data_quality_reasons="string", is_amended="boolean", amendment_reason="string", supersedes_batch="string", data_completeness_pct="double",
+    record_version="int", ingested_at="string", ingested_by="string", fetch_attempt_count="int", fetch_duration_ms="bigint", data_as_of="string",
+    ingestion_type="string", source_version="string",
+)
+REJECT_SCHEMA = _struct(
+    symbol="string", date="string", interval="string", source="string", batch_id="string", rejected_rule="string", rejection_reason="string",
+    raw_record="string", rejected_at="string", raw_open="double", raw_high="double", raw_low="double", raw_close="double", raw_volume="bigint",
+    reprocessed="boolean", reprocessed_at="string", reprocessed_batch="string", pipeline_version="string",
+)
+WATERMARK_SCHEMA = _struct(
+    instrument_id="bigint", stream="string", earliest_date="date", latest_date="date", record_count="bigint", batch_id="string", mode="string",
+    status="string", consecutive_failures="int", created_at="string", updated_at="string",
+)
+INSTRUMENT_SCHEMA = _struct(
+    instrument_id="bigint", isin="string", figi="string", company_name="string", asset_class="string", source="string", created_at="string",
+)
+LISTING_SCHEMA = _struct(
+    listing_id="bigint", instrument_id="bigint", symbol="string", exchange_mic="string", currency="string", con_id="bigint", min_lot_size="int",
+    valid_from="date", valid_to="date", is_current="boolean",
+)
+MEMBERSHIP_SCHEMA = _struct(
+    membership_id="bigint", instrument_id="bigint", universe_code="string", weight="double", is_active="boolean", added_date="date",
+    removed_date="date",
+)
+FEED_SCHEMA = _struct(
+    feed_id="bigint", instrument_id="bigint", stream="string", source="string", is_active="boolean", batch_group="string", priority="int",
+    history_start="date", added_date="date",
+)
+CALENDAR_SCHEMA = _struct(
+    exchange_mic="string", date="date", is_trading_day="boolean", open_time="string", close_time="string", holiday_name="string",
+)
+BATCH_CONFIG_SCHEMA = _struct(
+    batch_group="string", stream="string", job_type="string", groups="string", max_symbols_per_run="int", is_active="boolean",
+)
+COMMAND_SCHEMA = _struct(
+    command_id="bigint", instrument_id="bigint", symbol="string", command="string", start_date="date", end_date="date", status="string",
+    requested_at="string", consumed_at="string",
+)
+RUN_LOG_SCHEMA = _struct(
+    run_id="string", instrument_id="bigint", stream="string", status="string", records_written="bigint", error="string", started_at="string",
+    completed_at="string",
+)
+TICKER_SCHEMA = _struct(
+    symbol="string", name="string", sector="string", asset_class="string", active="string", added_date="string", min_price="string",
+    market_cap_tier="string", history_start="string", ipo_date="string", notes="string",
+)
 
 TABLES = {
     "instrument": INSTRUMENT_SCHEMA, "instrument_listing": LISTING_SCHEMA, "universe_membership": MEMBERSHIP_SCHEMA, "ticker_feed_config": FEED_SCHEMA, "market_calendar": CALENDAR_SCHEMA,
