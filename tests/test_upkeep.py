@@ -106,3 +106,41 @@ def test_a_violating_append_stores_nothing(spark, store):
     with pytest.raises(G.ConstraintError, match="unique_instrument_id_stream"):
         G.insert(store, "ticker_feed_config", feed.limit(1), ("instrument_id",))
     assert [(r.stream, r.batch_group, r.priority) for r in store.read("ticker_feed_config").collect()] == [("daily", "A", 5)]
+
+
+def test_change_feed_in_any_cut(spark, store, tmp_path):
+    """One file at a time, all at once by a late start, and a replay after the first batch was lost: the same tables."""
+    from tidemark.streaming.bars import change_counts, follow
+
+    job.ingest(store, bars(spark, *[{"date": date(2026, m, 5)} for m in (1, 2, 3)]), STREAMS["daily"], "b1")
+    follow(store, "market_data_daily", "slow", "slow_counts", str(tmp_path / "c1"), files=1).awaitTermination()
+    job.ingest(store, bars(spark, {"date": date(2026, 2, 5), "close": 152.0}, {"date": date(2026, 2, 6)}), STREAMS["daily"], "b2")
+    follow(store, "market_data_daily", "slow", "slow_counts", str(tmp_path / "c1"), files=1).awaitTermination()
+    follow(store, "market_data_daily", "late", "late_counts", str(tmp_path / "c2")).awaitTermination()
+    (tmp_path / "c2" / "commits" / "0").unlink()  # as if the batch had died after its writes
+    (tmp_path / "c2" / "commits" / ".0.crc").unlink(missing_ok=True)
+    follow(store, "market_data_daily", "late", "late_counts", str(tmp_path / "c2")).awaitTermination()
+    want = {(r.date, r.record_version, r.close) for r in job.K.latest(job.stored_bars(store, "market_data_daily")).collect()}
+    for silver, counts in (("slow", "slow_counts"), ("late", "late_counts")):
+        assert {(r.date, r.record_version, r.close) for r in store.read(silver).collect()} == want
+        assert {(r.batch_id, r.n_bars) for r in change_counts(store, counts).collect()} == {("b1", 3), ("b2", 2)}
+    assert len(want) == 4
+
+
+@pytest.mark.parametrize("share", [0.999, 0.5, 2 / 16, 0.001])
+def test_averages_over_long_series(spark, share):
+    """Against a plain loop, over more bars than a block, and than a block of blocks, has."""
+    from tidemark.operators import sequence as Q
+
+    n, old = 40_000, Q.BLOCK
+    values = [float((i * 7919) % 101) for i in range(n)]
+    df = spark.range(n).select(F.lit("A").alias("symbol"), F.lit("1m").alias("interval"), F.col("id").alias("date"), F.pmod(F.col("id") * 7919, F.lit(101)).cast("double").alias("close"))
+    try:
+        Q.BLOCK = 16 if share < 0.9 else old
+        made = {r.date: r.x for r in Q.smoothed(df, {"x": ("close", share)}).collect()}
+    finally:
+        Q.BLOCK = old
+    average = values[0]
+    for i, v in enumerate(values):
+        average = average + share * (v - average) if i else v
+        assert abs(made[i] - average) < 1e-8

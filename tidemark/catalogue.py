@@ -30,7 +30,7 @@ from tidemark.plans.run import run_job
 from tidemark.sources import chunks as N
 from tidemark.sources import etf, listings, providers
 from tidemark.store import TableStore
-from tidemark.streaming.bars import bars_from_ticks
+from tidemark.streaming.bars import bars_from_ticks, change_counts, follow
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -761,3 +761,24 @@ def foreign_keys(spark, d):
     )
     asked = G.Constraints(("supplier",), (("l_orderkey", "line"),), {"part": ("part", "p_partkey"), "supplier": ("supplier", "s_suppkey")})
     return G.broken(rows, asked, references={n: X.table(spark, d, n) for n in ("part", "supplier")}).select("l_orderkey", "l_linenumber", "constraint_name")
+
+
+def _followed(spark, d):
+    """A history and two batches of corrections, followed by the stream after the first and at the end."""
+    store, checkpoint = TableStore(spark, folder(spark, "store")), folder(spark, "follow")
+    store.append("bars", J.partitioned(S.conform(X.stored_bars(X.daily_bars(spark, d)), S.BARS_SCHEMA), 0), ("interval", "month"))
+    follow(store, "bars", "silver", "changes", checkpoint).awaitTermination()
+    amended = S.conform(K.amend(_classified(spark, d), "b1"), S.BARS_SCHEMA)
+    store.append("bars", J.partitioned(amended, 0), ("interval", "month"))
+    follow(store, "bars", "silver", "changes", checkpoint).awaitTermination()
+    return store
+
+
+@query
+def change_feed_silver(spark, d):
+    return J.stored_bars(_followed(spark, d), "silver").select("symbol", "date", "close", "record_version", "batch_id")
+
+
+@query
+def change_feed_counts(spark, d):
+    return change_counts(_followed(spark, d), "changes")

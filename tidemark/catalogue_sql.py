@@ -282,4 +282,7 @@ ORACLE_SQL |= {
     CASE WHEN l_orderkey % 90 = 0 THEN 1 ELSE l_linenumber END AS line FROM lineitem), w AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, line) AS n FROM r)
   SELECT l_orderkey, l_linenumber, 'not_null_supplier' AS constraint_name FROM w WHERE supplier IS NULL UNION ALL SELECT l_orderkey, l_linenumber, 'unique_l_orderkey_line' FROM w WHERE n > 1
   UNION ALL SELECT l_orderkey, l_linenumber, 'foreign_part' FROM w WHERE part NOT IN (SELECT p_partkey FROM part) UNION ALL SELECT l_orderkey, l_linenumber, 'foreign_supplier' FROM w WHERE supplier NOT IN (SELECT s_suppkey FROM supplier)""",
+    "change_feed_silver": ORACLE_SQL["silver_latest"],
+    "change_feed_counts": f"""WITH {HISTORY}, {_classified()}, a AS (SELECT date, interval, 'b0' AS batch_id FROM stored UNION ALL SELECT date, interval, 'b1' FROM classified WHERE action = 'amend')
+  SELECT batch_id, interval, count(*) AS n_bars, min(date) AS first_date, max(date) AS last_date FROM a GROUP BY batch_id, interval""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -74,44 +76,66 @@ def indicators(bars: DataFrame) -> DataFrame:
     )
 
 
-BLOCK = 128  # bars whose weights are summed relative to one place; old ones weigh next to nothing
+BLOCK = 128  # rows whose weights are summed relative to one place, unless weights would underflow
+LEAST_WEIGHT = 250  # decimal places
+
+
+def _block_rows(shares_left: list[float]) -> int:
+    """Rows of a block: so many that no weight within it gets lost."""
+    steepest = -math.log10(max(min(shares_left), 1e-300))
+    return max(1, min(BLOCK, int(LEAST_WEIGHT / steepest) if steepest else BLOCK))
+
+
+def _decayed_sums(df: DataFrame, key: list[str], place: str, columns: dict[str, tuple[str, float]], levels: int = 2) -> DataFrame:
+    """Add for each ``name: (column, old)`` the sum over rows up to this one of column * old ** distance, by ``place`` within ``key``.
+
+    A prefix scan over affine maps: a block's rows are summed by themselves;
+    the ends of blocks are a series of the same kind, ``old ** rows`` being its
+    weight, and are scanned in the same way; what enters a block is one row for
+    it, joined by its number. After ``levels`` scans, which leave one entry in
+    ``BLOCK ** levels`` rows, the ends that are left are folded in order.
+    """
+    size = _block_rows([old for _, old in columns.values()])
+    placed = df.withColumns({"__b": F.floor(F.col(place) / size).cast("long"), "__i": F.col(place) % size})
+    inside = W.partitionBy(*key, "__b").orderBy("__i")
+    power = lambda name, n: F.pow(F.lit(columns[name][1]), n)
+    local = {f"__l_{n}": F.sum(F.col(c) / power(n, F.col("__i"))).over(inside) * power(n, F.col("__i")) for n, (c, _) in columns.items()}
+    placed = placed.withColumns(local)
+    ends = placed.groupBy(*key, "__b").agg(F.max_by(F.struct(*local), "__i").alias("e")).select(*key, "__b", *[F.col(f"e.__l_{n}").alias(f"__e_{n}") for n in columns])
+    if levels > 1 and size > 1:
+        inner = {n: (f"__e_{n}", old**size) for n, (_, old) in columns.items()}
+        scanned = _decayed_sums(ends.withColumnRenamed("__b", "__block"), key, "__block", inner, levels - 1)
+        carried = scanned.select(*key, (F.col("__block") + 1).alias("__b"), *[F.col(n).alias(f"__c_{n}") for n in columns])
+    else:
+        step = lambda acc, x: F.struct(*[(acc[n] * F.lit(old**size) + x[f"__e_{n}"]).alias(n) for n, (_, old) in columns.items()])
+        nothing = F.struct(*[F.lit(0.0).alias(n) for n in columns])
+        ordered = ends.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__b", *[f"__e_{n}" for n in columns]))).alias("__ends"))
+        each = F.transform("__ends", lambda x, i: F.struct((x["__b"] + 1).alias("b"), F.aggregate(F.slice("__ends", F.lit(1), i + 1), nothing, step).alias("c")))
+        carried = ordered.select(*key, F.explode(each).alias("x")).select(*key, F.col("x.b").alias("__b"), *[F.col(f"x.c.{n}").alias(f"__c_{n}") for n in columns])
+    out = placed.join(carried, [*key, "__b"], "left")
+    made = {n: F.col(f"__l_{n}") + F.coalesce(f"__c_{n}", F.lit(0.0)) * power(n, F.col("__i") + 1) for n in columns}
+    return out.select(*df.columns, *[c.alias(n) for n, c in made.items()])
 
 
 def smoothed(bars: DataFrame, columns: dict[str, tuple[str, float]], time: str = "date") -> DataFrame:
     """Exponential averages over a symbol's whole series: ``columns`` maps a new name to (column, share of the newest value).
 
-    The first average is the first value; values mustn't be null. The
-    recurrence is linear, so blocks of bars are summed by themselves, in one
-    window, and what enters a block is a fold over the ends of those before it:
-    a number for each ``BLOCK`` bars of a symbol, never its bars.
+    The first average is the first value; values mustn't be null. A share of 1
+    is the value itself. The recurrence is linear, so it is a scan over blocks.
     """
-    same = {name: c for name, (c, share) in columns.items() if share >= 1.0}  # the newest value alone
-    if same:
-        rest = {name: of for name, of in columns.items() if name not in same}
-        made = smoothed(bars, rest, time) if rest else bars
-        return made.select(*bars.columns, *[F.col(same[n]).cast("double").alias(n) if n in same else F.col(n) for n in columns])
+    same = {name: c for name, (c, share) in columns.items() if share >= 1.0}
+    rest = {name: of for name, of in columns.items() if name not in same}
+    value = {n: F.col(c).cast("double").alias(n) for n, c in same.items()}
+    if not rest:
+        return bars.select(*bars.columns, *value.values())
     key = ["symbol", "interval"]
-    place = F.row_number().over(W.partitionBy(*key).orderBy(time)) - 1
-    placed = bars.withColumn("__n", place).withColumns({"__b": F.floor(F.col("__n") / BLOCK).cast("int"), "__i": F.col("__n") % BLOCK})
-    inside = W.partitionBy(*key, "__b").orderBy("__i")
-    old = {name: 1.0 - share for name, (_, share) in columns.items()}
-    power = lambda name, n: F.pow(F.lit(old[name]), n)
-    local = {f"__{name}": F.sum(F.col(c) / power(name, F.col("__i"))).over(inside) * power(name, F.col("__i")) * share for name, (c, share) in columns.items()}
-    placed = placed.withColumns(local)
-    ends = placed.groupBy(*key, "__b").agg(F.max_by(F.struct(*local), "__i").alias("end"), *[F.min_by(c, "__i").alias(f"first_{name}") for name, (c, _) in columns.items()])
-    ordered = ends.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__b", "end", *[f"first_{n}" for n in columns]))).alias("__ends"))
-
-    def entering(name: str) -> Column:
-        """The average before each block: the first value, then folds of whole blocks."""
-        whole = F.lit(old[name] ** BLOCK)
-        step = lambda acc, x: acc * whole + x["end"][f"__{name}"]
-        start = F.element_at("__ends", 1)[f"first_{name}"]
-        return F.transform("__ends", lambda _, b: F.aggregate(F.slice("__ends", F.lit(1), b), start, step)).alias(f"__c_{name}")
-
-    carried = ordered.select(*key, *[entering(n) for n in columns])
-    out = placed.join(carried, key)
-    made = {n: F.col(f"__{n}") + F.get(f"__c_{n}", F.col("__b")) * power(n, F.col("__i") + 1) for n in columns}
-    return out.select(*bars.columns, *[c.alias(n) for n, c in made.items()])
+    order = W.partitionBy(*key).orderBy(time)
+    firsts = {f"__f_{n}": F.first(c).over(order) for n, (c, _) in rest.items()}
+    placed = bars.withColumns({"__n": F.row_number().over(order) - 1, **firsts})
+    made = _decayed_sums(placed, key, "__n", {f"__s_{n}": (c, 1.0 - share) for n, (c, share) in rest.items()})
+    for n, (_, share) in rest.items():
+        value[n] = (F.col(f"__s_{n}") * share + F.col(f"__f_{n}") * F.pow(F.lit(1.0 - share), F.col("__n") + 1)).alias(n)
+    return made.select(*bars.columns, *[value[n] for n in columns])
 
 
 def ema(bars: DataFrame, span: int, column: str = "close", time: str = "date") -> DataFrame:

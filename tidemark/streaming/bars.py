@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import Stream
-from tidemark.plans.job import ingest_batch
+from tidemark import schemas as S
+from tidemark.plans.job import ingest_batch, months_of, refresh_silver
 from tidemark.store import TableStore
 
 WIDTH = {"1h": "1 hour", "4h": "4 hours", "15m": "15 minutes", "5m": "5 minutes", "1m": "1 minute"}
@@ -35,3 +36,34 @@ def ingest_stream(bars: DataFrame, store: TableStore, stream: Stream, checkpoint
         ingest_batch(store, batch, stream, f"batch_{stream.name}_{number}", version).discard()
 
     return bars.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def follow(store: TableStore, table: str, silver: str, counts: str, checkpoint: str, files: int | None = None) -> StreamingQuery:
+    """Feed what is appended to a table of bars to its latest versions, and to counts of what came in.
+
+    The stream reads each appended file once; ``files`` bounds how many a
+    micro-batch takes. A micro-batch names the months to be brought up to date
+    and counts its rows by batch and interval under its own number, so that one
+    that is replayed replaces what it wrote. However the files are cut into
+    micro-batches, also by a late start, the tables come out the same but for
+    that number. Ends when all files are read; start it again for more.
+    """
+    schema = S.T.StructType([*S.BARS_SCHEMA.fields, S.T.StructField("month", S.T.StringType())])
+    reader = store.spark.readStream.schema(schema)
+    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
+
+    def each(batch: DataFrame, number: int) -> None:
+        months = months_of(batch)
+        refresh_silver(store, table, silver, months)
+        came = batch.groupBy("batch_id", "interval").agg(F.count("*").alias("n_bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+        if months:
+            store.replace_partitions(counts, came.withColumn("micro_batch", F.lit(number)), ("micro_batch",))
+
+    query = reader.parquet(store.path(table)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()
+
+
+def change_counts(store: TableStore, counts: str) -> DataFrame:
+    """What came in, by batch and interval, over all micro-batches."""
+    each = store.read(counts).groupBy("batch_id", "interval")
+    return each.agg(F.sum("n_bars").alias("n_bars"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
