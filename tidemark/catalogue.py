@@ -28,7 +28,7 @@ from tidemark.operators._scratch import folder
 from tidemark.plans import planner as P
 from tidemark.plans.run import run_job
 from tidemark.sources import chunks as N
-from tidemark.sources import etf, listings, providers
+from tidemark.sources import etf, files, listings, providers
 from tidemark.store import TableStore
 from tidemark.streaming.bars import bars_from_ticks, change_counts, follow
 
@@ -782,3 +782,92 @@ def change_feed_silver(spark, d):
 @query
 def change_feed_counts(spark, d):
     return change_counts(_followed(spark, d), "changes")
+
+
+def _in_order(lines, by):
+    """Lines as one text file in this order: a seed or a fund's holdings come as one."""
+    path = folder(lines.sparkSession, "file")
+    lines.repartition(1).sortWithinPartitions(by).select("value").write.text(path)
+    return path
+
+
+@query
+def provider_read_yahoo(spark, d):
+    """The price download as landed, read for a range of days whose last one counts."""
+    e, k = X.table(spark, d, "events"), F.col("event_id")
+    raw = e.select(
+        F.upper("event_type").alias("symbol"), F.lit("1h").alias("interval"), F.col("ts").cast("timestamp").alias("ts"), *[F.col("value").alias(c) for c in ("Open", "High", "Low", "Close")],
+        F.col("user_id").alias("Volume"), F.when(k % 15 == 0, 0.75).alias("Dividends"), F.lit(None).cast("double").alias("Stock Splits"),
+    )
+    path = folder(spark, "yahoo")
+    raw.write.parquet(path)
+    made = providers.read_bars(spark, path, "yahoo", "2024-01-03", "2024-01-20")
+    return made.groupBy("symbol", "date", "source", "has_corporate_action").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"), F.max("close").alias("close"))
+
+
+@query
+def etf_csv(spark, d):
+    """A fund's holdings as a CSV file with lines above its header."""
+    k = F.col("p_partkey")
+    value = F.concat(F.when(k % 100 == 0, "-").otherwise(F.concat(F.lit(" p"), k.cast("string"))), F.lit(',"'), F.col("p_name"), F.lit(', Inc",'), F.when(k % 7 == 0, "n/a").otherwise(F.concat(F.col("p_size").cast("string"), F.lit("%"))))
+    above = spark.createDataFrame([(-3, "Fund Holdings"), (-2, "as of,today"), (-1, "Ticker,Name,Weight")], "n long, value string")
+    path = _in_order(above.unionByName(X.table(spark, d, "part").select(k.alias("n"), value.alias("value"))), "n")
+    cfg = etf.EtfFile("SPY", "SP500", 0, skip_rows=2)
+    return etf.merge(etf.union_of([(cfg, etf.parse_csv(spark, path, cfg))])).select("symbol", F.array_join("universe_codes", ",").alias("universe_codes"), "weight", "company_name", "is_active")
+
+
+@query
+def ticker_seed(spark, d):
+    k = F.col("instrument_id")
+    row = F.concat_ws(",", F.concat(F.lit(" s"), k.cast("string")), F.col("s_name"), F.lit("Tech"), F.lit("equity"), F.when(k % 3 == 0, "no").when(k % 3 == 1, "Yes").otherwise(""),
+                      F.when(k % 4 == 0, "2020-13-01").otherwise("2020-02-03"), F.when(k % 5 == 0, "x").otherwise("1.5"), F.lit("large"), F.lit(""), F.lit("1999-1-1"), F.lit(" n "))
+    head = spark.createDataFrame([(-1, ",".join(S.TICKER_SCHEMA.names))], "n long, value string")
+    path = _in_order(head.unionByName(X.suppliers(spark, d).select(k.alias("n"), row.alias("value"))), "n")
+    return files.read_tickers(spark, path).select("symbol", "name", "active", "added_date", "min_price", "history_start", "ipo_date", "notes")
+
+
+@query
+def strategy_seed(spark, d):
+    head = spark.createDataFrame([(-1, "strategy,entry_indicators")], "n long, value string")
+    rows = X.table(spark, d, "nation").select(F.col("n_nationkey").alias("n"), F.concat(F.col("n_name"), F.lit(',"rsi, ema'), F.col("n_regionkey").cast("string"), F.lit(' ,macd"')).alias("value"))
+    made = files.read_strategies(spark, _in_order(head.unionByName(rows), "n"))
+    return made.select("strategy", F.array_join("entry_indicators", "|").alias("entry_indicators"))
+
+
+@query
+def raw_landing(spark, d):
+    """A directory file kept as it came, and parsed from there."""
+    path = files.land_text(X.nasdaq_lines(spark, d), folder(spark, "raw"), "nasdaq", "2026-01-02")
+    return listings.parse_nasdaq(spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())).drop("line_no")
+
+
+@query
+def threshold_override(spark, d):
+    """A stream's own limits on moves and gaps."""
+    own = replace(STREAMS["daily"], thresholds={"price_change_pct_threshold": 20.0, "gap_threshold": 5.0}, additional_rules=())
+    return V.rule_hits(V.validate(X.daily_bars(spark, d), own))
+
+
+@query
+def trade_count_rule(spark, d):
+    own = replace(STREAMS["daily"], additional_rules=(("trade_count_positive", "warning", "flag_record"),))
+    v = F.col("volume")
+    return V.rule_hits(V.validate(X.daily_bars(spark, d).withColumn("trade_count", F.when(v % 9 == 7, 0).when(v % 9 == 8, -1).when(v % 9 != 6, F.col("trade_count"))), own))
+
+
+@query
+def seed_if_empty(spark, d):
+    """What a table holds after it was created, seeded, and seeded again with something else."""
+    store, rows = TableStore(spark, folder(spark, "store")), S.conform(X.instruments(spark, d), S.INSTRUMENT_SCHEMA)
+    made = [store.create("instrument", S.INSTRUMENT_SCHEMA), store.seed("instrument", rows), store.seed("instrument", rows.limit(1)), store.create("instrument", S.INSTRUMENT_SCHEMA)]
+    told = F.lit(",".join(str(m).lower() for m in made))
+    return store.read("instrument").select("instrument_id", "asset_class", "figi", told.alias("made"))
+
+
+@query
+def append_batches(spark, d):
+    """Feeds appended group by group to a table in partitions."""
+    store, rows = TableStore(spark, folder(spark, "store")), X.feeds(spark, d)
+    for group in "ABCD":
+        store.append("feeds", rows.where(F.col("batch_group") == group), ("batch_group",))
+    return store.read("feeds").groupBy("batch_group", "is_active").agg(F.count("*").alias("n"), F.sum("instrument_id").alias("ids"))

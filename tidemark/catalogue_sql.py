@@ -286,3 +286,18 @@ ORACLE_SQL |= {
     "change_feed_counts": f"""WITH {HISTORY}, {_classified()}, a AS (SELECT date, interval, 'b0' AS batch_id FROM stored UNION ALL SELECT date, interval, 'b1' FROM classified WHERE action = 'amend')
   SELECT batch_id, interval, count(*) AS n_bars, min(date) AS first_date, max(date) AS last_date FROM a GROUP BY batch_id, interval""",
 }
+_SEVERITY = "CASE rule " + " ".join(f"WHEN '{n}' THEN '{v}'" for n, v, _ in _RULES) + " ELSE 'warning' END"
+_HITS = "SELECT rule, " + _SEVERITY + " AS severity, count(*) AS hits FROM x GROUP BY rule"
+ORACLE_SQL |= {
+    "provider_read_yahoo": """SELECT upper(event_type) AS symbol, CAST(ts AS DATE) AS date, 'yahoo' AS source, event_id % 15 = 0 AS has_corporate_action, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS volume, max(value) AS close
+  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY ALL""",
+    "etf_csv": "SELECT 'P' || p_partkey AS symbol, 'SP500' AS universe_codes, CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS DOUBLE) / 100 END AS weight, p_name || ', Inc' AS company_name, TRUE AS is_active FROM part WHERE p_partkey % 100 <> 0",
+    "ticker_seed": """SELECT 'S' || s_suppkey AS symbol, s_name AS name, s_suppkey % 3 <> 0 AS active, CASE WHEN s_suppkey % 4 <> 0 THEN DATE '2020-02-03' END AS added_date,
+  CASE WHEN s_suppkey % 5 <> 0 THEN 1.5 END AS min_price, CAST(NULL AS DATE) AS history_start, CAST(NULL AS DATE) AS ipo_date, 'n' AS notes FROM supplier""",
+    "strategy_seed": "SELECT n_name AS strategy, 'rsi|ema' || n_regionkey || '|macd' AS entry_indicators FROM nation",
+    "raw_landing": ORACLE_SQL["listing_parse_nasdaq"],
+    "threshold_override": "WITH " + CHECKED.replace("* 100 > 50", "* 100 > 20").replace("* 100 > 15", "* 100 > 5") + f", x AS (SELECT unnest(fired) AS rule FROM checked) {_HITS}",
+    "trade_count_rule": f"WITH {CHECKED}, x AS (SELECT unnest(fired) AS rule FROM checked UNION ALL SELECT 'trade_count_positive' FROM checked WHERE volume % 9 IN (7, 8)) {_HITS}",
+    "seed_if_empty": f"WITH {UNIVERSE} SELECT instrument_id, asset_class, figi, 'true,true,false,false' AS made FROM instrument",
+    "append_batches": f"WITH {UNIVERSE} SELECT batch_group, is_active, count(*) AS n, CAST(sum(instrument_id) AS BIGINT) AS ids FROM feed GROUP BY ALL",
+}
