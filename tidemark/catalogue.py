@@ -871,3 +871,11 @@ def append_batches(spark, d):
     for group in "ABCD":
         store.append("feeds", rows.where(F.col("batch_group") == group), ("batch_group",))
     return store.read("feeds").groupBy("batch_group", "is_active").agg(F.count("*").alias("n"), F.sum("instrument_id").alias("ids"))
+
+
+@query
+def new_preview(spark, d):
+    """How many symbols are new, and the first five of them."""
+    new = U.new_symbols(_incoming_symbols(spark, d), X.listings(spark, d))
+    total = new.agg(F.count("*").alias("n_new"))
+    return U.preview(new).select("symbol", F.lit(total.first().n_new).alias("n_new"))

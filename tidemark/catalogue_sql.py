@@ -300,4 +300,5 @@ ORACLE_SQL |= {
     "trade_count_rule": f"WITH {CHECKED}, x AS (SELECT unnest(fired) AS rule FROM checked UNION ALL SELECT 'trade_count_positive' FROM checked WHERE volume % 9 IN (7, 8)) {_HITS}",
     "seed_if_empty": f"WITH {UNIVERSE} SELECT instrument_id, asset_class, figi, 'true,true,false,false' AS made FROM instrument",
     "append_batches": f"WITH {UNIVERSE} SELECT batch_group, is_active, count(*) AS n, CAST(sum(instrument_id) AS BIGINT) AS ids FROM feed GROUP BY ALL",
+    "new_preview": f"WITH {UNIVERSE}, {INCOMING_SYMBOLS}, n AS (SELECT symbol FROM inc WHERE symbol NOT IN (SELECT symbol FROM listing WHERE is_current)) SELECT symbol, (SELECT count(*) FROM n) AS n_new FROM n ORDER BY symbol LIMIT 5",
 }

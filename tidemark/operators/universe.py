@@ -52,6 +52,11 @@ def new_symbols(incoming: DataFrame, listing: DataFrame) -> DataFrame:
     return incoming.join(listing.where("is_current").select("symbol"), "symbol", "left_anti")
 
 
+def preview(rows: DataFrame, n: int = 5, order: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """The first ``n`` rows by ``order``, nulls last, for a person to look at; each task keeps ``n`` rows, not its whole sort."""
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
 def to_enrich(incoming: DataFrame, members: DataFrame, existing: DataFrame) -> DataFrame:
     """Universe members that are new or have no figi yet. ``existing``: symbol, figi."""
     wanted = incoming.join(members.select("symbol"), "symbol", "left_semi")
