@@ -125,6 +125,24 @@ def test_near_in_blocks_and_without_frequent_tokens(spark, monkeypatch):
     assert made_by(frame, 3, 90) == want
 
 
+def test_a_small_stray_is_met_by_a_larger_member_of_another_block(spark, monkeypatch):
+    """Each stray links only to one larger set, which the main component of the group holds."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(30)]
+    for i in range(40):
+        large = base + [f"m{i}.{j}" for j in range(5)]
+        lost = set(rng.sample(base, 6))
+        rows += [(100 + i, " ".join(large)), (200 + i, " ".join(w for w in large if w not in lost))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = components(rows, 1, 90)
+    assert {k[2] for k in want} == {0}
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    sets = jaccard._sets
+    monkeypatch.setattr(jaccard, "_sets", lambda *a: sets(*a).withColumn("grp", F.lit(1).cast("long")))
+    assert made_by(frame, 1, 90) == want
+
+
 def test_one_name_for_all_groups(nasty, spark, monkeypatch):
     """All sets in one group of many blocks: strays and visitors of several components are all compared."""
     rows, _ = many_copies(spark)

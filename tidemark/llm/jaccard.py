@@ -17,9 +17,10 @@ another group only if the matrix lets them reach the threshold:
 A group above ``BLOCK_ROWS`` or ``BLOCK_TOKENS`` is cut into blocks. All blocks,
 and all that open the group, are compared with the first block; two nodes that
 this has put into one component need no comparison, so that only nodes outside
-of the group's main component go on. They open other blocks as nodes open
-groups, by the matrix of tokens and blocks. A group of copies of one text
-thereby sends each set a few times, not once for every block. Links are passed
+of the group's main component go on. They open other blocks, and the group's
+main component opens them, as nodes open groups, by a matrix of tokens and
+blocks. A group of copies of one text thereby sends each set a few times, not
+once for every block. Links are passed
 on as stars, never as all pairs. Components come from the links by min-label
 propagation with pointer jumping. Counts cover all documents; nothing is capped.
 """
@@ -40,7 +41,7 @@ from tidemark.llm.words import lean, mix, slices, span_hash, span_sums, split_wo
 SHINGLE, PERCENT = 5, 80
 BASE = 0xE7037ED1A0B428DB
 FREQUENT_DOCS, FREQUENT_TOKENS = 8, 1 << 17
-BLOCK_ROWS, BLOCK_TOKENS = 2048, 1 << 20
+BLOCK_ROWS, BLOCK_TOKENS = 128, 1 << 20
 SLICE = 1 << 20
 SENT_BYTES = 4 << 20  # of sets in one batch from a worker
 
@@ -243,34 +244,45 @@ def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, shared
     """What groups of several blocks have to compare when all are compared with the first block.
 
     Two nodes of the group's main component are connected already. Members
-    outside of it open other blocks by the matrix of tokens and blocks; so do
-    visitors outside of it, while visitors of the main component see the
-    members outside of it only.
+    outside of it (strays) are also put into parts of their own. Whoever is
+    outside of the main component opens other blocks, whoever is inside opens
+    parts of strays, both by the matrix of tokens and places. A set opens
+    places for sets up to its own size only, so both ways are needed. A place
+    that many open has copies, and one that nobody opens isn't sent.
     """
-    label = components(found.select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b"))).select(F.col("node").alias("__node"), "label")
-    known = lambda df: df.where("blocks > 1").withColumn("node", _node("d1", "d2")).join(label, F.col("node") == F.col("__node"), "left").withColumn("label", F.coalesce("label", "node")).drop("__node", "node")
+    label = components(found.select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b")))
+    label = label.select(F.col("node").alias("__node"), "label")
+
+    def known(df: DataFrame) -> DataFrame:
+        df = df.where("blocks > 1").withColumn("node", _node("d1", "d2")).join(label, F.col("node") == F.col("__node"), "left")
+        return df.withColumn("label", F.coalesce("label", "node")).drop("__node", "node")
+
     members, visitors = written(known(members), "members"), written(known(visitors), "block-visitors")
-    main = members.groupBy("grp", "label").agg(F.count("*").alias("n")).groupBy("grp").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    outside = F.count_if(F.col("label") != F.col("main"))
-    grouped = lambda df, by: df.join(by.select(F.col("grp").alias("__grp"), *[c for c in by.columns if c != "grp"]), F.col("grp") == F.col("__grp")).drop("__grp")
-    strays = grouped(members, main).groupBy("grp", "main").agg(outside.alias("strays"))
-    guests = grouped(visitors, main).groupBy("grp").agg(outside.alias("guests"))
-    todo = strays.join(guests, "grp", "left").select("grp", "main", F.ceil(F.col("strays") / BLOCK_ROWS).cast("int").alias("parts"), "strays", F.coalesce("guests", F.lit(0)).alias("guests"))
-    todo = written(todo.where("strays > 0 or guests > 0"), "left-over")
-    members, visitors = grouped(members, todo), grouped(visitors, todo)
-    away, named, grp, block, parts, late, apart = F.col("label") != F.col("main"), ["id", "print", "d1", "d2"], F.col("grp"), F.col("block"), F.col("parts"), F.lit(-1), F.lit(-2)
-    seeking = members.where(away).select(*named, "grp", "block").unionAll(visitors.where(away).select(*named, "grp", F.lit(-1).alias("block")))
+    labels = members.groupBy("grp", "label").agg(F.count("*").alias("n")).groupBy("grp")
+    main = written(labels.agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("strays")), "main-components")
+    main = sent_if_small(main, F.lit(64)).withColumnRenamed("grp", "__grp")
+    away, named, block = F.col("label") != F.col("main"), ["id", "print", "d1", "d2"], F.col("block")
+    placed = lambda df: df.join(main, F.col("grp") == F.col("__grp")).withColumn("away", away).drop("__grp", "main", "label")
+    members, visitors = placed(members), placed(visitors)
+    part = F.pmod(F.xxhash64("d1"), F.ceil(F.col("strays") / BLOCK_ROWS)).cast("int")
+    hosts = members.where(block > 0).select(*named, "grp", F.lit(True).alias("late"), block.alias("at"))
+    hosts = hosts.unionAll(members.where("away").select(*named, "grp", F.lit(False).alias("late"), part.alias("at")))
+    seeking = members.where("away or (block > 0 and strays > 0)").select(*named, "grp", "away", "block")
+    seeking = seeking.unionAll(visitors.where("away or strays > 0").select(*named, "grp", "away", F.lit(-1).alias("block")))
+    seeking = written(seeking, "seeking")
     tokens = shared.drop("grp").withColumnRenamed("d1", "__d1")
-    held = tokens.join(members.select("d1", "grp", "block").where("block > 0"), F.col("d1") == F.col("__d1"))
-    fits = _reaches(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("block") != F.col("at_block"))
-    seen = tokens.join(seeking, F.col("d1") == F.col("__d1")).join(_matrix(held, percent, "grp", "block"), fits).select(*named, "grp", "at_block").distinct()
-    wanted = [
-        members.where("block > 0").select(*named, _to(grp, block, late, False).alias("to")),
-        seen.select(*named, _to(grp, F.col("at_block"), late, True).alias("to")),
-        members.where(away).select(*named, _to(grp, F.pmod("d1", parts), apart, False).alias("to")),
-        visitors.where(~away & (parts > 0)).select(*named, F.explode(_each_block(0, parts, lambda j: _to(grp, j, apart, True))).alias("to")),
-    ]
-    return wanted[0].unionAll(wanted[1]).unionAll(wanted[2]).unionAll(wanted[3])
+    sought = seeking.select(F.col("grp").alias("__grp"), F.col("away").alias("__away")).distinct()
+    held = hosts.join(sought, (F.col("grp") == F.col("__grp")) & (F.col("late") == F.col("__away")), "left_semi")
+    matrix = _matrix(tokens.join(held, F.col("d1") == F.col("__d1")), percent, "grp", "late", "at")
+    fits = _reaches(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("away") == F.col("at_late")) & (~F.col("away") | (block != F.col("at_at")))
+    seen = tokens.join(seeking, F.col("d1") == F.col("__d1")).join(matrix, fits)
+    seen = written(seen.select(*named, "grp", F.col("away").alias("late"), F.col("at_at").alias("at")).distinct(), "opened-places")
+    guests = seen.groupBy("grp", "late", "at").agg(F.floor(F.count("*") / BLOCK_ROWS).cast("int").alias("copies"))
+    guests = sent_if_small(written(guests, "places"), F.lit(24))
+    place = lambda seat, visits: _to(F.col("grp"), F.col("at"), -(seat * 2 + F.when(F.col("late"), 1).otherwise(2)), visits)
+    seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: place(seat, False))
+    host = hosts.join(guests, ["grp", "late", "at"]).select(*named, F.explode(seats).alias("to"))
+    return host.unionAll(seen.join(guests, ["grp", "late", "at"]).select(*named, place(F.pmod("d1", F.col("copies") + 1), True).alias("to")))
 
 
 def _compared(rows: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
