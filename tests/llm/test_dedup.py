@@ -117,6 +117,7 @@ def test_near_in_blocks_and_without_frequent_tokens(spark, monkeypatch):
     want = components(rows, 3, 90)
     assert made_by(frame, 3, 90) == want
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(jaccard, "VISITORS", 5)
     assert made_by(frame, 3, 90) == want
     monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 200)
     monkeypatch.setattr(jaccard, "FREQUENT_TOKENS", 0)
@@ -138,6 +139,7 @@ def test_a_small_stray_is_met_by_a_larger_member_of_another_block(spark, monkeyp
     want = components(rows, 1, 90)
     assert {k[2] for k in want} == {0}
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(jaccard, "VISITORS", 5)
     sets = jaccard._sets
     monkeypatch.setattr(jaccard, "_sets", lambda *a: sets(*a).withColumn("grp", F.lit(1).cast("long")))
     assert made_by(frame, 1, 90) == want
@@ -152,6 +154,7 @@ def test_one_name_for_all_groups(nasty, spark, monkeypatch):
         rows.append((1000 + i, " ".join(one[: len(one) * 9 // 10] + [f"b{i % 7}"] * rng.randrange(3))))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(jaccard, "VISITORS", 5)
     for name in ("one", "two"):
         sets = jaccard._sets
         group = F.lit(1).cast("long") if name == "one" else F.pmod("d1", F.lit(2)).cast("long")

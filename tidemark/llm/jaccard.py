@@ -14,15 +14,16 @@ another group only if the matrix lets them reach the threshold:
 * An opened group first bounds the overlap by its members' token union, and
   compares sets only if that reaches the threshold.
 
-A group above ``BLOCK_ROWS`` or ``BLOCK_TOKENS`` is cut into blocks. All blocks,
-and all that open the group, are compared with the first block; two nodes that
-this has put into one component need no comparison, so that only nodes outside
-of the group's main component go on. They open other blocks, and the group's
-main component opens them, as nodes open groups, by a matrix of tokens and
-blocks. A group of copies of one text thereby sends each set a few times, not
-once for every block. Links are passed
-on as stars, never as all pairs. Components come from the links by min-label
-propagation with pointer jumping. Counts cover all documents; nothing is capped.
+A group above ``BLOCK_ROWS`` or ``BLOCK_TOKENS`` is cut into blocks. All other
+blocks, and all that open the group, visit the first block, which has a copy for
+every ``VISITORS`` of them; two nodes that this has put into one component need
+no comparison, so that only nodes outside of the group's main component go on.
+They open blocks, their own among them, and the group's main component opens
+them, as nodes open groups, by a matrix of tokens and blocks. A group of copies
+of one text thereby sends each set about once, not once for every block. Links
+are passed on as stars, never as all pairs. Components come from the links by
+min-label propagation with pointer jumping. Counts cover all documents; nothing
+is capped.
 """
 
 from __future__ import annotations
@@ -35,13 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.scratch import sent_if_small, written
+from tidemark.llm.scratch import discard, sent_if_small, written
 from tidemark.llm.words import lean, mix, slices, span_hash, span_sums, split_words, text_bytes
 
 SHINGLE, PERCENT = 5, 80
 BASE = 0xE7037ED1A0B428DB
 FREQUENT_DOCS, FREQUENT_TOKENS = 8, 1 << 17
 BLOCK_ROWS, BLOCK_TOKENS = 128, 1 << 20
+VISITORS = 1024  # visitors of one copy of a block; they are streamed, only the block is held
 SLICE = 1 << 20
 SENT_BYTES = 4 << 20  # of sets in one batch from a worker
 
@@ -134,6 +136,7 @@ def _frequent(rows: DataFrame, shingle: int, percent: int) -> np.ndarray:
     if lowest is None:
         return np.zeros(0, dtype=np.uint64)
     found = often.where(F.col("level") >= lowest).select("token").toArrow()["token"].to_numpy()
+    discard(often)
     return np.sort(found.view(np.uint64))
 
 
@@ -172,14 +175,21 @@ def _shared(nodes: DataFrame) -> DataFrame:
     """(d1, n, grp, pos, token): prefix tokens that more than one node has."""
     each = nodes.select("d1", "n", "grp", F.posexplode("prefix").alias("pos", "token"))
     often = written(each.groupBy(F.col("token").alias("__token")).agg(F.count("*").alias("holders")).where("holders > 1").drop("holders"), "shared-tokens")
-    return written(each.join(often, F.col("token") == F.col("__token")).drop("__token"), "shared-prefixes")
+    shared = written(each.join(often, F.col("token") == F.col("__token")).drop("__token"), "shared-prefixes")
+    discard(often)
+    return shared
 
 
 def _matrix(shared: DataFrame, percent: int, *group: str) -> DataFrame:
-    """The matrix of tokens and groups: sizes of a group's members that hold a token, and its first position in them."""
-    short = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    """The matrix of tokens and groups: sizes of a group's members that hold a token, its first position in them, and how many they are."""
     held = [F.col(g).alias(f"at_{g}") for g in group]
-    return shared.where(F.col("pos") < short).groupBy(F.col("token").alias("held"), *held).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("first"))
+    cells = shared.where(_in_matrix(percent)).groupBy(F.col("token").alias("held"), *held)
+    return cells.agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("first"), F.count("*").alias("holders"))
+
+
+def _in_matrix(percent: int) -> Column:
+    """Whether a token's position lets its set be found by a set of its size or more."""
+    return F.col("pos") < F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
 
 
 def _reaches(percent: int) -> Column:
@@ -206,34 +216,27 @@ def _to(grp: Column, i: Column, j: Column, visits: bool) -> Column:
     return F.struct(grp.alias("grp"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(visits).alias("visits"))
 
 
-def _each_block(first: int, blocks: Column, place) -> Column:
-    """``place(j)`` for each block from ``first`` on."""
-    return F.when(blocks > first, F.transform(F.sequence(F.lit(first), blocks - 1), place))
-
-
-def _nowhere() -> Column:
-    return F.array().cast("array<struct<grp:bigint,i:int,j:int,visits:boolean>>")
-
-
 def links(rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a1, a2, b1, b2): links between nodes as stars; connected nodes are those of the full link graph."""
     shared = _shared(nodes)
     nodes = nodes.join(shared.select("d1").distinct(), "d1", "left_semi")
     opened = written(_openings(shared, percent), "openings")
     targets = opened.groupBy(F.col("target").alias("grp")).agg(F.count("*").alias("guests"))
-    more = F.floor(F.coalesce("guests", F.lit(0)) / BLOCK_ROWS).cast("int")  # copies of the first block, for many visitors
-    active = written(_blocks(nodes).join(targets, "grp", "left").where("rows > 1 or guests > 0").select(F.col("grp").alias("__grp"), "blocks", more.alias("copies")), "active-groups")
+    groups = _blocks(nodes).join(targets, "grp", "left").withColumn("guests", F.coalesce("guests", F.lit(0)))
+    come = F.col("guests") + F.when(F.col("blocks") > 1, F.col("rows")).otherwise(0)
+    groups = groups.where("rows > 1 or guests > 0").select(F.col("grp").alias("__grp"), "blocks", F.floor(come / VISITORS).cast("int").alias("copies"))
+    active = written(groups, "active-groups")
     slim = nodes.select("id", "print", "d1", "d2", "grp")
+    visitors = written(slim.drop("grp").join(opened, "d1").withColumnRenamed("target", "grp"), "visitors")
+    discard(opened)
     at_home = F.col("grp") == F.col("__grp")
     members = slim.join(active, at_home).drop("__grp").withColumn("block", F.pmod("d1", "blocks").cast("int"))
-    visitors = written(slim.drop("grp").join(opened, "d1").withColumnRenamed("target", "grp"), "visitors")
-    zero, grp, block = F.lit(0), F.col("grp"), F.col("block")
-    copy = lambda s: F.lit(-2) - s
-    copies = F.coalesce(_each_block(1, F.col("copies") + 1, lambda s: _to(grp, zero, copy(s), False)), _nowhere())
-    own = F.when(block == 0, F.concat(_each_block(0, F.col("blocks"), lambda j: _to(grp, zero, j, False)), copies)).otherwise(F.array(_to(grp, zero, block, True), _to(grp, block, block, False)))
+    first = lambda seat, visits: _to(F.col("grp"), F.lit(0), -seat, visits)
+    seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: first(seat, False))
+    seat = first(F.pmod(F.xxhash64("d1"), F.col("copies") + 1), True)
+    own = F.when(F.col("block") == 0, seats).otherwise(F.array(seat))
     wanted = members.select("id", "print", "d1", "d2", F.explode(own).alias("to"))
-    seat = F.pmod("d1", F.col("copies") + 1)
-    wanted = wanted.unionAll(visitors.join(active, at_home).select("id", "print", "d1", "d2", _to(grp, zero, F.when(seat == 0, zero).otherwise(copy(seat)), True).alias("to")))
+    wanted = wanted.unionAll(visitors.join(active, at_home).select("id", "print", "d1", "d2", seat.alias("to")))
     found = written(_compared(rows, wanted, shingle, percent), "links")
     if active.where("blocks > 1").isEmpty():
         return found
@@ -245,9 +248,10 @@ def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, shared
 
     Two nodes of the group's main component are connected already. Members
     outside of it (strays) are also put into parts of their own. Whoever is
-    outside of the main component opens other blocks, whoever is inside opens
-    parts of strays, both by the matrix of tokens and places. A set opens
-    places for sets up to its own size only, so both ways are needed. A place
+    outside of the main component opens blocks but the first, whoever is inside
+    opens parts of strays, both by the matrix of tokens and places. A set opens
+    places for sets up to its own size only, so both ways are needed. A stray
+    opens its own block only for a token that another member holds. A place
     that many open has copies, and one that nobody opens isn't sent.
     """
     label = components(found.select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b")))
@@ -274,10 +278,11 @@ def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, shared
     sought = seeking.select(F.col("grp").alias("__grp"), F.col("away").alias("__away")).distinct()
     held = hosts.join(sought, (F.col("grp") == F.col("__grp")) & (F.col("late") == F.col("__away")), "left_semi")
     matrix = _matrix(tokens.join(held, F.col("d1") == F.col("__d1")), percent, "grp", "late", "at")
-    fits = _reaches(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("away") == F.col("at_late")) & (~F.col("away") | (block != F.col("at_at")))
-    seen = tokens.join(seeking, F.col("d1") == F.col("__d1")).join(matrix, fits)
+    fits = _reaches(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("away") == F.col("at_late"))
+    alone = F.col("away") & (block == F.col("at_at")) & (F.col("holders") == 1) & _in_matrix(percent)
+    seen = tokens.join(seeking, F.col("d1") == F.col("__d1")).join(matrix, fits & ~alone)
     seen = written(seen.select(*named, "grp", F.col("away").alias("late"), F.col("at_at").alias("at")).distinct(), "opened-places")
-    guests = seen.groupBy("grp", "late", "at").agg(F.floor(F.count("*") / BLOCK_ROWS).cast("int").alias("copies"))
+    guests = seen.groupBy("grp", "late", "at").agg(F.floor(F.count("*") / VISITORS).cast("int").alias("copies"))
     guests = sent_if_small(written(guests, "places"), F.lit(24))
     place = lambda seat, visits: _to(F.col("grp"), F.col("at"), -(seat * 2 + F.when(F.col("late"), 1).otherwise(2)), visits)
     seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: place(seat, False))
@@ -405,7 +410,7 @@ class Block:
         """One link from each node to the first of its component."""
         if not self.ready:
             self.prepare()
-        return [(*self.names[self.root(i)], *self.names[i]) for i in range(len(self.names)) if self.root(i) != i]
+        return [(*self.names[self.root(i)], *self.names[i]) for i in range(len(self.names)) if self.names[self.root(i)] != self.names[i]]
 
 
 def components(edges: DataFrame) -> DataFrame:
