@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,71 @@ def test_a_small_stray_is_met_by_a_larger_member_of_another_block(spark, monkeyp
     assert made_by(frame, 1, 90) == want
 
 
+@pytest.mark.parametrize(("shingle", "percent", "kind"), [(3, 90, "put in"), (1, 90, "left out")])
+def test_strays_of_a_large_group(spark, monkeypatch, shingle, percent, kind):
+    """Copies of one text too far from each other for a link, and pairs of such: those with words put in open few blocks."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(60)]
+    for i in range(200):
+        if kind == "put in":
+            changed = set(rng.sample(range(150), rng.randrange(8, 20)))
+            copy = [f"c{i}.{j}" if j in changed else w for j, w in enumerate(base)]
+        else:
+            lost = set(rng.sample(base, rng.randrange(16, 40)))
+            copy = [w for w in base if w not in lost]
+        rows += [(100 + i, " ".join(copy))] + [(1000 + i, " ".join([*copy[1:], f"z{i}"]))] * (i % 8 == 0)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    sets, written, opened = jaccard._sets, jaccard.written, []
+    monkeypatch.setattr(jaccard, "_sets", lambda *a: sets(*a).withColumn("grp", F.lit(1).cast("long")))
+
+    def spied(df, name):
+        table = written(df, name)
+        if name == "opened-places":
+            opened.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "written", spied)
+    want = components(rows, shingle, percent)
+    assert {(1000, 100), (1008, 108)} <= {(i, c) for i, _, c in want}
+    assert made_by(frame, shingle, percent) == want
+    assert opened and (kind == "left out" or opened[0] < 3 * 225)  # of 225 strays; 31 blocks by each would be about 7000
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90])
+def test_differences_to_the_pivot_show_a_token_of_each_link(percent):
+    """Of sets that link, one of them not to the pivot, the shown tokens hold a shared one that stands where both allow the link."""
+    rng = random.Random(percent)
+    whole, part, pairs = 100 + percent, 100 - percent, 0
+    for _ in range(60):
+        core = rng.sample(range(1, 400), rng.randrange(5, 60))
+        sets = []
+        for _ in range(40):
+            near = rng.choice(sets) if sets and rng.random() < 0.6 else set(core)
+            one = {x for x in near if rng.random() > rng.choice([0, 0.05, 0.3])} | set(rng.sample(range(400, 460), rng.randrange(rng.choice([1, 4, 20]))))
+            sets.append(one or {1})
+        arrays = [np.array(sorted(s), dtype=np.uint64) for s in sets]
+        block = jaccard.Block(percent, among=True, ranks=True)
+        for i, tokens in enumerate(arrays):
+            block.add((i, 0), tokens, visits=i >= 12)
+        pivot = block.pivot
+        shown = {name[0]: (n, m, first.tolist()) for name, n, m, first in block.ranked if m}
+        links = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+        far = {i for i in shown if not links(sets[i], set(pivot.tolist()))}
+        for a in far:
+            for b in set(shown) - {a}:
+                if links(sets[a], sets[b]):
+                    (n, m, one), (k, j, two) = shown[a], shown[b]
+                    both = [x for x in one if x in two]
+                    pairs += 1
+                    assert any(
+                        whole * m + part * n - 2 * whole * one.index(x) >= whole * j - part * k and whole * j + part * k - 2 * whole * two.index(x) >= whole * m - part * n
+                        for x in both
+                    )
+    assert pairs > 200
+
+
 def test_one_name_for_all_groups(nasty, spark, monkeypatch):
     """All sets in one group of many blocks: strays and visitors of several components are all compared."""
     rows, _ = many_copies(spark)

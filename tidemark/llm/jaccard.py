@@ -17,10 +17,15 @@ another group only if the matrix lets them reach the threshold:
 A group above ``BLOCK_ROWS`` or ``BLOCK_TOKENS`` is cut into blocks. All other
 blocks, and all that open the group, visit the first block, which has a copy for
 every ``VISITORS`` of them; two nodes that this has put into one component need
-no comparison, so that only nodes outside of the group's main component go on.
-They open blocks, their own among them, and the group's main component opens
-them, as nodes open groups, by a matrix of tokens and blocks. A group of copies
-of one text thereby sends each set about once, not once for every block. Links
+no comparison, so that only nodes outside of the component of the group's pivot
+(strays) go on. The pivot is the member of the first block nearest to what most
+of its members hold. The distance of two sets, the size of their symmetric
+difference, is that of their differences to the pivot, and a stray is too far
+from the pivot for a link; so a stray and any set that it links to share a part
+of these differences. Prefix and position filters over them, those rare in the
+first block first, name the blocks that a stray opens (``_left_over``). What
+copies of one text share is in no difference, so a group of copies sends each
+set about once, not once for every block. Links
 are passed on as stars, never as all pairs. Components come from the links by
 min-label propagation with pointer jumping. Counts cover all documents; nothing
 is capped.
@@ -46,6 +51,7 @@ BLOCK_ROWS, BLOCK_TOKENS = 128, 1 << 20
 VISITORS = 1024  # visitors of one copy of a block; they are streamed, only the block is held
 SLICE = 1 << 20
 SENT_BYTES = 4 << 20  # of sets in one batch from a worker
+RANKED_TOKENS = 1 << 18  # of prefixes in one batch from a worker
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -171,11 +177,12 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.array([p.sum(dtype=np.uint64)]).view(np.int64)[0]) for p in parts)
 
 
-def _shared(nodes: DataFrame) -> DataFrame:
-    """(d1, n, grp, pos, token): prefix tokens that more than one node has."""
-    each = nodes.select("d1", "n", "grp", F.posexplode("prefix").alias("pos", "token"))
-    often = written(each.groupBy(F.col("token").alias("__token")).agg(F.count("*").alias("holders")).where("holders > 1").drop("holders"), "shared-tokens")
-    shared = written(each.join(often, F.col("token") == F.col("__token")).drop("__token"), "shared-prefixes")
+def _shared(nodes: DataFrame, *within: str) -> DataFrame:
+    """``nodes`` by (pos, token) of their prefix: tokens that more than one node has, or more than one of those alike in ``within``."""
+    each = nodes.select("*", F.posexplode("prefix").alias("pos", "token")).drop("prefix")
+    often = each.groupBy("token", *within).agg(F.count("*").alias("holders")).where("holders > 1").drop("holders")
+    often = written(often, "shared-tokens")
+    shared = written(each.join(often, ["token", *within]), "shared-prefixes")
     discard(often)
     return shared
 
@@ -211,14 +218,14 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     return groups.select("grp", "rows", F.least(blocks, F.col("rows").cast("int")).alias("blocks"))
 
 
-def _to(grp: Column, i: Column, j: Column, visits: bool) -> Column:
-    """One place where a set is compared: as a member of block ``i``, or as a visitor; ``j`` tells comparisons of a block apart."""
-    return F.struct(grp.alias("grp"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(visits).alias("visits"))
+def _to(grp: Column, i: Column, j: Column, visits: bool, ranks: Column) -> Column:
+    """One place where a set is compared: as a member of block ``i``, or as a visitor; ``j`` tells comparisons of a block apart, ``ranks`` asks for prefixes."""
+    return F.struct(grp.alias("grp"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(visits).alias("visits"), ranks.alias("ranks"))
 
 
 def links(rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a1, a2, b1, b2): links between nodes as stars; connected nodes are those of the full link graph."""
-    shared = _shared(nodes)
+    shared = _shared(nodes.select("d1", "n", "grp", "prefix"))
     nodes = nodes.join(shared.select("d1").distinct(), "d1", "left_semi")
     opened = written(_openings(shared, percent), "openings")
     targets = opened.groupBy(F.col("target").alias("grp")).agg(F.count("*").alias("guests"))
@@ -231,28 +238,35 @@ def links(rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> Data
     discard(opened)
     at_home = F.col("grp") == F.col("__grp")
     members = slim.join(active, at_home).drop("__grp").withColumn("block", F.pmod("d1", "blocks").cast("int"))
-    first = lambda seat, visits: _to(F.col("grp"), F.lit(0), -seat, visits)
+    first = lambda seat, visits: _to(F.col("grp"), F.lit(0), -seat, visits, F.col("blocks") > 1)
     seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: first(seat, False))
     seat = first(F.pmod(F.xxhash64("d1"), F.col("copies") + 1), True)
     own = F.when(F.col("block") == 0, seats).otherwise(F.array(seat))
     wanted = members.select("id", "print", "d1", "d2", F.explode(own).alias("to"))
     wanted = wanted.unionAll(visitors.join(active, at_home).select("id", "print", "d1", "d2", seat.alias("to")))
-    found = written(_compared(rows, wanted, shingle, percent), "links")
+    made = written(_compared(rows, wanted, shingle, percent), "links")
+    found = _stars(made)
     if active.where("blocks > 1").isEmpty():
         return found
-    return found.unionAll(_compared(rows, _left_over(members, visitors.join(active, at_home).drop("__grp"), found, shared, percent), shingle, percent))
+    apart = made.where("prefix is not null").select(F.col("a1").alias("d1"), "n", "m", "grp", "prefix")
+    return found.unionAll(_stars(_compared(rows, _left_over(members, visitors.join(active, at_home).drop("__grp"), found, apart, percent), shingle, percent)))
 
 
-def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+def _stars(made: DataFrame) -> DataFrame:
+    """The links among the rows of ``_compared``."""
+    return made.where("prefix is null").select("a1", "a2", "b1", "b2")
+
+
+def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
     """What groups of several blocks have to compare when all are compared with the first block.
 
-    Two nodes of the group's main component are connected already. Members
-    outside of it (strays) are also put into parts of their own. Whoever is
-    outside of the main component opens blocks but the first, whoever is inside
-    opens parts of strays, both by the matrix of tokens and places. A set opens
-    places for sets up to its own size only, so both ways are needed. A stray
-    opens its own block only for a token that another member holds. A place
-    that many open has copies, and one that nobody opens isn't sent.
+    Two nodes of the pivot's component are connected already, so one of a pair
+    is a stray: one outside of it. Strays open blocks but the first, whose sets
+    have met all; visitors inside of the pivot's component open parts of strays.
+    Both by the matrix of tokens and places, over the differences to the pivot
+    (``apart``). A stray opens its own block only for a token that another
+    member holds. A place that many open has copies, and one that nobody opens
+    isn't sent.
     """
     label = components(found.select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b")))
     label = label.select(F.col("node").alias("__node"), "label")
@@ -262,43 +276,67 @@ def _left_over(members: DataFrame, visitors: DataFrame, found: DataFrame, shared
         return df.withColumn("label", F.coalesce("label", "node")).drop("__node", "node")
 
     members, visitors = written(known(members), "members"), written(known(visitors), "block-visitors")
-    labels = members.groupBy("grp", "label").agg(F.count("*").alias("n")).groupBy("grp")
-    main = written(labels.agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("strays")), "main-components")
+    pivots = members.join(apart.where("m = 0").select("grp", "d1").distinct(), ["grp", "d1"]).select("grp", F.col("label").alias("main"))
+    labels = members.groupBy("grp", "label").agg(F.count("*").alias("n")).join(pivots, "grp", "left").withColumn("main", F.coalesce("main", F.lit("")))
+    main = written(labels.groupBy("grp", "main").agg(F.sum(F.when(F.col("label") != F.col("main"), F.col("n")).otherwise(0)).alias("strays")), "main-components")
     main = sent_if_small(main, F.lit(64)).withColumnRenamed("grp", "__grp")
     away, named, block = F.col("label") != F.col("main"), ["id", "print", "d1", "d2"], F.col("block")
     placed = lambda df: df.join(main, F.col("grp") == F.col("__grp")).withColumn("away", away).drop("__grp", "main", "label")
-    members, visitors = placed(members), placed(visitors)
+    members, visitors = placed(members).where(block > 0), placed(visitors)
     part = F.pmod(F.xxhash64("d1"), F.ceil(F.col("strays") / BLOCK_ROWS)).cast("int")
-    hosts = members.where(block > 0).select(*named, "grp", F.lit(True).alias("late"), block.alias("at"))
+    hosts = members.select(*named, "grp", F.lit(True).alias("late"), block.alias("at"))
     hosts = hosts.unionAll(members.where("away").select(*named, "grp", F.lit(False).alias("late"), part.alias("at")))
-    seeking = members.where("away or (block > 0 and strays > 0)").select(*named, "grp", "away", "block")
+    seeking = members.where("away").select(*named, "grp", "away", "block")
     seeking = seeking.unionAll(visitors.where("away or strays > 0").select(*named, "grp", "away", F.lit(-1).alias("block")))
     seeking = written(seeking, "seeking")
-    tokens = shared.drop("grp").withColumnRenamed("d1", "__d1")
     sought = seeking.select(F.col("grp").alias("__grp"), F.col("away").alias("__away")).distinct()
     held = hosts.join(sought, (F.col("grp") == F.col("__grp")) & (F.col("late") == F.col("__away")), "left_semi")
-    matrix = _matrix(tokens.join(held, F.col("d1") == F.col("__d1")), percent, "grp", "late", "at")
-    fits = _reaches(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("away") == F.col("at_late"))
-    alone = F.col("away") & (block == F.col("at_at")) & (F.col("holders") == 1) & _in_matrix(percent)
-    seen = tokens.join(seeking, F.col("d1") == F.col("__d1")).join(matrix, fits & ~alone)
+    tokens = _shared(apart.join(sought, F.col("grp") == F.col("__grp"), "left_semi"), "grp")
+    tokens = tokens.withColumnsRenamed({"d1": "__d1", "grp": "__grp"})
+    of_set = (F.col("d1") == F.col("__d1")) & (F.col("grp") == F.col("__grp"))
+    matrix = _apart_matrix(tokens.join(held, of_set), percent, "grp", "late", "at")
+    fits = _meets(percent) & (F.col("grp") == F.col("at_grp")) & (F.col("away") == F.col("at_late"))
+    alone = F.col("away") & (block == F.col("at_at")) & (F.col("holders") == 1)
+    seen = tokens.join(seeking, of_set).join(matrix, fits & ~alone)
     seen = written(seen.select(*named, "grp", F.col("away").alias("late"), F.col("at_at").alias("at")).distinct(), "opened-places")
     guests = seen.groupBy("grp", "late", "at").agg(F.floor(F.count("*") / VISITORS).cast("int").alias("copies"))
     guests = sent_if_small(written(guests, "places"), F.lit(24))
-    place = lambda seat, visits: _to(F.col("grp"), F.col("at"), -(seat * 2 + F.when(F.col("late"), 1).otherwise(2)), visits)
+    place = lambda seat, visits: _to(F.col("grp"), F.col("at"), -(seat * 2 + F.when(F.col("late"), 1).otherwise(2)), visits, F.lit(False))
     seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: place(seat, False))
     host = hosts.join(guests, ["grp", "late", "at"]).select(*named, F.explode(seats).alias("to"))
     return host.unionAll(seen.join(guests, ["grp", "late", "at"]).select(*named, place(F.pmod("d1", F.col("copies") + 1), True).alias("to")))
 
 
+def _apart_matrix(tokens: DataFrame, percent: int, *place: str) -> DataFrame:
+    """The matrix of tokens and places: sizes of a place's sets whose difference to the pivot shows a token, and bounds for ``_meets``."""
+    size, m = (100 - percent) * F.col("n"), (100 + percent) * F.col("m")
+    cells = tokens.groupBy(F.col("token").alias("held"), *[F.col(p).alias(f"at_{p}") for p in place])
+    room = m + size - (200 + 2 * percent) * F.col("pos")
+    return cells.agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(room).alias("room"), F.min(m - size).alias("least"), F.count("*").alias("holders"))
+
+
+def _meets(percent: int) -> Column:
+    """Whether a set may reach the threshold with one of a place, by one token of their differences to the pivot.
+
+    Sets of n and n' tokens, m and m' of them or of the pivot's in their
+    differences to it, link if those differ by at most (100 - percent) / (100 +
+    percent) * (n + n'); the differences then share m + m' less that, halved,
+    and no fewer stand from the first shared token on, in either.
+    """
+    n, size, m = F.col("n"), (100 - percent) * F.col("n"), (100 + percent) * F.col("m")
+    sizes = (F.col("hi") * 100 >= n * percent) & (F.col("lo") * percent <= n * 100)
+    return (F.col("token") == F.col("held")) & sizes & (m + size - (200 + 2 * percent) * F.col("pos") >= F.col("least")) & (F.col("room") >= m - size)
+
+
 def _compared(rows: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links as stars, of sets of (id, print, d1, d2) brought to the place ``to``."""
+    """Links as stars, of sets of (id, print, d1, d2) brought to the place ``to``; where that asks for them, also (a1, a2, grp, n, m, prefix) of visitors, and of the pivot with m = 0."""
     fetch = written(wanted.groupBy("id", "print", "d1", "d2").agg(F.collect_list("to").alias("to")), "fetch-sets")
-    other = sent_if_small(fetch, _width("id") + 24 + 24 * F.size("to")).select(F.col("id").alias("__id"), F.col("print").alias("__print"), "d1", "d2", "to")
+    other = sent_if_small(fetch, _width("id") + 24 + 25 * F.size("to")).select(F.col("id").alias("__id"), F.col("print").alias("__print"), "d1", "d2", "to")
     texts = rows.join(other, (F.col("print") == F.col("__print")) & F.col("id").eqNullSafe(F.col("__id"))).select("text", "d1", "d2", "to")
 
     def packed(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["grp", "i", "j", "visits", "d1", "d2", "tokens"])
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["grp", "i", "j", "visits", "ranks", "d1", "d2", "tokens"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +346,7 @@ def _compared(rows: DataFrame, wanted: DataFrame, shingle: int, percent: int) ->
                 for tokens, d1, d2, to in zip(shingle_sets(part.column(0), shingle), *(part.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
                     raw = tokens.tobytes()
                     for k in to:
-                        out.append((k["grp"], k["i"], k["j"], k["visits"], d1, d2, raw))
+                        out.append((k["grp"], k["i"], k["j"], k["visits"], k["ranks"], d1, d2, raw))
                         size += len(raw)
                         if size > SENT_BYTES:
                             yield packed(out)
@@ -316,40 +354,48 @@ def _compared(rows: DataFrame, wanted: DataFrame, shingle: int, percent: int) ->
                 if out:
                     yield packed(out)
 
-    sent = texts.mapInArrow(lean(send), "grp long, i int, j int, visits boolean, d1 long, d2 long, tokens binary")
+    sent = texts.mapInArrow(lean(send), "grp long, i int, j int, visits boolean, ranks boolean, d1 long, d2 long, tokens binary")
     dealt = sent.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "visits", "d1", "d2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Block | None = None
-        key, found = None, []
+        key, found, held = None, [], 0
 
         def flush():
-            rows_ = np.array(found, dtype=np.int64).reshape(-1, 4)
-            return pa.RecordBatch.from_arrays([pa.array(rows_[:, c]) for c in range(4)], names=["a1", "a2", "b1", "b2"])
+            kinds = [pa.int64()] * 7 + [pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names=["a1", "a2", "b1", "b2", "grp", "n", "m", "prefix"])
 
         for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-            for grp, i, j, visits, d1, d2, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for grp, i, j, visits, ranks, d1, d2, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (grp, i, j) != key:
                     if block:
-                        found += block.stars()
-                    key, block = (grp, i, j), Block(percent, among=i == j)
+                        found += block.rows(key[0])
+                    key, block = (grp, i, j), Block(percent, among=i == j, ranks=ranks)
                 block.add((d1, d2), np.frombuffer(tokens, dtype=np.uint64), visits)
-            if len(found) > 10_000:
+            if block:
+                ranked = block.take_ranked(key[0])
+                found += ranked
+                held += sum(len(r[-1]) for r in ranked)
+            if len(found) > 10_000 or held > RANKED_TOKENS:
                 yield flush()
-                found = []
+                found, held = [], 0
         if block:
-            found += block.stars()
+            found += block.rows(key[0])
         if found:
             yield flush()
 
-    return dealt.mapInArrow(lean(compare), "a1 long, a2 long, b1 long, b2 long")
+    return dealt.mapInArrow(lean(compare), "a1 long, a2 long, b1 long, b2 long, grp long, n long, m long, prefix array<long>")
 
 
 class Block:
-    """Members of a group, against each other and against visitors that come after them."""
+    """Members of a group, against each other and against visitors that come after them.
+
+    With ``ranks``, the prefix of each visitor's difference to the pivot is kept too, what few members' differences hold first.
+    """
 
-    def __init__(self, percent: int, among: bool):
+    def __init__(self, percent: int, among: bool, ranks: bool = False):
         self.percent, self.among, self.names, self.sets, self.parent, self.ready = percent, among, [], [], [], False
+        self.ranks, self.ranked = ranks, []
 
     def add(self, name: tuple[int, int], tokens: np.ndarray, visits: bool) -> None:
         if self.names and name == self.names[-1]:
@@ -363,6 +409,8 @@ class Block:
             self.prepare()
         self.names.append(name)
         self.parent.append(len(self.parent))
+        if self.ranks:
+            self.rank(name, tokens)
         for other in self.near(tokens, self.members):
             self.join(len(self.parent) - 1, other)
 
@@ -377,12 +425,56 @@ class Block:
         head = np.concatenate([[True], every[1:] != every[:-1]]) if len(every) else np.zeros(0, dtype=bool)
         self.union = every[head]
         self.at = np.append(np.flatnonzero(head), len(every))
+        if self.ranks:
+            self.find_pivot()
         if self.among:
             for i, tokens in enumerate(self.sets):
                 for other in self.near(tokens, i):
                     self.join(i, other)
         self.sets = []
 
+    def find_pivot(self) -> None:
+        """The member nearest to the tokens that most members hold; without members, the empty set."""
+        self.pivot = np.zeros(0, dtype=np.uint64)
+        if self.members:
+            count = np.diff(self.at)
+            most = count * 2 > self.members
+            held = np.bincount(self.holder, weights=np.repeat(most, count), minlength=self.members)
+            at = int(np.argmin(self.size - 2 * held))
+            self.pivot = self.sets[at]
+            self.ranked.append((self.names[at], len(self.pivot), 0, np.zeros(0, dtype=np.int64)))
+
+    def rank(self, name: tuple[int, int], tokens: np.ndarray) -> None:
+        """Keep what a link's first shared token may be, of a set's difference to the pivot.
+
+        If the set links to the pivot, its partner doesn't, and they share more
+        than half of the difference, less what sizes allow. If it doesn't, its
+        difference exceeds what a link allows, and the partner has to make up for it.
+        """
+        apart = np.setxor1d(tokens, self.pivot, assume_unique=True)
+        holders = np.zeros(len(apart), dtype=np.int64)
+        if len(self.union):
+            place = np.minimum(np.searchsorted(self.union, apart), len(self.union) - 1)
+            holders = np.where(self.union[place] == apart, self.at[place + 1] - self.at[place], 0)
+        holders = np.where(np.isin(apart, self.pivot, assume_unique=True), self.members - holders, holders)
+        n, m, whole, part = len(tokens), len(apart), 100 + self.percent, 100 - self.percent
+        beyond = whole * m - part * (n + len(self.pivot))
+        if beyond > 0:
+            shown = m - -(-beyond // 200) + 1
+        else:
+            shown = -(-(whole * m + part * (n - len(self.pivot))) // (2 * whole))
+        first = apart[np.argsort(holders, kind="stable")[: max(0, shown)]]
+        self.ranked.append((name, n, m, first.view(np.int64)))
+
+    def take_ranked(self, grp: int) -> list[tuple]:
+        """Rows of the prefixes kept since the last call."""
+        ranked, self.ranked = self.ranked, []
+        return [(*name, None, None, grp, n, m, first) for name, n, m, first in ranked]
+
+    def rows(self, grp: int) -> list[tuple]:
+        """Links and prefixes, of a block that is done."""
+        return [(*star, None, None, None, None) for star in self.stars()] + self.take_ranked(grp)
+
     def near(self, tokens: np.ndarray, before: int) -> np.ndarray:
         """Members numbered below ``before`` whose similarity reaches the threshold."""
         if not before or not len(tokens):
