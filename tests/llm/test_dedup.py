@@ -146,7 +146,7 @@ def test_a_small_stray_is_met_by_a_larger_member_of_another_block(spark, monkeyp
     assert made_by(frame, 1, 90) == want
 
 
-@pytest.mark.parametrize(("shingle", "percent", "kind"), [(3, 90, "put in"), (1, 90, "left out")])
+@pytest.mark.parametrize(("shingle", "percent", "kind"), [(3, 90, "put in"), (5, 80, "put in"), (1, 90, "left out")])
 def test_strays_of_a_large_group(spark, monkeypatch, shingle, percent, kind):
     """Copies of one text too far from each other for a link, and pairs of such: those with words put in open few blocks."""
     rng = random.Random(9)

@@ -456,14 +456,15 @@ class Block:
         if len(self.union):
             place = np.minimum(np.searchsorted(self.union, apart), len(self.union) - 1)
             holders = np.where(self.union[place] == apart, self.at[place + 1] - self.at[place], 0)
-        holders = np.where(np.isin(apart, self.pivot, assume_unique=True), self.members - holders, holders)
+        lacks = np.isin(apart, self.pivot, assume_unique=True)
+        rare = np.where(lacks, 2 * (self.members - holders) + 1, 2 * holders)  # of two as rare, words put in come first
         n, m, whole, part = len(tokens), len(apart), 100 + self.percent, 100 - self.percent
         beyond = whole * m - part * (n + len(self.pivot))
         if beyond > 0:
             shown = m - -(-beyond // 200) + 1
         else:
             shown = -(-(whole * m + part * (n - len(self.pivot))) // (2 * whole))
-        first = apart[np.argsort(holders, kind="stable")[: max(0, shown)]]
+        first = apart[np.argsort(rare, kind="stable")[: max(0, shown)]]
         self.ranked.append((name, n, m, first.view(np.int64)))
 
     def take_ranked(self, grp: int) -> list[tuple]:
