@@ -178,6 +178,32 @@ def test_strays_of_a_large_group(spark, monkeypatch, shingle, percent, kind):
     assert opened and (kind == "left out" or opened[0] < 3 * 225)  # of 225 strays; 31 blocks by each would be about 7000
 
 
+def test_sets_without_a_partner_in_their_group_are_not_compared(spark, monkeypatch):
+    """Of a group of unrelated texts, each with words of some text of another size, only those with a near copy are sent."""
+    rng = random.Random(13)
+    own = [[f"{'s' if j < 10 else 'a'}{i}.{j}" for j in range(20)] for i in range(300)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(own)]
+    rows += [(1000 + i, " ".join([*(f"l{i}.{j}" for j in range(300)), *(x for w in own[i::10] for x in w[:10])])) for i in range(10)]
+    rows += [(2000 + i, " ".join([*own[i][:-2], f"z{i}"])) for i in range(0, 300, 10)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 9)
+    sets, written, sizes = jaccard._sets, jaccard.written, {}
+    monkeypatch.setattr(jaccard, "_sets", lambda *a: sets(*a).withColumn("grp", F.when(F.col("n") > 200, 2).otherwise(1).cast("long")))
+
+    def spied(df, name):
+        table = written(df, name)
+        sizes.setdefault(name, []).append(table.agg(F.sum(F.size("prefix"))).first()[0] if name == "links" and "prefix" in table.columns else table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "written", spied)
+    want = components(rows, 1, 50)
+    assert sum(c != i for i, _, c in want) == 30
+    assert made_by(frame, 1, 50) == want
+    assert sizes["fetch-sets"][0] == 60  # of 340 sets
+    assert sizes["links"][0] < 1500  # words shown of the members of other blocks
+
+
 @pytest.mark.parametrize("percent", [50, 70, 80, 90])
 def test_differences_to_the_pivot_show_a_token_of_each_link(percent):
     """Of sets that link, one of them not to the pivot, the shown tokens hold a shared one that stands where both allow the link."""

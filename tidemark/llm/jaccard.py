@@ -3,9 +3,9 @@
 Documents become sets of word shingles; equal sets are one node. Similar nodes
 are put into groups (by size and the least hash of their frequent tokens, which
 near copies keep, or the two least of all), and what the groups' members hold
-is kept as a sparse matrix of tokens and groups. Nodes that share no token with
-any other within the reach of the threshold play no further part. A node opens
-another group only if the matrix lets them reach the threshold:
+is kept as a sparse matrix of tokens and groups. A node is compared in its own
+group, or opens another, only if the matrix lets it reach the threshold with
+some node there; nodes that none can reach play no further part:
 
 * Tokens have one global order, frequent ones last. Two sets over the
   threshold share a token in the first few of their tokens (prefix filter) at
@@ -205,10 +205,20 @@ def _reaches(percent: int) -> Column:
     return (F.col("token") == F.col("held")) & (lo <= hi) & (n - F.col("pos") >= _need(n, lo, percent)) & (hi - F.col("first") >= _need(n, hi, percent))
 
 
-def _openings(shared: DataFrame, percent: int) -> DataFrame:
-    """(d1, target): groups other than its own that a node has to open, by the token-group matrix."""
-    fits = _reaches(percent) & (F.col("grp") != F.col("at_grp"))
-    return shared.join(_matrix(shared, percent, "grp"), fits).select("d1", F.col("at_grp").alias("target")).distinct()
+def _hits(shared: DataFrame, percent: int) -> DataFrame:
+    """(d1, grp, token, target): groups that hold what a node may reach the threshold with, its own only if another member holds it."""
+    alone = (F.col("grp") == F.col("at_grp")) & _in_matrix(percent) & (F.col("holders") == 1)
+    return shared.join(_matrix(shared, percent, "grp"), _reaches(percent) & ~alone).select("d1", "grp", "token", F.col("at_grp").alias("target"))
+
+
+def _met(shared: DataFrame, hits: DataFrame, percent: int) -> DataFrame:
+    """(d1): nodes that may reach the threshold with another in their own group, a member or one that opens it.
+
+    Of two such nodes, the larger one hits a cell of the matrix, and the smaller one is among those that the cell is made of.
+    """
+    cells = hits.select(F.col("token").alias("held"), "target").distinct()
+    found = shared.where(_in_matrix(percent)).join(cells, (F.col("token") == F.col("held")) & (F.col("grp") == F.col("target")), "left_semi")
+    return hits.where("grp = target").select("d1").unionAll(found.select("d1")).distinct()
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
@@ -226,18 +236,19 @@ def _to(grp: Column, i: Column, j: Column, visits: bool, ranks: Column) -> Colum
 def links(rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a1, a2, b1, b2): links between nodes as stars; connected nodes are those of the full link graph."""
     shared = _shared(nodes.select("d1", "n", "grp", "prefix"))
-    nodes = nodes.join(shared.select("d1").distinct(), "d1", "left_semi")
-    opened = written(_openings(shared, percent), "openings")
+    hits = written(_hits(shared, percent), "hits")
+    opened = written(hits.where("grp != target").select("d1", "target").distinct(), "openings")
+    met = written(nodes.select("id", "print", "n", "d1", "d2", "grp").join(_met(shared, hits, percent), "d1", "left_semi"), "met-nodes")
+    discard(hits, shared)
     targets = opened.groupBy(F.col("target").alias("grp")).agg(F.count("*").alias("guests"))
-    groups = _blocks(nodes).join(targets, "grp", "left").withColumn("guests", F.coalesce("guests", F.lit(0)))
+    groups = _blocks(met).join(targets, "grp", "left").withColumn("guests", F.coalesce("guests", F.lit(0)))
     come = F.col("guests") + F.when(F.col("blocks") > 1, F.col("rows")).otherwise(0)
     groups = groups.where("rows > 1 or guests > 0").select(F.col("grp").alias("__grp"), "blocks", F.floor(come / VISITORS).cast("int").alias("copies"))
     active = written(groups, "active-groups")
-    slim = nodes.select("id", "print", "d1", "d2", "grp")
-    visitors = written(slim.drop("grp").join(opened, "d1").withColumnRenamed("target", "grp"), "visitors")
+    visitors = written(nodes.select("id", "print", "d1", "d2").join(opened, "d1").withColumnRenamed("target", "grp"), "visitors")
     discard(opened)
     at_home = F.col("grp") == F.col("__grp")
-    members = slim.join(active, at_home).drop("__grp").withColumn("block", F.pmod("d1", "blocks").cast("int"))
+    members = met.drop("n").join(active, at_home).drop("__grp").withColumn("block", F.pmod("d1", "blocks").cast("int"))
     first = lambda seat, visits: _to(F.col("grp"), F.lit(0), -seat, visits, F.col("blocks") > 1)
     seats = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda seat: first(seat, False))
     seat = first(F.pmod(F.xxhash64("d1"), F.col("copies") + 1), True)
